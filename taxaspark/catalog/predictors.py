@@ -90,5 +90,16 @@ def species_predictors(spark, d):
 
 @register("screen_species")
 def screen_species_q(spark, d):
-    """Fit, draws, intervals, threshold for FNR 0.05 and the confident-negative list."""
-    return screen_species(predictor_table(spark, d), n_draws=2000, seed=11, prior_sd=2.5).confident
+    """Fit, draws, intervals and threshold for FNR 0.05; every species with its interval and
+    whether it is a confident negative (unlabelled, upper bound below the threshold)."""
+    from pyspark.sql import functions as F
+    res = screen_species(predictor_table(spark, d), n_draws=2000, seed=11, prior_sd=2.5)
+    thr = res.threshold.select(F.col("threshold").alias("__t__"))
+    both = (res.labelled.withColumn("labelled", F.lit(True))
+            .unionByName(res.predictions.withColumn("labelled", F.lit(False))))
+    out = both.crossJoin(F.broadcast(thr))
+    return out.select(
+        "acceptedNameAuthor", "Threatened", "labelled",
+        round_half_up("epred", 3).alias("medianPrediction"), round_half_up("lower", 3).alias("lower95ConfInt"),
+        round_half_up("upper", 3).alias("upper95ConfInt"), "pred_class",
+        (~F.col("labelled") & (F.col("upper") < F.col("__t__"))).alias("confident"))

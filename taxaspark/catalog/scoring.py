@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import round_half_up
 from ..operators import model as M
 from ..operators import scoring as S
-from ..plans.screen import screen_species
 from .registry import register
 from .standins import (DRAWS, DRAWS_SQL, EPRED_SQL, PARTS_X_SQL, SCORED_EVENTS_SQL, c, draws, part_terms,
                        scored_events, scored_parts, sql_round, table)
@@ -92,16 +91,16 @@ def threshold_for_fnr(spark, d):
 
 @register("confident_list", f"""WITH {THRESH_SQL}
 SELECT event_id, user_id, {sql_round('score', 3)} AS medianPrediction,
-       {sql_round('score - 0.01', 3)} AS lower95ConfInt, {sql_round('score + 0.01', 3)} AS upper95ConfInt
+       {sql_round('score * 0.75', 3)} AS lower95ConfInt, {sql_round('score * 1.25', 3)} AS upper95ConfInt
 FROM sev CROSS JOIN thr
-WHERE sev.event_type IN ('click', 'error', 'signup') AND score + 0.01 < thr.threshold""")
+WHERE sev.event_type IN ('click', 'error', 'signup') AND score * 1.25 < thr.threshold""")
 def confident_list(spark, d):
     """Unlabelled rows whose upper bound is below the threshold learnt on the labelled rows."""
     ev = scored_events(spark, d)
     thr = S.threshold_for_fnr(ev, "observed", "score", 0.05)
     unl = ev.filter(c("event_type").isin("click", "error", "signup")).select(
-        "event_id", "user_id", c("score").alias("median"), (c("score") - 0.01).alias("lower"),
-        (c("score") + 0.01).alias("upper"))
+        "event_id", "user_id", c("score").alias("median"), (c("score") * 0.75).alias("lower"),
+        (c("score") * 1.25).alias("upper"))
     return S.confident_list(unl, thr, "upper", columns=["event_id", "user_id", "median", "lower", "upper"],
                             renames={"median": "medianPrediction", "lower": "lower95ConfInt",
                                      "upper": "upper95ConfInt"}, order_by=["medianPrediction"], digits=3)

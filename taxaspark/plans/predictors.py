@@ -12,7 +12,7 @@ from ..functions.nulls import present
 from ..functions.numeric import round_half_up, share_true
 from ..functions.text import override
 from ..operators.dedup import keep_group_min, two_stage_dedup
-from ..operators.frames import drop_missing, union_strict
+from ..operators.frames import drop_missing, union_strict  # noqa: F401
 from ..operators.geo import quality_gate
 from ..operators.joins import anti_join, join_on, semi_join
 from . import constants as K
@@ -26,17 +26,25 @@ def specimen_count(occs: DataFrame, species: str = ACC, lat: str = "decimalLatit
     """Records per species after de-duplication.
 
     Georeferenced records count once per coordinate cell rounded to
-    ``digits``; others once per locality; others without locality each. The
-    first-wins dedups only feed a count, so they are distinct projections
-    (partial aggregation, no window).
+    ``digits``; others once per locality; others without locality each.
+    The first-wins dedups only feed a count, so this is one scan: every
+    record is tagged with its dedup key (kind, a, b), a first aggregate
+    collapses equal keys (rows without locality keep their multiplicity in
+    ``n``), a second one counts per species. Both aggregates combine on the
+    map side, so a species holding a large share of the rows stays cheap.
     """
     g = F.col(georef)
-    geo = (occs.filter(g == F.lit(True))
-           .select(species, round_half_up(lat, digits).alias("__a__"), round_half_up(lon, digits).alias("__b__"))
-           .distinct().select(species))
-    loc = occs.filter(F.col(locality).isNotNull() & (g == F.lit(False))).select(species, locality).distinct().select(species)
-    rest = occs.filter(F.col(locality).isNull() & (g == F.lit(False))).select(species)
-    return union_strict(loc, geo, rest).groupBy(species).agg(F.count(F.lit(1)).alias("specimenCount"))
+    is_geo = g == F.lit(True)
+    is_loc = F.col(locality).isNotNull() & (g == F.lit(False))
+    is_rest = F.col(locality).isNull() & (g == F.lit(False))
+    kind = F.when(is_geo, F.lit(1)).when(is_loc, F.lit(2)).when(is_rest, F.lit(3))
+    a = F.when(is_geo, round_half_up(lat, digits).cast("string")).when(is_loc, F.col(locality))
+    b = F.when(is_geo, round_half_up(lon, digits).cast("string"))
+    keyed = occs.select(species, kind.alias("__k__"), a.alias("__a__"), b.alias("__b__")).filter(
+        F.col("__k__").isNotNull())
+    per_key = keyed.groupBy(species, "__k__", "__a__", "__b__").agg(F.count(F.lit(1)).alias("__n__"))
+    weight = F.when(F.col("__k__") == 3, F.col("__n__")).otherwise(F.lit(1))
+    return per_key.groupBy(species).agg(F.sum(weight).cast("long").alias("specimenCount"))
 
 
 def contemporary_share(occs: DataFrame, order_by: Sequence[str | Column], species: str = ACC,

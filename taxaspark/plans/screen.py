@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.frames import split_by_null
+from ..session import ensure_checkpoint_dir
 from ..operators.model import (LogitFit, coefficient_column, design_matrix, fit_logit,
                                interaction_name, posterior_draws)
 from ..operators.ranking import row_index
@@ -54,11 +55,15 @@ def score_rows(rows: DataFrame, draws: DataFrame, n_draws: int | None = None,
 
 def screen_species(predictors: DataFrame, n_draws: int = 4000, seed: int = 1, fnr: float = K.DESIRED_FNR,
                    prior_sd=None) -> Screening:
+    # species-level tables are read by every Newton step and both scoring branches:
+    # materialise them once in the shared checkpoint folder (lineage cut, survives lost executors)
+    ensure_checkpoint_dir(predictors.sparkSession)
+    predictors = predictors.checkpoint(eager=True)
     labelled, unlabelled = split_by_null(predictors, "Threatened")
     design = design_matrix(labelled, YEAR, LOGN, [SHARE], keep=["Threatened"])
     fit = fit_logit(design, "Threatened", FEATURES, prior_sd=prior_sd)
     draws = posterior_draws(predictors.sparkSession, fit, n_draws, seed)
-    lab = score_rows(labelled, draws, n_draws)
+    lab = score_rows(labelled, draws, n_draws).checkpoint(eager=True)
     pred = score_rows(unlabelled, draws, n_draws)
     thr = threshold_for_fnr(lab, "Threatened", "epred", fnr)
     lc = confident_list(pred, thr, "upper",
