@@ -14,6 +14,13 @@ from .ranking import running_sum_desc, sort_rows
 MAX_BROADCAST_DRAWS = 200_000
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Round-robin the (small, species-level) rows over all cores before work that
+    multiplies every row by the number of draws; AQE would otherwise leave a
+    small table in one partition and the expansion in one task."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def classify(df: DataFrame, prob: str, cutoff: float = 0.5, out: str = "pred_class") -> DataFrame:
     """``ifelse(p < cutoff, 0, 1)``: the cut-off itself is class 1, NULL stays NULL."""
     p = F.col(prob)
@@ -40,7 +47,7 @@ def posterior_expected(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Co
     n = n_draws if n_draws is not None else draws.count()
     d = F.broadcast(draws) if n <= MAX_BROADCAST_DRAWS else draws
     keep = [c for c in draws.columns if c == draw_id]
-    joined = rows.crossJoin(d)
+    joined = spread(rows).crossJoin(d)
     return joined.select(*rows.columns, *[F.col(c) for c in keep],
                          inv_logit(linear_predictor(terms, intercept)).alias(out))
 
@@ -55,6 +62,60 @@ def median_interval(df: DataFrame, keys: Sequence[str], value: str = "epred", wi
                     F.col("__q__")[0].alias(lower), F.col("__q__")[2].alias(upper)))
 
 
+def draws_array(draws: DataFrame, coefs: Sequence[str], draw_id: str = "draw_id") -> DataFrame:
+    """One row holding every draw as an array of structs (size = number of draws)."""
+    return draws.agg(F.array_sort(F.collect_list(F.struct(F.col(draw_id), *[F.col(x) for x in coefs])))
+                     .alias("__draws__"))
+
+
+def sorted_quantile(arr: Column, p: float) -> Column:
+    """Quantile ``p`` of a sorted array, linear interpolation between closest ranks
+    (the formula of Spark's exact ``percentile``)."""
+    n = F.size(arr)
+    pos = (n - 1).cast("double") * F.lit(p)
+    lo = F.floor(pos)
+    hi = F.ceil(pos)
+    a_lo = F.element_at(arr, (lo + 1).cast("int"))
+    a_hi = F.element_at(arr, (hi + 1).cast("int"))
+    return F.when(n == 0, F.lit(None).cast("double")).when(hi == lo, a_lo).otherwise(
+        (hi.cast("double") - pos) * a_lo + (pos - lo.cast("double")) * a_hi)
+
+
+def posterior_interval(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Column],
+                       intercept: str = "b_intercept", width: float = 0.95, median: str = "epred",
+                       lower: str = "lower", upper: str = "upper", draw_id: str = "draw_id",
+                       n_draws: int | None = None) -> DataFrame:
+    """Median and central interval of the expected probability over all draws, per row.
+
+    Same numbers as ``posterior_expected`` followed by ``median_interval``,
+    without materialising rows x draws or shuffling: the draws travel as one
+    broadcast array (its size is the number of draws, checked), each row
+    maps it to probabilities, sorts them and reads the quantiles.
+    """
+    coefs = [intercept, *terms.keys()]
+    n = n_draws if n_draws is not None else draws.count()
+    if n > MAX_BROADCAST_DRAWS:
+        ep = posterior_expected(rows.withColumn("__rowid__", F.monotonically_increasing_id()), draws, terms,
+                                intercept, "__ep__", draw_id, n)
+        keys = ["__rowid__", *rows.columns]
+        return median_interval(ep, keys, "__ep__", width, median, lower, upper).drop("__rowid__")
+    arr = F.broadcast(draws_array(draws, coefs, draw_id))
+    rows = spread(rows)
+
+    def prob(d: Column) -> Column:
+        eta = d[intercept]
+        for coef, term in terms.items():
+            eta = eta + d[coef] * term
+        return inv_logit(eta)
+
+    lo_p, hi_p = (1 - width) / 2, 1 - (1 - width) / 2
+    probs = F.array_sort(F.filter(F.transform(F.col("__draws__"), prob), lambda x: x.isNotNull()))
+    out = rows.crossJoin(arr).withColumn("__p__", probs)
+    return out.select(*rows.columns, sorted_quantile(F.col("__p__"), 0.5).alias(median),
+                      sorted_quantile(F.col("__p__"), lo_p).alias(lower),
+                      sorted_quantile(F.col("__p__"), hi_p).alias(upper))
+
+
 def fnr_curve(df: DataFrame, observed: str, score: str, buckets: int | None = None) -> DataFrame:
     """False-negative rate for every distinct score used as threshold.
 

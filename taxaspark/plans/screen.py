@@ -13,13 +13,12 @@ from ..session import ensure_checkpoint_dir
 from ..operators.model import (LogitFit, coefficient_column, design_matrix, fit_logit,
                                interaction_name, posterior_draws)
 from ..operators.ranking import row_index
-from ..operators.scoring import classify, confident_list, median_interval, posterior_expected, threshold_for_fnr
+from ..operators.scoring import classify, confident_list, posterior_interval, threshold_for_fnr
 from . import constants as K
 
 ACC = "acceptedNameAuthor"
 YEAR, LOGN, SHARE = "yearPublished", "logSpecimenCount", "propContemporary"
 FEATURES = [YEAR, LOGN, interaction_name(YEAR, LOGN), SHARE]
-ROW = "__row__"
 
 
 @dataclass
@@ -46,11 +45,8 @@ def score_rows(rows: DataFrame, draws: DataFrame, n_draws: int | None = None,
     Each input row is its own group (as ``add_epred_draws`` numbers rows),
     so identical rows stay separate.
     """
-    cols = rows.columns
-    keyed = rows.withColumn(ROW, F.monotonically_increasing_id())
-    ep = posterior_expected(keyed, draws, _terms(), n_draws=n_draws)
-    mi = median_interval(ep, [ROW, *cols], "epred", width)
-    return classify(mi, "epred", cutoff).drop(ROW)
+    mi = posterior_interval(rows, draws, _terms(), width=width, n_draws=n_draws)
+    return classify(mi, "epred", cutoff)
 
 
 def screen_species(predictors: DataFrame, n_draws: int = 4000, seed: int = 1, fnr: float = K.DESIRED_FNR,
