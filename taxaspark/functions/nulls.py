@@ -14,6 +14,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def qcol(name: str) -> Column:
+    """Column by its exact name (dots and blanks are part of the name, not a path)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from ..functions.nulls import qcol
 from pyspark.sql.types import DataType, NumericType, StructType
 
 from ..functions.numeric import round_half_up
@@ -39,14 +41,14 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     the names in one step, independent of the order of the pairs.
     """
     require_columns(df, mapping.keys())
-    return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
+    return df.select(*[qcol(c).alias(mapping.get(c, c)) for c in df.columns])
 
 
 def conform(df: DataFrame, template: StructType) -> DataFrame:
     """Select the template's columns in its order and types; absent ones are NULL."""
     out = []
     for f in template.fields:
-        src = F.col(f.name) if f.name in df.columns else F.lit(None)
+        src = qcol(f.name) if f.name in df.columns else F.lit(None)
         out.append(src.cast(f.dataType).alias(f.name))
     return df.select(*out)
 
@@ -54,7 +56,7 @@ def conform(df: DataFrame, template: StructType) -> DataFrame:
 def map_columns(df: DataFrame, kind: type[DataType], fn: Callable[[Column], Column]) -> DataFrame:
     """``mutate_if(is.<kind>, fn)``: apply ``fn`` to every column of that type."""
     return df.select(*[
-        (fn(F.col(f.name)).cast(f.dataType) if isinstance(f.dataType, kind) else F.col(f.name)).alias(f.name)
+        (fn(qcol(f.name)).cast(f.dataType) if isinstance(f.dataType, kind) else qcol(f.name)).alias(f.name)
         for f in df.schema.fields
     ])
 
@@ -64,9 +66,9 @@ def round_numeric(df: DataFrame, digits: int = 3) -> DataFrame:
     def rnd(c: Column) -> Column:
         return round_half_up(c, digits)
     return df.select(*[
-        (rnd(F.col(f.name)).alias(f.name)
+        (rnd(qcol(f.name)).alias(f.name)
          if isinstance(f.dataType, NumericType) and f.dataType.typeName() in ("double", "float", "decimal")
-         else F.col(f.name))
+         else qcol(f.name))
         for f in df.schema.fields
     ])
 
@@ -120,4 +122,4 @@ def drop_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def split_by_null(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     """Rows where ``col`` is present, and rows where it is NULL."""
-    return df.filter(F.col(col).isNotNull()), df.filter(F.col(col).isNull())
+    return df.filter(qcol(col).isNotNull()), df.filter(qcol(col).isNull())

@@ -13,9 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.nulls import qcol
+
 from ..functions.nulls import all_of
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _pairs(on: str | Sequence[str] | dict) -> list[tuple[str, str]]:
     if isinstance(on, str):
         return [(on, on)]
@@ -34,10 +40,10 @@ def join_on(left: DataFrame, right: DataFrame, on, how: str = "inner",
     """
     pairs = _pairs(on)
     tmp = {rk: f"__rk{i}__" for i, (_, rk) in enumerate(pairs)}
-    r = right.select(*[F.col(c).alias(tmp[c]) if c in tmp else F.col(c) for c in right.columns])
+    r = right.select(*[qcol(c).alias(tmp[c]) if c in tmp else qcol(c) for c in right.columns])
     conds = []
     for lk, rk in pairs:
-        lc, rc = left[lk], r[tmp[rk]]
+        lc, rc = left[_q(lk)], r[tmp[rk]]
         conds.append(lc.eqNullSafe(rc) if null_safe else lc == rc)
     cond = all_of(conds if extra is None else conds + [extra])
     joined = left.join(r, cond, how)
@@ -47,30 +53,30 @@ def join_on(left: DataFrame, right: DataFrame, on, how: str = "inner",
     rk_of = dict(pairs)
     for c in left.columns:
         if c in rk_of:
-            rc = F.col(tmp[rk_of[c]])
+            rc = qcol(tmp[rk_of[c]])
             if how in ("right", "right_outer", "rightouter"):
                 cols.append(rc.alias(c))
             elif how in ("full", "outer", "full_outer", "fullouter"):
-                cols.append(F.coalesce(left[c], rc).alias(c))
+                cols.append(F.coalesce(left[_q(c)], rc).alias(c))
             else:
-                cols.append(left[c])
+                cols.append(left[_q(c)])
         else:
-            cols.append(left[c])
-    cols += [F.col(c) for c in r.columns if c not in tmp.values()]
+            cols.append(left[_q(c)])
+    cols += [qcol(c) for c in r.columns if c not in tmp.values()]
     return joined.select(*cols)
 
 
 def semi_join(df: DataFrame, other: DataFrame, on, null_safe: bool = True) -> DataFrame:
     """``filter(k %in% other$k)``: keep rows whose key occurs in ``other``."""
     pairs = _pairs(on)
-    keys = other.select(*[F.col(rk) for _, rk in pairs]).distinct()
+    keys = other.select(*[qcol(rk) for _, rk in pairs]).distinct()
     return join_on(df, keys, on, "left_semi", null_safe)
 
 
 def anti_join(df: DataFrame, other: DataFrame, on, null_safe: bool = True) -> DataFrame:
     """``filter(!(k %in% other$k))``: a NULL key is kept unless ``other`` holds NULL."""
     pairs = _pairs(on)
-    keys = other.select(*[F.col(rk) for _, rk in pairs]).distinct()
+    keys = other.select(*[qcol(rk) for _, rk in pairs]).distinct()
     return join_on(df, keys, on, "left_anti", null_safe)
 
 
@@ -83,7 +89,7 @@ def semi_join_either(df: DataFrame, key: str, sets: Sequence[tuple[DataFrame, st
     """
     keyset = None
     for frame, col in sets:
-        part = frame.select(F.col(col).alias("__k__"))
+        part = frame.select(qcol(col).alias("__k__"))
         keyset = part if keyset is None else keyset.unionByName(part)
     return join_on(df, keyset.distinct(), {key: "__k__"}, "left_semi", null_safe)
 
@@ -108,6 +114,6 @@ def join_suffixed(left: DataFrame, right: DataFrame, on, how: str = "left",
     rkeys = {rk for _, rk in pairs}
     clash = (set(left.columns) - lkeys) & (set(right.columns) - rkeys)
     lsuf, rsuf = suffix
-    l2 = left.select(*[F.col(c).alias(c + lsuf if c in clash else c) for c in left.columns])
-    r2 = right.select(*[F.col(c).alias(c + rsuf if c in clash else c) for c in right.columns])
+    l2 = left.select(*[qcol(c).alias(c + lsuf if c in clash else c) for c in left.columns])
+    r2 = right.select(*[qcol(c).alias(c + rsuf if c in clash else c) for c in right.columns])
     return join_on(l2, r2, on, how, null_safe)
