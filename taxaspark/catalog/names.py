@@ -9,8 +9,10 @@ from ..plans import names as N
 from .registry import register
 from .standins import CANDIDATES_SQL, NAMES_SQL, SYNONYMS_SQL, USAGE_SQL, c, candidates, search_names, synonyms, table, usage
 
-MATCH_SQL = f"""{NAMES_SQL},
-{CANDIDATES_SQL},
+def match_sql(names_cte: str = NAMES_SQL, cand_cte: str = CANDIDATES_SQL) -> str:
+    """CTE chain ending in ``matched`` (twin of ``plans.names.match_names``)."""
+    return f"""{names_cte},
+{cand_cte},
 stats AS (
   SELECT searchName, bool_and(coalesce(matchType = 'NONE', false)) AS none_,
          bool_and(coalesce(matchType = 'HIGHERRANK', false)) AS higher_, max(confidence) AS top
@@ -28,6 +30,9 @@ matched AS (
   FROM names q WHERE NOT EXISTS (SELECT 1 FROM usable u WHERE u.searchName IS NOT DISTINCT FROM q.NameAuthor))"""
 
 
+MATCH_SQL = match_sql()
+
+
 @register("match_names", f"""WITH {MATCH_SQL}
 SELECT * FROM matched""")
 def match_names(spark, d):
@@ -35,7 +40,9 @@ def match_names(spark, d):
     return N.match_names(search_names(spark, d), candidates(spark, d))
 
 
-RESOLVE_SQL = f"""{MATCH_SQL},
+def resolve_sql(names_cte: str = NAMES_SQL, cand_cte: str = CANDIDATES_SQL) -> str:
+    """CTE chain ending in ``resolved`` (twin of ``plans.names.resolve_accepted``)."""
+    return f"""{match_sql(names_cte, cand_cte)},
 {USAGE_SQL},
 uniq AS (
   SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY searchName) AS n FROM matched) t
@@ -49,6 +56,9 @@ resolved AS (
     FROM named) t WHERE rn = 1)"""
 
 
+RESOLVE_SQL = resolve_sql()
+
+
 @register("resolve_accepted", f"""WITH {RESOLVE_SQL}
 SELECT * FROM resolved""")
 def resolve_accepted(spark, d):
