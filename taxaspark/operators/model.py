@@ -113,7 +113,11 @@ def fit_logit(df: DataFrame, label: str, features: Sequence[str], prior_sd: floa
             if np.max(np.abs(step)) < tol:
                 converged = True
                 break
-        # Hessian at the final mode
+        if converged:
+            # the step was below ``tol``: the last Hessian is the one at the mode
+            cov_z = np.linalg.inv(h)
+            return _finish(beta, cov_z, means, sds, names, n, ll, it, converged)
+        # not converged: Hessian at the last iterate
         eta = zcols[0] * F.lit(float(beta[0]))
         for j in range(1, k):
             eta = eta + zcols[j] * F.lit(float(beta[j]))
@@ -128,12 +132,17 @@ def fit_logit(df: DataFrame, label: str, features: Sequence[str], prior_sd: floa
         cov_z = np.linalg.inv(h)
     finally:
         z.unpersist()
-    # back to the original scale: beta_orig = A @ beta_z
+    return _finish(beta, cov_z, means, sds, names, n, ll, it, converged)
+
+
+def _finish(beta, cov_z, means, sds, names, n, ll, it, converged) -> LogitFit:
+    """Back to the original scale: beta_orig = A @ beta_z."""
+    k = len(beta)
     A = np.eye(k)
     for j in range(1, k):
         A[j, j] = 1.0 / sds[j - 1]
         A[0, j] = -means[j - 1] / sds[j - 1]
-    return LogitFit(terms=names, mode=A @ beta, cov=A @ cov_z @ A.T, n=n, loglik=ll,
+    return LogitFit(terms=list(names), mode=A @ beta, cov=A @ cov_z @ A.T, n=n, loglik=ll,
                     iterations=it, converged=converged,
                     scale={"mean": means.tolist(), "sd": sds.tolist()})
 

@@ -23,7 +23,7 @@ from ..functions.nulls import is_member, not_matches, paste
 from ..functions.text import override, space_initials
 from ..operators.dedup import first_per_key, keep_unique
 from ..operators.frames import conform, rename, union_missing, union_strict
-from ..operators.joins import anti_join, join_on
+from ..operators.joins import anti_join, join_on, join_suffixed
 from . import constants as K
 
 MATCH_TEMPLATE = StructType([
@@ -92,7 +92,7 @@ def _accepted_fallback(df: DataFrame) -> DataFrame:
 def redlist_labels(assessments: DataFrame, taxonomy: DataFrame,
                    not_threatened=K.NOT_THREATENED_CATEGORIES, data_deficient: str = K.DATA_DEFICIENT) -> DataFrame:
     """Assessments joined to their taxonomy, labelled 0/1, data-deficient ones dropped."""
-    rl = join_on(assessments, taxonomy, "scientificName", "inner")
+    rl = join_suffixed(assessments, taxonomy, "scientificName", "inner", (".x", ".y"))
     return (rl.withColumn("NameAuthor", paste("scientificName", "authority"))
               .withColumn("Threatened", F.when(is_member("redlistCategory", not_threatened), F.lit(0)).otherwise(F.lit(1)))
               .withColumn("Source", F.lit(K.SOURCE_REDLIST))

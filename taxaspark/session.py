@@ -50,3 +50,34 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always present in practice
         return os.cpu_count() or 8
+
+
+def scale_conf(input_bytes: float, total_cores: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume and the core count.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least two waves of tasks) and AQE coalesces the small ones
+    after partial aggregation; scans split at the same size; skewed
+    partitions are split by AQE. ``spark.checkpoint.dir`` is not set here:
+    it must name the cluster's shared storage.
+    """
+    parts = int(min(200_000, max(2 * total_cores, input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # static broadcast only for small sides; AQE may still switch at run time from real sizes
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(128 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
