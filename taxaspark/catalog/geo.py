@@ -127,4 +127,4 @@ def locality_fill(spark, d):
     """Records without latitude take the coordinates of the first georeferenced record of the same place."""
     occ = G.flag_all(occurrences(spark, d), "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",
                      centroids(spark, d), radius_m=CENTROID_RADIUS_M)
-    return fill_by_locality(occ, ["uid"])
+    return fill_by_locality(occ, ["uid"], record_id="uid")

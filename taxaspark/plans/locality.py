@@ -20,7 +20,7 @@ def fill_by_locality(occs: DataFrame, order_by: Sequence[str | Column], keys: Se
                      lat: str = "decimalLatitude", lon: str = "decimalLongitude",
                      flags: Sequence[str] = FLAGS, georef: str = "georeferenced",
                      locality: str = "locality", state: str = "stateProvince",
-                     distinct_untouched: bool = True) -> DataFrame:
+                     distinct_untouched: bool = True, record_id: str | None = None) -> DataFrame:
     """Give records without latitude the coordinates of the first georeferenced record
     of the same place (NULL county matches NULL county).
 
@@ -30,6 +30,12 @@ def fill_by_locality(occs: DataFrame, order_by: Sequence[str | Column], keys: Se
     flags TRUE, ``georeferenced`` and ``coordsAdded`` TRUE. Everything else
     passes through (distinct rows, as the reference's set difference) with
     ``coordsAdded`` FALSE and is never shuffled for the join.
+
+    With ``record_id`` the de-duplication stays exact but cheap: rows with
+    different ids cannot be equal, so only rows whose id occurs more than
+    once go through a full-row ``distinct``; finding them shuffles the id
+    column alone, and the (usually small) set of repeated ids is a
+    semi/anti-join side that AQE can broadcast.
     """
     keys = list(keys)
     ref_rows = occs.filter((F.col(georef) == F.lit(True)) & present(locality) & F.col(state).isNotNull())
@@ -37,8 +43,14 @@ def fill_by_locality(occs: DataFrame, order_by: Sequence[str | Column], keys: Se
         *keys, F.col(lat).alias("__lat_y__"), F.col(lon).alias("__lon_y__"))
     is_target = F.col(lat).isNull() & present(locality)
     untouched = occs.filter(~is_target)
-    if distinct_untouched:
+    if distinct_untouched and record_id is None:
         untouched = untouched.distinct()
+    elif distinct_untouched:
+        repeated = (untouched.groupBy(record_id).agg(F.count(F.lit(1)).alias("__n__"))
+                    .filter(F.col("__n__") > 1).select(record_id))
+        once = join_on(untouched, repeated, record_id, "left_anti")
+        many = join_on(untouched, repeated, record_id, "left_semi").distinct()
+        untouched = union_strict(once, many)
     untouched = untouched.withColumn("coordsAdded", F.lit(False))
     targets = occs.filter(is_target)
     m = join_on(targets, ref, keys, "left", null_safe=True)

@@ -89,3 +89,18 @@ def test_locality_fill(spark):
     # rows that had a latitude are never changed
     for k in (1, 4, 6):
         assert tuple(out[k])[:12] == data[k - 1] and out[k].coordsAdded is False
+
+
+def test_locality_fill_record_id_path_equals_distinct(spark):
+    data = [
+        (1, "US", "ME", None, "Bog", 45.0, -69.0, True, True, True, True, True),
+        (1, "US", "ME", None, "Bog", 45.0, -69.0, True, True, True, True, True),   # exact copy: one survives
+        (1, "US", "ME", None, "Bog", 45.5, -69.0, True, True, True, True, True),   # same id, other row: kept
+        (2, "US", "ME", None, "Bog", None, None, False, None, None, None, None),
+        (None, "US", None, None, None, 1.0, 2.0, True, True, True, True, True),
+        (None, "US", None, None, None, 1.0, 2.0, True, True, True, True, True),
+    ]
+    df = spark.createDataFrame(data, LOC_SCHEMA)
+    a = rows(fill_by_locality(df, ["uid", "decimalLatitude"]))
+    b = rows(fill_by_locality(df, ["uid", "decimalLatitude"], record_id="uid"))
+    assert a == b and len(a) == 4
