@@ -99,3 +99,19 @@ def test_combine_checklists(spark):
                    ("Boletus edulis", "Boletus edulis", "Mycoportal", 4),
                    ("Suillus luteus", "Suillus luteus (L.) Roussel", "Protochecklist", None),
                    ("Xylaria hypoxylon", "Xylaria hypoxylon", "Protochecklist", None)]
+
+
+def test_unassessed_checklist_table(spark):
+    checklist = spark.createDataFrame([("s1", "Mycoportal", 11), ("s4", "Mycoportal", 44), ("s9", "Proto", None)],
+                                      "NameAuthor string, Source string, TaxonId long")
+    training = spark.createDataFrame([("s9", "RedList", 1)], "NameAuthor string, Source string, Threatened int")
+    unassessed = N.unassessed_checklist(checklist, training)
+    assert rows(unassessed, "NameAuthor") == [("s1",), ("s4",)]
+    cand = spark.createDataFrame(CAND + [("s7", 9, "k9", "SPECIES", 100, "EXACT")], SC.NAME_CANDIDATES)
+    usage = spark.createDataFrame([
+        (4, "k4", "sp4", None, "ACCEPTED", None), (9, "k9", "sp9", "sp0 L.", "DOUBTFUL", 0)], SC.TAXON_USAGE)
+    acc = N.accepted_checklist(unassessed, cand, usage)
+    out = N.checklist_table(unassessed, acc)
+    assert out.columns == ["NameAuthor", "Source", "TaxonId", "acceptedName", "acceptedNameAuthor", "gbifAcceptedKey"]
+    # s4 resolves (accepted falls back to its own name and key); s1 is ambiguous; s7 is not in the checklist
+    assert rows(out) == [("s4", "Mycoportal", 44, "sp4", "k4", 4)]
