@@ -30,6 +30,17 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
     return F.lit(2.0 * radius_m) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
+def valid_coordinates(lat: str | Column, lon: str | Column) -> Column:
+    """Rule form of removing records with impossible coordinates: |lat| <= 90 and |lon| <= 180
+    (NULL coordinates are not invalid; they are handled as non-georeferenced)."""
+    la, lo = col_of(lat), col_of(lon)
+    return F.when(la.isNull() | lo.isNull(), F.lit(True)).otherwise((F.abs(la) <= 90) & (F.abs(lo) <= 180))
+
+
+def drop_invalid_coordinates(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    return df.filter(valid_coordinates(lat, lon))
+
+
 def zero_test(lat: str | Column, lon: str | Column, buffer_deg: float = 0.5) -> Column:
     la, lo = col_of(lat), col_of(lon)
     near_origin = F.sqrt(la * la + lo * lo) <= F.lit(buffer_deg)

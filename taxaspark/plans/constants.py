@@ -64,6 +64,9 @@ MANUAL_YEARS = [
 # screening
 CLASS_CUTOFF = 0.5
 DESIRED_FNR = 0.05
+INTERCEPT_PRIOR_T = (3, -1, 1)          # student_t(df, location, scale), built but not passed to the fit
 OUTPUT_DIGITS = 3
 INTERVAL_WIDTH = 0.95
+THRESHOLD_SENTENCE = "Threshold for FNR of %s : %s"
+COUNT_SENTENCE = "%d of macrofungi species confidently least concern"
 # ---- end of fixed values ------------------------------------------------

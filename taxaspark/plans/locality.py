@@ -11,6 +11,7 @@ from ..functions.nulls import present
 from ..operators.dedup import first_per_key
 from ..operators.frames import union_strict
 from ..operators.joins import join_on
+from ..operators.ranking import sort_rows
 
 PLACE_KEYS = ("countryCode", "stateProvince", "county", "locality")
 FLAGS = ("cc_zero", "cc_equ", "clean_tests", "cc_err")
@@ -20,7 +21,8 @@ def fill_by_locality(occs: DataFrame, order_by: Sequence[str | Column], keys: Se
                      lat: str = "decimalLatitude", lon: str = "decimalLongitude",
                      flags: Sequence[str] = FLAGS, georef: str = "georeferenced",
                      locality: str = "locality", state: str = "stateProvince",
-                     distinct_untouched: bool = True, record_id: str | None = None) -> DataFrame:
+                     distinct_untouched: bool = True, record_id: str | None = None,
+                     sort_output: bool = False) -> DataFrame:
     """Give records without latitude the coordinates of the first georeferenced record
     of the same place (NULL county matches NULL county).
 
@@ -62,4 +64,6 @@ def fill_by_locality(occs: DataFrame, order_by: Sequence[str | Column], keys: Se
     for f in flags:
         m = m.withColumn(f, F.when(has, F.lit(True)).otherwise(F.col(f)))
     m = m.withColumn(georef, has)
-    return union_strict(untouched, m.select(*untouched.columns))
+    out = union_strict(untouched, m.select(*untouched.columns))
+    # the reference puts records back in their input order; Spark keeps none, so sort on the order key
+    return sort_rows(out, list(order_by)) if sort_output else out

@@ -50,14 +50,21 @@ def score_rows(rows: DataFrame, draws: DataFrame, n_draws: int | None = None,
 
 
 def screen_species(predictors: DataFrame, n_draws: int = 4000, seed: int = 1, fnr: float = K.DESIRED_FNR,
-                   prior_sd=None) -> Screening:
+                   prior_sd=None, intercept_prior_t: tuple[float, float, float] | None = None) -> Screening:
+    """Split, fit, draw, score both halves, threshold on the labelled, list the confident unlabelled.
+
+    ``intercept_prior_t=K.INTERCEPT_PRIOR_T`` applies the Student-t intercept prior that the reference
+    builds (on the intercept of centred predictors, as the reference's modelling package defines it);
+    the default, like the reference's actual fit, uses none.
+    """
     # species-level tables are read by every Newton step and both scoring branches:
     # materialise them once in the shared checkpoint folder (lineage cut, survives lost executors)
     ensure_checkpoint_dir(predictors.sparkSession)
     predictors = predictors.checkpoint(eager=True)
     labelled, unlabelled = split_by_null(predictors, "Threatened")
     design = design_matrix(labelled, YEAR, LOGN, [SHARE], keep=["Threatened"])
-    fit = fit_logit(design, "Threatened", FEATURES, prior_sd=prior_sd)
+    fit = fit_logit(design, "Threatened", FEATURES, prior_sd=prior_sd,
+                    prior_t={"intercept": intercept_prior_t} if intercept_prior_t else None)
     draws = posterior_draws(predictors.sparkSession, fit, n_draws, seed)
     lab = score_rows(labelled, draws, n_draws).checkpoint(eager=True)
     pred = score_rows(unlabelled, draws, n_draws)
@@ -74,3 +81,11 @@ def plot_table(scored_labelled: DataFrame) -> DataFrame:
     t = scored_labelled.withColumn(
         "Predicted", F.when(F.col("Threatened") == 0, F.lit("Not threatened")).when(F.col("Threatened") != 0, F.lit("Threatened")))
     return row_index(t, ["epred", ACC], "index")
+
+
+def summary_lines(result: Screening, fnr: float = K.DESIRED_FNR) -> DataFrame:
+    """The two result sentences, as a two-row DataFrame (one aggregate over the confident list)."""
+    thr = result.threshold.select(F.format_string(K.THRESHOLD_SENTENCE, F.lit(str(fnr)), F.col("threshold").cast("string"))
+                                  .alias("line"))
+    cnt = result.confident.agg(F.format_string(K.COUNT_SENTENCE, F.count(F.lit(1))).alias("line"))
+    return thr.unionByName(cnt)

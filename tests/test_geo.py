@@ -104,3 +104,16 @@ def test_locality_fill_record_id_path_equals_distinct(spark):
     a = rows(fill_by_locality(df, ["uid", "decimalLatitude"]))
     b = rows(fill_by_locality(df, ["uid", "decimalLatitude"], record_id="uid"))
     assert a == b and len(a) == 4
+
+
+def test_valid_coordinate_rule(spark):
+    df = spark.createDataFrame([(1, 91.0, 0.0), (2, 45.0, -181.0), (3, -90.0, 180.0), (4, None, 500.0)],
+                               "id int, lat double, lon double")
+    assert rows(G.drop_invalid_coordinates(df, "lat", "lon"), "id") == [(3,), (4,)]
+
+
+def test_locality_fill_sorted_output(spark):
+    data = [(k, "US", "ME", None, "Bog", None if k % 2 else 1.0, 2.0, k % 2 == 0, None, None, None, None)
+            for k in (5, 3, 9, 1, 4)]
+    out = fill_by_locality(spark.createDataFrame(data, LOC_SCHEMA), ["uid"], sort_output=True)
+    assert [r["uid"] for r in out.collect()] == [1, 3, 4, 5, 9]

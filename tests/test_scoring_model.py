@@ -123,3 +123,26 @@ def test_fit_logit_matches_mllib(spark):
     summ = {r.term: r for r in M.draws_summary(draws).collect()}
     assert summ["b_intercept"].draws == 4000 and summ["b_c"].method == "laplace"
     assert summ["b_a"].q2_5 < summ["b_a"].q50 < summ["b_a"].q97_5
+
+
+def test_student_t_intercept_prior_pulls_intercept(spark):
+    df = M.design_matrix(_logit_data(spark, n=300, seed=8), "a", "b", ["c"], keep=["y"])
+    feats = ["a", "b", "a_x_b", "c"]
+    free = M.fit_logit(df, "y", feats)
+    tight = M.fit_logit(df, "y", feats, prior_t={"intercept": (3, -1, 0.3)})
+    # the prior acts on the intercept of the standardised (centred) predictors
+    zfree = free.mode[0] + sum(free.mode[1:] * np.array(free.scale["mean"]))
+    ztight = tight.mode[0] + sum(tight.mode[1:] * np.array(tight.scale["mean"]))
+    assert abs(ztight + 1) < abs(zfree + 1)
+
+
+def test_plot_table_and_summary(spark):
+    from taxaspark.plans import screen as SC
+    lab = spark.createDataFrame([("a", 1, 0.9, 0.8, 0.95), ("b", 0, 0.2, 0.1, 0.3), ("c", 0, 0.5, 0.4, 0.6)],
+                                "acceptedNameAuthor string, Threatened int, epred double, lower double, upper double")
+    out = {r["acceptedNameAuthor"]: r for r in SC.plot_table(lab).collect()}
+    assert [out[k]["index"] for k in "bca"] == [1, 2, 3]
+    assert out["a"]["Predicted"] == "Threatened" and out["b"]["Predicted"] == "Not threatened"
+    res = SC.Screening(None, None, lab, lab, spark.createDataFrame([(0.4,)], "threshold double"), lab.limit(2))
+    lines = sorted(r[0] for r in SC.summary_lines(res).collect())
+    assert lines == ["2 of macrofungi species confidently least concern", "Threshold for FNR of 0.05 : 0.4"]
