@@ -23,3 +23,26 @@ def test_stream_flags_equal_batch(spark):
     expect = flag_stream(batch, species=wanted)   # the same function on the batch frame
     assert rows(got, "uid") == [(4,), (5,)]
     assert rows(got) == rows(expect.select(*got.columns))
+
+
+def test_stream_centroid_flag_equals_batch(spark):
+    from taxaspark.operators import geo as G
+    import random
+    rnd = random.Random(4)
+    cents = spark.createDataFrame([(10.0, 20.0), (-45.0, 179.9), (89.9, 0.0)], "lat double, lon double")
+    pts = [(i, rnd.choice([10.0, -45.0, 89.95, 30.0]) + rnd.uniform(-0.05, 0.05),
+            rnd.choice([20.0, -179.95, 100.0]) + rnd.uniform(-0.05, 0.05), 10.0) for i in range(400)]
+    pts += [(1000, None, 1.0, 1.0)]
+    batch = spark.createDataFrame(pts, "uid long, decimalLatitude double, decimalLongitude double, "
+                                       "coordinateUncertaintyInMeters double")
+    src = tempfile.mkdtemp(prefix="taxaspark-src-")
+    out = tempfile.mkdtemp(prefix="taxaspark-out-")
+    ck = tempfile.mkdtemp(prefix="taxaspark-ck-")
+    batch.write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(batch.schema).parquet(src)
+    q = start_to_parquet(flag_stream(stream, points=cents, radius_m=20000.0, gate=False), out, ck)
+    q.awaitTermination(120)
+    got = dict(spark.read.parquet(out).select("uid", "clean_tests").collect())
+    want = dict(G.flag_near_points(batch, "decimalLatitude", "decimalLongitude", cents, radius_m=20000.0)
+                .select("uid", "clean_tests").collect())
+    assert got == want and list(want.values()).count(False) > 50
