@@ -31,8 +31,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` (or already set on the
-    context) is used as is. Only when neither is set, as in local tests, a
-    fresh folder under the system temp dir is created.
+    context) is used as is. Only in local mode with neither set, as in
+    tests, a fresh folder under the system temp dir is created; on a
+    cluster a machine-local folder would not survive lost executors, so the
+    setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -40,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared storage")
         configured = tempfile.mkdtemp(prefix="taxaspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
