@@ -47,6 +47,40 @@ EXCLUDED_COUNTRY_CODES = ["US", "CA"]
 ABSENT_STATUS = "ABSENT"
 ROGUE_RECORD_IDS = [3758416]
 
+# columns removed from the raw downloads, per file, in the reference's order
+PORTAL_US_DROP = [
+    "institutionCode", "collectionCode", "ownerInstitutionCode", "catalogNumber",
+    "otherCatalogNumbers", "higherClassification", "subgenus", "verbatimTaxonRank", "identifiedBy",
+    "dateIdentified", "identificationRemarks", "taxonRemarks", "identificationQualifier", "typeStatus",
+    "eventDate", "startDayOfYear", "endDayOfYear", "verbatimEventDate", "occurrenceRemarks", "fieldNumber", "eventID",
+    "dataGeneralizations", "dynamicProperties", "associatedOccurrences", "associatedSequences",
+    "reproductiveCondition", "establishmentMeans", "lifeStage", "sex", "preparations", "locationID",
+    "waterBody", "islandGroup", "island", "locationRemarks", "verbatimCoordinates", "georeferencedBy",
+    "georeferenceProtocol", "georeferenceSources", "georeferenceVerificationStatus", "georeferenceRemarks",
+    "minimumDepthInMeters", "maximumDepthInMeters", "verbatimDepth", "verbatimElevation", "disposition",
+    "language", "modified", "references", "eventDate", "identificationReferences", "recordEnteredBy",
+    "verbatimAttributes", "cultivationStatus", "sourcePrimaryKey-dbpk", "eventDate2", "substrate",
+    "individualCount", "localitySecurity", "localitySecurityReason", "collID",
+]
+PORTAL_CA_DROP = [
+    "institutionCode", "collectionCode", "ownerInstitutionCode", "collectionID", "catalogNumber",
+    "otherCatalogNumbers", "higherClassification", "subgenus", "verbatimTaxonRank", "identifiedBy",
+    "dateIdentified", "identificationRemarks", "taxonRemarks", "identificationQualifier", "typeStatus",
+    "eventDate", "startDayOfYear", "endDayOfYear", "verbatimEventDate", "occurrenceRemarks", "fieldNumber", "eventID",
+    "dataGeneralizations", "dynamicProperties", "associatedOccurrences", "associatedSequences",
+    "reproductiveCondition", "establishmentMeans", "lifeStage", "sex", "preparations", "locationID",
+    "waterBody", "islandGroup", "island", "locationRemarks", "verbatimCoordinates", "georeferencedBy",
+    "georeferenceProtocol", "georeferenceSources", "georeferenceVerificationStatus", "georeferenceRemarks",
+    "minimumDepthInMeters", "maximumDepthInMeters", "verbatimDepth", "verbatimElevation", "disposition",
+    "language", "modified", "rights", "rightsHolder", "accessRights", "references", "eventDate",
+    "identificationReferences", "recordEnteredBy", "informationWithheld",
+]
+AGGREGATOR_DROP = [
+    "datasetKey", "publishingOrgKey", "depth", "depthAccuracy", "eventDate", "institutionCode",
+    "collectionCode", "catalogNumber", "identifiedBy", "dateIdentified", "license", "rightsHolder", "recordedBy",
+    "typeStatus", "establishmentMeans", "lastInterpreted", "mediaType", "eventDate",
+]
+
 # coordinate quality and predictors
 UNCERTAINTY_LIMIT_M = 100000
 GRID_DIGITS = 3

@@ -105,3 +105,11 @@ def test_label_after_drop(spark):
     threat = spark.createDataFrame([("other", 1)], "acceptedNameAuthor string, Threatened int")
     out = P.species_predictors(occ, years, threat, ["uid"]).collect()
     assert len(out) == 1 and out[0].Threatened is None and out[0].specimenCount == 1
+
+
+def test_reference_drop_lists_apply(spark):
+    from taxaspark.plans import constants as K
+    cols = ["id", "locality"] + list(dict.fromkeys(K.PORTAL_US_DROP))
+    df = spark.createDataFrame([tuple(range(len(cols)))], ", ".join(f"`{c}` int" for c in cols))
+    out = O.portal_records([df], [K.PORTAL_US_DROP])
+    assert out.columns == ["id", "locality"]
