@@ -28,7 +28,8 @@ def is_member(c: str | Column, values: Iterable) -> Column:
     vals = list(values)
     plain = [v for v in vals if v is not None]
     x = col_of(c)
-    hit = F.coalesce(x.isin(plain), F.lit(False)) if plain else F.lit(False)
+    # ``x IS NOT NULL AND x IN (...)`` is never NULL and, unlike ``coalesce``, reaches the scan
+    hit = (x.isNotNull() & x.isin(plain)) if plain else F.lit(False)
     return (hit | x.isNull()) if len(plain) != len(vals) else hit
 
 

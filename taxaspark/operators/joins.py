@@ -94,9 +94,29 @@ def semi_join_either(df: DataFrame, key: str, sets: Sequence[tuple[DataFrame, st
     return join_on(df, keyset.distinct(), {key: "__k__"}, "left_semi", null_safe)
 
 
-def exclude_keys(df: DataFrame, key: str, exclusions: DataFrame, exclusion_key: str | None = None) -> DataFrame:
-    """Remove known bad records listed in ``exclusions`` (null-safe anti join)."""
-    return anti_join(df, exclusions, {key: exclusion_key or key})
+def exclude_values(df: DataFrame, key: str, values) -> DataFrame:
+    """Remove known bad records given as a literal list: ``filter(!(k %in% c(...)))``.
+
+    A plain filter (NULL keys kept unless ``None`` is listed) that Spark pushes into the scan;
+    no join and no shuffle.
+    """
+    from ..functions.nulls import not_member
+    return df.filter(not_member(key, list(values)))
+
+
+def exclude_keys(df: DataFrame, key: str, exclusions: DataFrame, exclusion_key: str | None = None,
+                 broadcast_max_rows: int = 1_000_000) -> DataFrame:
+    """Remove records whose key is listed in an exclusion table (null-safe anti join).
+
+    The distinct exclusion keys are counted first; a list within
+    ``broadcast_max_rows`` is broadcast, so the large side is never
+    shuffled for a handful of ids. A larger list is left to the planner.
+    """
+    ek = exclusion_key or key
+    keys = exclusions.select(qcol(ek)).distinct()
+    if keys.count() <= broadcast_max_rows:
+        keys = F.broadcast(keys)
+    return join_on(df, keys, {key: ek}, "left_anti")
 
 
 def keep_keys_in_other(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None) -> DataFrame:

@@ -80,3 +80,13 @@ def test_semi_join_either_is_equi_join(spark):
     assert rows(out) == [(1,), (2,), (7,)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan
+
+
+def test_exclusions(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (3758416,)], "id long")
+    assert rows(J.exclude_values(df, "id", [3758416])) == [(None,), (1,), (2,)]
+    bad = spark.createDataFrame([(2,), (None,)], "id long")
+    out = J.exclude_keys(df, "id", bad)
+    assert rows(out) == [(1,), (3758416,)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
