@@ -336,3 +336,35 @@ def filter_occurrences(spark, d):
         _all_names(spark, d), _checklist_filtered(spark, d))
     return out.select("uniqueCombinedID", "Source", "countryCode", "year", "locality", "NameAuthor",
                       "acceptedNameAuthor", "acceptedName")
+
+
+# ------------------------------------------------------------------ unassessed checklist
+def _checklist_names(spark, d):
+    p = table(spark, d, "part")
+    return p.select(F.concat(c("p_partkey").cast("string"), F.when(c("p_size") > 25, F.lit(" L.")).otherwise(F.lit(" Fr.")))
+                    .alias("NameAuthor"), c("p_brand").alias("Source"), c("p_partkey").alias("TaxonId"))
+
+
+CHECKLIST_NAMES_SQL = f"""{TRAINING_SQL},
+checklist AS (
+  SELECT CAST(p_partkey AS VARCHAR) || CASE WHEN p_size > 25 THEN ' L.' ELSE ' Fr.' END AS NameAuthor,
+         p_brand AS Source, p_partkey AS TaxonId FROM part),
+unassessed AS (
+  SELECT * FROM checklist c WHERE NOT EXISTS (SELECT 1 FROM training t WHERE t.NameAuthor IS NOT DISTINCT FROM c.NameAuthor)),
+names AS (SELECT NameAuthor FROM unassessed)"""
+
+
+@register("checklist_table", f"""WITH {resolve_sql(CHECKLIST_NAMES_SQL, TRAINING_CAND_SQL)},
+acc AS (
+  SELECT searchName, species, coalesce(accepted, scientificName) AS accepted, coalesce(acceptedKey, key) AS acceptedKey
+  FROM resolved WHERE NOT coalesce(taxonomicStatus IN ('DOUBTFUL'), false))
+SELECT acc.searchName AS NameAuthor, u.Source, u.TaxonId, acc.species AS acceptedName,
+       acc.accepted AS acceptedNameAuthor, acc.acceptedKey AS gbifAcceptedKey
+FROM unassessed u RIGHT JOIN acc ON u.NameAuthor IS NOT DISTINCT FROM acc.searchName""")
+def checklist_table(spark, d):
+    """Checklist names not assessed, resolved (doubtful dropped, accepted name and key filled), right join."""
+    rl = N.redlist_labels(_assessments(spark, d), _taxonomy(spark, d))
+    training = N.assessed_species(rl, N.natureserve_labels(_natureserve(spark, d), rl))
+    unassessed = N.unassessed_checklist(_checklist_names(spark, d), training)
+    acc = N.accepted_checklist(unassessed, _training_candidates(spark, d), usage(spark, d))
+    return N.checklist_table(unassessed, acc)

@@ -103,3 +103,39 @@ def screen_species_q(spark, d):
         round_half_up("epred", 3).alias("medianPrediction"), round_half_up("lower", 3).alias("lower95ConfInt"),
         round_half_up("upper", 3).alias("upper95ConfInt"), "pred_class",
         (~F.col("labelled") & (F.col("upper") < F.col("__t__"))).alias("confident"))
+
+
+def _gated_occurrences(spark, d):
+    from ..operators.geo import quality_gate
+    occ = G.flag_all(occurrences(spark, d), "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",
+                     centroids(spark, d), radius_m=CENTROID_RADIUS_M)
+    return quality_gate(occ)
+
+
+@register("specimen_count", f"""WITH {PREDICTORS_SQL}
+SELECT acceptedNameAuthor, specimenCount FROM cnt""")
+def specimen_count(spark, d):
+    """Records per species after the grid / locality dedups (one scan, two map-side-combined aggregates)."""
+    return P.specimen_count(_gated_occurrences(spark, d))
+
+
+@register("contemporary_share", f"""WITH {PREDICTORS_SQL}
+SELECT acceptedNameAuthor, propContemporary FROM share""")
+def contemporary_share(spark, d):
+    """Share of records after 1992 per species, after the two first-wins dedups."""
+    return P.contemporary_share(_gated_occurrences(spark, d), ["uid"])
+
+
+@register("year_published", f"""WITH {PREDICTORS_SQL}
+SELECT acceptedNameAuthor, yearPublished FROM yall""")
+def year_published(spark, d):
+    """Basionym year per wanted name: by current name, then by name, then manual rows."""
+    return P.year_published(backbone(spark, d), wanted_names(spark, d), P.manual_years(spark))
+
+
+@register("plot_table")
+def plot_table(spark, d):
+    """Labelled species with actual label text, sorted by the median prediction and numbered."""
+    from ..plans.screen import plot_table as plot
+    res = screen_species(predictor_table(spark, d), n_draws=2000, seed=11, prior_sd=2.5)
+    return plot(res.labelled).select("index", "acceptedNameAuthor", "Predicted", "epred", "lower", "upper")

@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
-MODEL = {"fit_logit", "posterior_draws", "draws_summary", "screen_species"}
+MODEL = {"fit_logit", "posterior_draws", "draws_summary", "screen_species", "plot_table"}
 # cross joins with a bounded broadcast side: the draws table, a one-row threshold or total
 CROSS_OK = {"posterior_expected", "median_interval", "classify", "fnr_curve", "threshold_for_fnr", "confident_list"}
 # single-partition exchanges only for one-row totals and the per-bucket / per-range offsets
