@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.nulls import is_member, not_matches, paste_guarded
-from ..functions.text import WORD, code_map, combined_id, first_word, lenient_double, override, space_initials, word_count
+from ..functions.text import code_map, combined_id, first_word, lenient_double, override, space_initials, word_count
 from ..operators import aggregates as A
 from ..operators import dedup as D
 from ..operators import frames as FR

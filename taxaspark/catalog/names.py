@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators.joins import join_on
 from ..plans import names as N
 from .registry import register

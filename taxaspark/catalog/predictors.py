@@ -7,7 +7,7 @@ from ..operators import geo as G
 from ..plans import predictors as P
 from ..plans.screen import screen_species
 from .registry import register
-from .standins import (BACKBONE_SQL, CENTROID_RADIUS_M, FLAGGED_OCCS_SQL, THREAT_SQL, WANTED_SQL, backbone, c,
+from .standins import (BACKBONE_SQL, CENTROID_RADIUS_M, FLAGGED_OCCS_SQL, THREAT_SQL, WANTED_SQL, backbone,
                        centroids, occurrences, sql_round, threat, wanted_names)
 
 

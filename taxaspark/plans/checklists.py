@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import any_of, is_member, not_matches, paste_guarded
+from ..functions.nulls import any_of, not_matches, paste_guarded
 from ..functions.text import first_word, word_count
 from ..operators.frames import union_missing
 from ..operators.joins import anti_join, semi_join
@@ -56,5 +56,3 @@ def combine_checklists(portal: DataFrame, micro: DataFrame, taxa: DataFrame, pro
     second = proto_checklist(proto, macro_genera(taxa), first, require_placed)
     return union_missing(first, second)
 
-
-__all__ = ["portal_checklist", "macro_genera", "proto_checklist", "combine_checklists", "is_member"]
