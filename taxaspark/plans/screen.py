@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.frames import split_by_null
-from ..operators.model import (LogitFit, coefficient_column, design_matrix, fit_logit,
+from ..operators.model import (LogitFit, coefficient_column, design_matrix, fit_logit, importance_resample,
                                interaction_name, posterior_draws)
 from ..operators.ranking import row_index
 from ..operators.scoring import classify, confident_list, posterior_interval, threshold_for_fnr
@@ -50,12 +50,14 @@ def score_rows(rows: DataFrame, draws: DataFrame, n_draws: int | None = None,
 
 
 def screen_species(predictors: DataFrame, n_draws: int = 4000, seed: int = 1, fnr: float = K.DESIRED_FNR,
-                   prior_sd=None, intercept_prior_t: tuple[float, float, float] | None = None) -> Screening:
+                   prior_sd=None, intercept_prior_t: tuple[float, float, float] | None = None,
+                   importance: bool = False) -> Screening:
     """Split, fit, draw, score both halves, threshold on the labelled, list the confident unlabelled.
 
     ``intercept_prior_t=K.INTERCEPT_PRIOR_T`` applies the Student-t intercept prior that the reference
     builds (on the intercept of centred predictors, as the reference's modelling package defines it);
-    the default, like the reference's actual fit, uses none.
+    the default, like the reference's actual fit, uses none. ``importance=True`` corrects the
+    normal approximation by importance resampling (one more distributed job over the labelled rows).
     """
     # species-level tables are read by every Newton step and both scoring branches:
     # materialise them once in the shared checkpoint folder (lineage cut, survives lost executors)
@@ -65,7 +67,12 @@ def screen_species(predictors: DataFrame, n_draws: int = 4000, seed: int = 1, fn
     design = design_matrix(labelled, YEAR, LOGN, [SHARE], keep=["Threatened"])
     fit = fit_logit(design, "Threatened", FEATURES, prior_sd=prior_sd,
                     prior_t={"intercept": intercept_prior_t} if intercept_prior_t else None)
-    draws = posterior_draws(predictors.sparkSession, fit, n_draws, seed)
+    if importance:
+        prior_t = {"intercept": intercept_prior_t} if intercept_prior_t else None
+        draws, fit.ess = importance_resample(predictors.sparkSession, design, "Threatened", FEATURES, fit,
+                                             n_draws, seed, prior_sd, prior_t)
+    else:
+        draws = posterior_draws(predictors.sparkSession, fit, n_draws, seed)
     lab = score_rows(labelled, draws, n_draws).checkpoint(eager=True)
     pred = score_rows(unlabelled, draws, n_draws)
     thr = threshold_for_fnr(lab, "Threatened", "epred", fnr)

@@ -146,3 +146,25 @@ def test_plot_table_and_summary(spark):
     res = SC.Screening(None, None, lab, lab, spark.createDataFrame([(0.4,)], "threshold double"), lab.limit(2))
     lines = sorted(r[0] for r in SC.summary_lines(res).collect())
     assert lines == ["2 of macrofungi species confidently least concern", "Threshold for FNR of 0.05 : 0.4"]
+
+
+def test_importance_resampling_matches_laplace_on_large_data(spark):
+    df = M.design_matrix(_logit_data(spark, n=2000, seed=12), "a", "b", ["c"], keep=["y"])
+    feats = ["a", "b", "a_x_b", "c"]
+    fit = M.fit_logit(df, "y", feats)
+    draws, ess = M.importance_resample(spark, df, "y", feats, fit, n=2000, seed=5)
+    assert ess > 300
+    mean = np.array(draws.agg(*[F.avg(M.coefficient_column(t)) for t in fit.terms]).collect()[0])
+    sd = np.sqrt(np.diag(fit.cov))
+    # with 2000 rows the posterior is close to normal: resampled means stay within a fraction of an sd
+    assert np.all(np.abs(mean - fit.mode) < 0.25 * sd)
+
+
+def test_importance_resampling_skews_small_data(spark):
+    # few rows: the exact posterior of the intercept is skewed; the correction moves the mean off the mode
+    data = spark.createDataFrame([(1, 0.0), (1, 1.0), (1, 0.5), (0, 0.2), (1, 0.9), (1, 0.3), (1, 0.7)],
+                                 "y int, x double")
+    fit = M.fit_logit(data, "y", ["x"], prior_sd=2.5)
+    draws, ess = M.importance_resample(spark, data, "y", ["x"], fit, n=3000, seed=2, prior_sd=2.5)
+    m = draws.agg(F.avg("b_intercept")).collect()[0][0]
+    assert ess > 100 and m != pytest.approx(fit.mode[0], abs=1e-3)
