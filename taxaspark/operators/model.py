@@ -91,55 +91,58 @@ def fit_logit(df: DataFrame, label: str, features: Sequence[str], prior_sd: floa
     if prior_mean:
         for j, t in enumerate(names):
             mu0[j] = prior_mean.get(t, 0.0)
-    beta = np.zeros(k)
-    converged, it, ll = False, 0, float("nan")
-    try:
-        for it in range(1, max_iter + 1):
-            eta = zcols[0] * F.lit(float(beta[0]))
-            for j in range(1, k):
-                eta = eta + zcols[j] * F.lit(float(beta[j]))
-            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
-            w = p * (F.lit(1.0) - p)
-            r = F.col("__y__") - p
-            aggs = [F.sum(r * zcols[j]).alias(f"g{j}") for j in range(k)]
-            aggs += [F.sum(w * zcols[a] * zcols[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(a, k)]
-            aggs.append(F.sum(F.col("__y__") * eta - _log1pexp(eta)).alias("ll"))
-            row = z.agg(*aggs).first()
-            g = np.array([row[f"g{j}"] or 0.0 for j in range(k)]) - prec * (beta - mu0)
-            h = np.zeros((k, k))
-            for a in range(k):
-                for b in range(a, k):
-                    h[a, b] = h[b, a] = row[f"h{a}_{b}"] or 0.0
-            h += np.diag(prec)
-            tg, th = _t_prior_terms(beta, names, prior_t)
-            g += tg
-            h += np.diag(th)
-            ll = float(row["ll"] or 0.0)
-            step = np.linalg.solve(h, g)
-            beta = beta + step
-            if np.max(np.abs(step)) < tol:
-                converged = True
-                break
-        if converged:
-            # the step was below ``tol``: the last Hessian is the one at the mode
-            cov_z = np.linalg.inv(h)
-            return _finish(beta, cov_z, means, sds, names, n, ll, it, converged)
-        # not converged: Hessian at the last iterate
+    def evaluate(beta: np.ndarray):
+        """Log-posterior, gradient and negative Hessian at ``beta``: one Spark aggregate."""
         eta = zcols[0] * F.lit(float(beta[0]))
         for j in range(1, k):
             eta = eta + zcols[j] * F.lit(float(beta[j]))
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
         w = p * (F.lit(1.0) - p)
-        row = z.agg(*[F.sum(w * zcols[a] * zcols[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(a, k)]).first()
+        r = F.col("__y__") - p
+        aggs = [F.sum(r * zcols[j]).alias(f"g{j}") for j in range(k)]
+        aggs += [F.sum(w * zcols[a] * zcols[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(a, k)]
+        aggs.append(F.sum(F.col("__y__") * eta - _log1pexp(eta)).alias("ll"))
+        row = z.agg(*aggs).first()
+        g = np.array([row[f"g{j}"] or 0.0 for j in range(k)]) - prec * (beta - mu0)
         h = np.zeros((k, k))
         for a in range(k):
             for b in range(a, k):
                 h[a, b] = h[b, a] = row[f"h{a}_{b}"] or 0.0
         h += np.diag(prec)
-        h += np.diag(_t_prior_terms(beta, names, prior_t)[1])
-        cov_z = np.linalg.inv(h)
+        tg, th = _t_prior_terms(beta, names, prior_t)
+        ll = float(row["ll"] or 0.0)
+        lp = ll - 0.5 * float(np.sum(prec * (beta - mu0) ** 2)) + _t_log_prior(beta, names, prior_t)
+        return lp, g + tg, h + np.diag(th), ll
+
+    beta = np.zeros(k)
+    converged, it = False, 0
+    try:
+        lp, g, h, ll = evaluate(beta)
+        for it in range(1, max_iter + 1):
+            try:
+                step = np.linalg.solve(h, g)
+            except np.linalg.LinAlgError:
+                step = np.linalg.lstsq(h, g, rcond=None)[0]
+            # Newton step, halved until the log-posterior does not fall (separable data,
+            # poor curvature far from the mode); each trial is one aggregate
+            t = 1.0
+            for _ in range(30):
+                cand = beta + t * step
+                lp_c, g_c, h_c, ll_c = evaluate(cand)
+                if lp_c >= lp - 1e-12 * max(1.0, abs(lp)):
+                    break
+                t /= 2
+            moved = np.max(np.abs(cand - beta))
+            beta, lp, g, h, ll = cand, lp_c, g_c, h_c, ll_c
+            if moved < tol:
+                converged = True
+                break
     finally:
         z.unpersist()
+    try:
+        cov_z = np.linalg.inv(h)             # h is evaluated at the returned mode
+    except np.linalg.LinAlgError:
+        cov_z = np.linalg.pinv(h)
     return _finish(beta, cov_z, means, sds, names, n, ll, it, converged)
 
 
@@ -171,6 +174,16 @@ def _t_prior_terms(beta, names, prior_t):
     return g, h
 
 
+def _t_log_prior(beta, names, prior_t) -> float:
+    total = 0.0
+    for j, t in enumerate(names):
+        spec = (prior_t or {}).get(t)
+        if spec:
+            nu, loc, scale = spec
+            total += -(nu + 1) / 2 * np.log1p(((beta[j] - loc) / scale) ** 2 / nu)
+    return float(total)
+
+
 def coefficient_column(term: str) -> str:
     return f"b_{term}"
 

@@ -168,3 +168,12 @@ def test_importance_resampling_skews_small_data(spark):
     draws, ess = M.importance_resample(spark, data, "y", ["x"], fit, n=3000, seed=2, prior_sd=2.5)
     m = draws.agg(F.avg("b_intercept")).collect()[0][0]
     assert ess > 100 and m != pytest.approx(fit.mode[0], abs=1e-3)
+
+
+def test_fit_logit_separable_data_stays_finite(spark):
+    df = spark.createDataFrame([(0, float(x)) for x in range(10)] + [(1, float(x)) for x in range(10, 20)],
+                               "y int, x double")
+    free = M.fit_logit(df, "y", ["x"], max_iter=15)
+    assert not free.converged and np.all(np.isfinite(free.mode))
+    weak = M.fit_logit(df, "y", ["x"], prior_sd=2.5)
+    assert weak.converged and np.all(np.isfinite(weak.cov)) and weak.mode[1] > 0
