@@ -113,3 +113,13 @@ def test_reference_drop_lists_apply(spark):
     df = spark.createDataFrame([tuple(range(len(cols)))], ", ".join(f"`{c}` int" for c in cols))
     out = O.portal_records([df], [K.PORTAL_US_DROP])
     assert out.columns == ["id", "locality"]
+
+
+def test_route_one_wins_over_name_route(spark):
+    portal = spark.createDataFrame([(1, 10, "Aa b", "L.", "Aa", "b", "USA", None, 2001, "x"),
+                                    (2, None, "Aa b", "L.", "Aa", "b", "USA", None, 2001, "y")], PORTAL)
+    checklist = spark.createDataFrame([(10, "Route one", "R1")],
+                                      "TaxonId long, acceptedNameAuthor string, acceptedName string")
+    names = spark.createDataFrame([("Aa b L.", "N2", "Route two", 5, "Aa b L.")], NAMES)
+    got = dict(O.portal_matches(portal, checklist, names).select("id", "acceptedNameAuthor").collect())
+    assert got == {1: "Route one", 2: "Route two"}
