@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from ..session import default_parallelism, ensure_checkpoint_dir
 
 
+MAX_BUCKETS = 4096
+
+
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     out = []
     for c in order_by:
@@ -72,7 +75,9 @@ def running_sum_desc(per_value: DataFrame, value: str, amount: str, name: str,
     the driver); the bucket totals are one row per bucket.
     """
     spark = per_value.sparkSession
-    nb = buckets or default_parallelism(spark)
+    # rows are already one per distinct value: a few thousand buckets give full parallelism,
+    # and the cut points and the per-bucket offsets stay small
+    nb = buckets or min(default_parallelism(spark), MAX_BUCKETS)
     probs = [i / nb for i in range(1, nb)]
     cuts = sorted(set(per_value.approxQuantile(value, probs, rel_error))) if probs else []
     splits = [float("-inf"), *cuts, float("inf")]
