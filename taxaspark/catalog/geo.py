@@ -8,9 +8,11 @@ from ..operators import aggregates as A
 from ..operators import dedup as D
 from ..operators import geo as G
 from ..plans.locality import fill_by_locality
+from ..session import ensure_checkpoint_dir
+from ..streaming.flags import flag_stream, start_to_parquet
 from .registry import register
 from .standins import (CENTROID_RADIUS_M, CENTROIDS_SQL, FLAGGED_OCCS_SQL, POINTS_SQL, c, centroids, flags_sql,
-                       occurrences, points, sql_round)
+                       occurrences, points, points_from, sql_round, table)
 
 FLAGGED_POINTS_SQL = f"""WITH {POINTS_SQL},
 {CENTROIDS_SQL},
@@ -128,3 +130,23 @@ def locality_fill(spark, d):
     occ = G.flag_all(occurrences(spark, d), "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",
                      centroids(spark, d), radius_m=CENTROID_RADIUS_M)
     return fill_by_locality(occ, ["uid"], record_id="uid")
+
+
+@register("stream_quality_gate", f"""{FLAGGED_POINTS_SQL}
+SELECT event_id, user_id FROM fp
+WHERE georeferenced = false OR ((cc_equ AND cc_zero AND clean_tests AND cc_err) OR cc_err IS NULL)""")
+def stream_quality_gate(spark, d):
+    """The quality gate run as a stream: events read by the file source, flags (the centroid test as
+    stream-static semi/anti joins), gate, exactly-once Parquet sink under the shared checkpoint folder;
+    the same rows as the batch ``quality_gate``."""
+    import uuid
+    schema = table(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    flagged = flag_stream(points_from(stream), lat="lat", lon="lon", unc="unc", points=centroids(spark, d),
+                          radius_m=CENTROID_RADIUS_M)
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-gate-{uuid.uuid4().hex}"
+    q = start_to_parquet(flagged.select("event_id", "user_id"), f"{out}/data", f"{out}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema("event_id long, user_id long").parquet(f"{out}/data")

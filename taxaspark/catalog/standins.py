@@ -128,7 +128,11 @@ flagged AS (
 
 # ---------------------------------------------------------------- event points
 def points(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
+    return points_from(table(spark, d, "events"))
+
+
+def points_from(e: DataFrame) -> DataFrame:
+    """Pseudo-coordinates and uncertainty of event rows (batch or streaming frame)."""
     return e.select(
         "event_id", "user_id", "event_type", "value",
         F.when(c("event_type") == "error", F.lit(None).cast("double"))
