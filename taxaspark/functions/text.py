@@ -28,6 +28,11 @@ def word_count(c: str | Column) -> Column:
     return F.regexp_count(col_of(c), F.lit(WORD))
 
 
+def binomial(c: str | Column) -> Column:
+    """The first two words of a name (genus and epithet), without the author; NULL if there are fewer."""
+    return F.nullif(F.regexp_extract(col_of(c), r"^\s*(\S+\s+\S+)", 1), F.lit(""))
+
+
 def space_initials(c: str | Column) -> Column:
     """Put a blank after an initial's period when a name follows."""
     return F.regexp_replace(col_of(c), INITIAL_GAP, ". ")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,12 +80,20 @@ def basionym_years(backbone: DataFrame, group: str) -> DataFrame:
 MANUAL_SCHEMA = StructType([StructField(ACC, StringType()), StructField("yearPublished", IntegerType())])
 
 
-def year_published(backbone: DataFrame, names: DataFrame, manual: DataFrame | None = None) -> DataFrame:
+def year_published(backbone: DataFrame, names: DataFrame, manual: DataFrame | None = None,
+                   key_form: Callable[[Column], Column] | None = None) -> DataFrame:
     """(acceptedNameAuthor, yearPublished): the basionym year of each wanted name.
 
     By current name first; names not found that way by the name itself;
     then manual rows; incomplete rows dropped.
+
+    ``key_form`` (e.g. ``functions.text.binomial``) is applied to the wanted
+    names, the backbone's names and the manual names before they are
+    compared, for when one side carries the author and the other does not;
+    the result is then keyed by the wanted names as given.
     """
+    if key_form is not None:
+        return _year_published_keyed(backbone, names, manual, key_form)
     bb = clean_backbone(backbone)
     wanted = names.select(ACC)
     cur = bb.filter((F.col("RECORD_NUMBER") == F.col("CURRENT_NAME_RECORD_NUMBER"))
@@ -117,3 +125,29 @@ def species_predictors(occs: DataFrame, years: DataFrame, threat: DataFrame,
     occ = occurrence_predictors(occs, order_by, gate)
     out = drop_missing(join_on(occ, years, ACC, "left"))
     return join_on(out, threat.select(ACC, "Threatened"), ACC, "left")
+
+
+def _year_published_keyed(backbone: DataFrame, names: DataFrame, manual: DataFrame | None,
+                          key_form: Callable[[Column], Column]) -> DataFrame:
+    bb = clean_backbone(backbone)
+    bb = (bb.withColumn("__raw_equal__", F.col("NAME_OF_FUNGUS") == F.col("CURRENT_NAME"))
+            .withColumn("CURRENT_NAME", key_form(F.col("CURRENT_NAME")))
+            .withColumn("NAME_OF_FUNGUS", key_form(F.col("NAME_OF_FUNGUS"))))
+    keyed = names.select(F.col(ACC), key_form(F.col(ACC)).alias("__key__")).distinct()
+    keys = keyed.select(F.col("__key__").alias(ACC))
+    cur = bb.filter((F.col("RECORD_NUMBER") == F.col("CURRENT_NAME_RECORD_NUMBER")) | F.col("__raw_equal__"))
+    cur = semi_join(cur, keys, {"CURRENT_NAME": ACC})
+    bas = basionym_years(bb, "CURRENT_NAME").select("CURRENT_NAME", F.col("YEAR_OF_PUBLICATION").alias("__y__"))
+    y1 = (join_on(cur.select("CURRENT_NAME"), bas, "CURRENT_NAME", "left")
+          .select(F.col("CURRENT_NAME").alias("__key__"), F.col("__y__").cast("int").alias("yearPublished")).distinct())
+    missed = anti_join(keys, y1, {ACC: "__key__"}).distinct()
+    bas2 = basionym_years(bb, "NAME_OF_FUNGUS").select("NAME_OF_FUNGUS", F.col("YEAR_OF_PUBLICATION").alias("__y__"))
+    y2_rows = semi_join(bb.select("NAME_OF_FUNGUS"), missed, {"NAME_OF_FUNGUS": ACC})
+    y2 = (join_on(y2_rows, bas2, "NAME_OF_FUNGUS", "left")
+          .select(F.col("NAME_OF_FUNGUS").alias("__key__"), F.col("__y__").cast("int").alias("yearPublished")).distinct())
+    parts = [y1, y2]
+    if manual is not None:
+        parts.append(manual.select(key_form(F.col(ACC).cast("string")).alias("__key__"),
+                                   F.col("yearPublished").cast("int").alias("yearPublished")))
+    by_key = drop_missing(union_strict(*parts))
+    return join_on(keyed, by_key, "__key__", "inner").select(ACC, "yearPublished").distinct()

@@ -123,3 +123,18 @@ def test_route_one_wins_over_name_route(spark):
     names = spark.createDataFrame([("Aa b L.", "N2", "Route two", 5, "Aa b L.")], NAMES)
     got = dict(O.portal_matches(portal, checklist, names).select("id", "acceptedNameAuthor").collect())
     assert got == {1: "Route one", 2: "Route two"}
+
+
+def test_year_published_key_form(spark):
+    from taxaspark.functions.text import binomial
+    bb = spark.createDataFrame([
+        ("Aa b", "L.", "Aa b", 1, 1, 1, 1800),
+        ("Xx b", "Fr.", "Aa b", 2, 2, 1, 1790),
+        ("Cc d", "Pk.", "Zz z", 4, 4, 9, 1900),
+    ], BB)
+    names = spark.createDataFrame([("Aa b L.",), ("Cc d (Fr.) Pk.",), ("Sarcodon joeides Pat.",), ("Nn",)],
+                                  "acceptedNameAuthor string")
+    plain = dict(P.year_published(bb, names).collect())
+    assert "Aa b L." not in plain                     # with authors on one side only, nothing matches
+    keyed = dict(P.year_published(bb, names, P.manual_years(spark), key_form=binomial).collect())
+    assert keyed == {"Aa b L.": 1790, "Cc d (Fr.) Pk.": 1900, "Sarcodon joeides Pat.": 1872}
