@@ -20,11 +20,8 @@ def con():
 
 
 def _norm(row, order):
-    out = []
-    for i in order:
-        v = row[i]
-        out.append(round(v, 9) if isinstance(v, float) and not math.isnan(v) else v)
-    return tuple(out)
+    # exact: every double must be bit-identical to DuckDB's (NaN compared as text)
+    return tuple("nan" if isinstance(row[i], float) and math.isnan(row[i]) else row[i] for i in order)
 
 
 def _key(t):
