@@ -54,7 +54,13 @@ def posterior_expected(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Co
 
 def median_interval(df: DataFrame, keys: Sequence[str], value: str = "epred", width: float = 0.95,
                     median: str | None = None, lower: str = "lower", upper: str = "upper") -> DataFrame:
-    """``median_qi``: median and central ``width`` interval per key (exact, linear interpolation)."""
+    """``median_qi``: median and central ``width`` interval per key (exact, linear interpolation).
+
+    The exact percentile keeps each group's values in its aggregation
+    buffer, so groups must be bounded, as they are here (one group = one row's
+    draws). For intervals of a row over draws ``posterior_interval`` avoids
+    the group-by altogether.
+    """
     lo, hi = (1 - width) / 2, 1 - (1 - width) / 2
     q = F.percentile(F.col(value), F.array(F.lit(lo), F.lit(0.5), F.lit(hi)))
     return (df.groupBy(*keys).agg(q.alias("__q__"))

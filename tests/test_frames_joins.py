@@ -90,3 +90,20 @@ def test_exclusions(spark):
     assert rows(out) == [(1,), (3758416,)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_full_join_and_map_columns(spark):
+    a = spark.createDataFrame([(1, "a"), (None, "n")], "k int, x string")
+    b = spark.createDataFrame([(2, "b"), (None, "m")], "k int, y string")
+    full = J.join_on(a, b, "k", "full")
+    assert rows(full) == [(None, "n", "m"), (1, "a", None), (2, None, "b")]
+    df = spark.createDataFrame([(1.5, 2, "s")], "d double, i int, s string")
+    from pyspark.sql.types import StringType
+    up = FR.map_columns(df, StringType, F.upper)
+    assert up.collect()[0] == (1.5, 2, "S") and up.schema == df.schema
+
+
+def test_exclude_keys_without_broadcast(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "id long")
+    bad = spark.createDataFrame([(2,)], "id long")
+    assert rows(J.exclude_keys(df, "id", bad, broadcast_max_rows=0)) == [(None,), (1,)]

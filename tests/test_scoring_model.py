@@ -177,3 +177,17 @@ def test_fit_logit_separable_data_stays_finite(spark):
     assert not free.converged and np.all(np.isfinite(free.mode))
     weak = M.fit_logit(df, "y", ["x"], prior_sd=2.5)
     assert weak.converged and np.all(np.isfinite(weak.cov)) and weak.mode[1] > 0
+
+
+def test_posterior_interval_large_draws_fallback(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows_df = spark.createDataFrame([(i, rnd.uniform(-1, 1)) for i in range(20)], "id int, x double")
+    draws = spark.createDataFrame([(i, rnd.gauss(0, 1), rnd.gauss(1, 0.5)) for i in range(30)],
+                                  "draw_id int, b_intercept double, b_x double")
+    terms = {"b_x": F.col("x")}
+    want = {r.id: r for r in S.posterior_interval(rows_df, draws, terms, n_draws=30).collect()}
+    monkeypatch.setattr(S, "MAX_BROADCAST_DRAWS", 10)       # force the long (rows x draws) form
+    got = {r.id: r for r in S.posterior_interval(rows_df, draws, terms, n_draws=30).collect()}
+    for k, r in want.items():
+        assert got[k].epred == pytest.approx(r.epred, abs=1e-12)
+        assert got[k].lower == pytest.approx(r.lower, abs=1e-12) and got[k].upper == pytest.approx(r.upper, abs=1e-12)
