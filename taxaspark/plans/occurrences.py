@@ -39,6 +39,7 @@ def portal_matches(portal: DataFrame, checklist: DataFrame, names: DataFrame) ->
     genus + epithet + author. Route 2: name + author equal to a name in
     either name column of the synonym map; the accepted name is attached by
     the spaced name only. Union distinct, then one row per id.
+    ``portal`` must hold one row per id (as ``portal_records`` returns).
     """
     cl = checklist.select("TaxonId", "acceptedNameAuthor", "acceptedName").na.drop(subset=["TaxonId"])
     r1 = join_on(portal.filter(F.col("taxonID").isNotNull()), cl, {"taxonID": "TaxonId"}, "inner", null_safe=False)
@@ -50,7 +51,10 @@ def portal_matches(portal: DataFrame, checklist: DataFrame, names: DataFrame) ->
     both = union_strict(r1.withColumn("__route__", F.lit(1)), r2.withColumn("__route__", F.lit(2)).select(
         *r1.columns, "__route__"))
     both = both.distinct()
-    return first_per_key(both, ["id"], [F.col("__route__"), *[F.col(c).asc_nulls_last() for c in r1.columns if c != "id"]]).drop("__route__")
+    # one portal row per id: within an id only the route-dependent columns differ, so they are
+    # the whole tiebreak (a narrow sort key on wide records)
+    order = [F.col("__route__")] + [F.col(c).asc_nulls_last() for c in ("acceptedNameAuthor", "acceptedName", "NameAuthor")]
+    return first_per_key(both, ["id"], order).drop("__route__")
 
 
 def aggregator_records(files: Sequence[DataFrame], names: DataFrame, drops: Sequence[Sequence[str]] | None = None,
