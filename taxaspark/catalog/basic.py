@@ -533,3 +533,16 @@ def lenient_cast(spark, d):
     p = table(spark, d, "part")
     return p.select("p_partkey", lenient_double(F.split_part(c("p_brand"), F.lit("#"), F.lit(2))).alias("brand_no"),
                     lenient_double("p_type").alias("type_no"))
+
+
+@register("csv_round_trip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_round_trip(spark, d):
+    """Whole documents (multi-line text with quotes) written as R-style CSV under the shared checkpoint
+    folder and read back with the declared schema: the delimited sink and source lose nothing."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources.io import read_delimited, write_list
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_list(docs, path)
+    return read_delimited(spark, path, docs.schema)

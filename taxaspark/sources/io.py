@@ -66,9 +66,11 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
-def write_list(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Final lists as CSV with a header (a folder of part files)."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_list(df: DataFrame, path: str, mode: str = "overwrite", na_value: str = "NA") -> None:
+    """Final lists as CSV with a header (a folder of part files), written as the R readers expect:
+    quotes doubled inside quoted fields, missing values as ``NA``."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("nullValue", na_value)
+     .csv(path))
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
