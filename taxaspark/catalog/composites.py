@@ -368,3 +368,30 @@ def checklist_table(spark, d):
     unassessed = N.unassessed_checklist(_checklist_names(spark, d), training)
     acc = N.accepted_checklist(unassessed, _training_candidates(spark, d), usage(spark, d))
     return N.checklist_table(unassessed, acc)
+
+
+# ------------------------------------------------------------------ sub-steps of the composites
+@register("assessed_species", f"""WITH {TRAINING_SQL}
+SELECT NameAuthor, Source, Threatened FROM training""")
+def assessed_species(spark, d):
+    """Both assessment sources labelled 0/1, the second minus names of the first, problem names removed."""
+    rl = N.redlist_labels(_assessments(spark, d), _taxonomy(spark, d))
+    return N.assessed_species(rl, N.natureserve_labels(_natureserve(spark, d), rl))
+
+
+@register("portal_records", f"""WITH {OCC_SQL}
+SELECT {PORTAL_COLS} FROM portal""")
+def portal_records(spark, d):
+    """Two portal files bound by name, one record per id, the earlier file winning."""
+    return O.portal_records([_portal_file(spark, d, CA_PRIOS, "ca-"), _portal_file(spark, d, US_PRIOS, "us-")])
+
+
+@register("aggregator_records", f"""WITH {OCC_SQL}
+SELECT gbifID, speciesKey, NameAuthor, scientificName, countryCode, occurrenceStatus, year, locality,
+       acceptedName, acceptedNameAuthor FROM agg""")
+def aggregator_records(spark, d):
+    """Aggregator records of the wanted keys (names attached), outside the excluded countries, no absences."""
+    out = O.aggregator_records([_aggregator_file(spark, d, True), _aggregator_file(spark, d, False)],
+                               _all_names(spark, d))
+    return out.select("gbifID", "speciesKey", "NameAuthor", "scientificName", "countryCode", "occurrenceStatus",
+                      "year", "locality", "acceptedName", "acceptedNameAuthor")
