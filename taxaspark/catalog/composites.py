@@ -395,3 +395,18 @@ def aggregator_records(spark, d):
                                _all_names(spark, d))
     return out.select("gbifID", "speciesKey", "NameAuthor", "scientificName", "countryCode", "occurrenceStatus",
                       "year", "locality", "acceptedName", "acceptedNameAuthor")
+
+
+@register("redlist_labels", f"""WITH {TRAINING_SQL}
+SELECT scientificName, redlistCategory, authority, NameAuthor, Threatened, Source FROM rl""")
+def redlist_labels(spark, d):
+    """Assessments joined to their taxonomy, labelled 0/1, data-deficient ones dropped."""
+    return N.redlist_labels(_assessments(spark, d), _taxonomy(spark, d))
+
+
+@register("portal_matches", f"""WITH {OCC_SQL}
+SELECT {PORTAL_COLS}, acceptedNameAuthor, acceptedName, NameAuthor FROM matched""")
+def portal_matches(spark, d):
+    """Portal records of wanted species by taxon id (route 1, wins) or by name (route 2), one per id."""
+    portal = O.portal_records([_portal_file(spark, d, CA_PRIOS, "ca-"), _portal_file(spark, d, US_PRIOS, "us-")])
+    return O.portal_matches(portal, _checklist_filtered(spark, d), _all_names(spark, d))
