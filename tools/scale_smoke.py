@@ -125,6 +125,14 @@ def main() -> None:
     step("keep_group_min (species, year)", lambda: noop(D.keep_group_min(occ, ["acceptedNameAuthor"], "year")))
     step("specimen_count", lambda: noop(P.specimen_count(gated)))
     step("contemporary_share (two first-wins passes)", lambda: noop(P.contemporary_share(gated, ["uid"])))
+    species = spark.range(200_000).select(F.concat(F.lit("sp"), F.col("id").cast("string")).alias("acceptedNameAuthor"))
+    species = species.unionByName(spark.createDataFrame([("hot species",)], "acceptedNameAuthor string"))
+    years = species.select("acceptedNameAuthor", (1750 + F.abs(F.hash("acceptedNameAuthor")) % 250).cast("int")
+                           .alias("yearPublished"))
+    threat = species.filter((F.abs(F.hash("acceptedNameAuthor", F.lit(7))) % 10) == 0).select(
+        "acceptedNameAuthor", (F.abs(F.hash("acceptedNameAuthor")) % 2).cast("int").alias("Threatened"))
+    step("species_predictors (gate, counts, share, year, label)",
+         lambda: noop(P.species_predictors(flagged, years, threat, ["uid"])))
     spark.stop()
     tasks, groups = event_stats(scratch)
     print(f"# Scale smoke: {rows:,} records, one species holds 1/3 of them (local[8], 64 shuffle partitions)\n")
