@@ -26,6 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from taxaspark.operators import dedup as D  # noqa: E402
 from taxaspark.operators import geo as G  # noqa: E402
 from taxaspark.plans import locality as L  # noqa: E402
+from taxaspark.plans import names as N  # noqa: E402
 from taxaspark.plans import predictors as P  # noqa: E402
 
 
@@ -133,6 +134,19 @@ def main() -> None:
         "acceptedNameAuthor", (F.abs(F.hash("acceptedNameAuthor")) % 2).cast("int").alias("Threatened"))
     step("species_predictors (gate, counts, share, year, label)",
          lambda: noop(P.species_predictors(flagged, years, threat, ["uid"])))
+    # name side: as many candidate rows, one search name holding a third of them
+    i = F.col("id")
+    h = F.abs(F.hash(i, F.lit(11)))
+    cand = spark.range(rows, numPartitions=64).select(
+        F.when((i % 3) == 0, F.lit("hot name")).otherwise(F.concat(F.lit("n"), (h % 500000).cast("string"))).alias("searchName"),
+        (i % 100000).alias("usageKey"), F.concat(F.lit("t"), (i % 100000).cast("string")).alias("scientificName"),
+        F.lit("SPECIES").alias("rank"), (50 + h % 51).cast("int").alias("confidence"),
+        F.when(h % 10 == 0, F.lit("NONE")).when(h % 10 == 1, F.lit("HIGHERRANK")).otherwise(F.lit("EXACT")).alias("matchType"))
+    cand_path = os.path.join(scratch, "candidates")
+    step("generate candidates", lambda: cand.write.mode("overwrite").parquet(cand_path))
+    cands = spark.read.parquet(cand_path)
+    search = cands.select(F.col("searchName").alias("NameAuthor")).distinct()
+    step("match_names (hot search name)", lambda: noop(N.match_names(search, cands)))
     spark.stop()
     tasks, groups = event_stats(scratch)
     print(f"# Scale smoke: {rows:,} records, one species holds 1/3 of them (local[8], 64 shuffle partitions)\n")
