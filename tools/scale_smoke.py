@@ -27,6 +27,8 @@ from taxaspark.operators import dedup as D  # noqa: E402
 from taxaspark.operators import geo as G  # noqa: E402
 from taxaspark.plans import locality as L  # noqa: E402
 from taxaspark.plans import names as N  # noqa: E402
+from taxaspark.operators import ranking as R  # noqa: E402
+from taxaspark.operators import scoring as S  # noqa: E402
 from taxaspark.plans import predictors as P  # noqa: E402
 
 
@@ -147,6 +149,16 @@ def main() -> None:
     cands = spark.read.parquet(cand_path)
     search = cands.select(F.col("searchName").alias("NameAuthor")).distinct()
     step("match_names (hot search name)", lambda: noop(N.match_names(search, cands)))
+    # order operators: one score value holds a third of the rows
+    hs = F.abs(F.hash(i, F.lit(13)))
+    scores = spark.range(rows, numPartitions=64).select(
+        i.alias("id"), (hs % 2).cast("int").alias("observed"),
+        F.when((i % 3) == 0, F.lit(0.5)).otherwise((hs % 1000000).cast("double") / 1000000).alias("score"))
+    score_path = os.path.join(scratch, "scores")
+    step("generate scores", lambda: scores.write.mode("overwrite").parquet(score_path))
+    sc_df = spark.read.parquet(score_path)
+    step("threshold_for_fnr (hot score value)", lambda: noop(S.threshold_for_fnr(sc_df, "observed", "score", 0.05)))
+    step("row_index (hot score value)", lambda: noop(R.row_index(sc_df, ["score", "id"], "index", partitions=64)))
     spark.stop()
     tasks, groups = event_stats(scratch)
     print(f"# Scale smoke: {rows:,} records, one species holds 1/3 of them (local[8], 64 shuffle partitions)\n")
