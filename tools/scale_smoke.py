@@ -1,9 +1,10 @@
-"""Scale smoke run: a synthetic occurrence table where one species holds a third of the rows.
+"""Scale smoke run: synthetic occurrence records, name candidates and scores where one key
+(a species, a search name, a score value) holds a third of the rows.
 
 Usage: python tools/scale_smoke.py SCRATCH_DIR [ROWS]
 
-Generates the table with Spark (deterministic, no driver data), writes it as
-Parquet under SCRATCH_DIR, runs the main operators on it and reads task
+Generates the tables with Spark (deterministic, no driver data), writes them as
+Parquet under SCRATCH_DIR, runs the main operators on them and reads task
 durations per stage from Spark's event log (also under SCRATCH_DIR). Prints
 a Markdown report: wall time per step and, per step, the stage with the
 largest max/median task-time ratio (a skew indicator).
@@ -25,10 +26,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from taxaspark.operators import dedup as D  # noqa: E402
 from taxaspark.operators import geo as G  # noqa: E402
-from taxaspark.plans import locality as L  # noqa: E402
-from taxaspark.plans import names as N  # noqa: E402
 from taxaspark.operators import ranking as R  # noqa: E402
 from taxaspark.operators import scoring as S  # noqa: E402
+from taxaspark.plans import locality as L  # noqa: E402
+from taxaspark.plans import names as N  # noqa: E402
 from taxaspark.plans import predictors as P  # noqa: E402
 
 
