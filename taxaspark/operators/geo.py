@@ -119,33 +119,34 @@ def flag_near_points(df: DataFrame, lat: str, lon: str, points: DataFrame,
     """FALSE where a reference point (e.g. a country centroid) lies within ``radius_m``.
 
     The small side (reference points) is expanded to the cells its radius
-    reaches; each record looks only at its own cell, then the exact
-    haversine test runs. The result is an existence join: one flag per
-    record, no fan-out. The cell table is broadcast when its checked row
-    count allows; otherwise records are salted into ``salt_buckets`` and the
-    cell table is replicated per salt so a crowded cell is split.
+    reaches and grouped into one short array of points per cell. Each record
+    looks up its own cell with an equi-join (at most one match, so no
+    fan-out) and runs the exact haversine test over that cell's points: one
+    scan, one flag per record, no theta join and no correlated subquery.
+    The cell table is broadcast when its checked row count allows;
+    otherwise records are salted into ``salt_buckets`` and the cell table is
+    replicated per salt, so a crowded cell is split over tasks.
     """
-    cells = point_cells(points, points_lat, points_lon, radius_m, cell_deg)
+    cells = (point_cells(points, points_lat, points_lon, radius_m, cell_deg)
+             .groupBy("__clat__", "__clon__")
+             .agg(F.collect_list(F.struct(F.col("__plat__").alias("la"), F.col("__plon__").alias("lo"))).alias("__pts__")))
     n_cells = cells.count()          # reference table: small and bounded by its own size
     clat, clon = own_cell(lat, lon, cell_deg)
-    # outer references get names that cannot occur in the reference table's plan
-    recs = (df.withColumn("__rlat__", clat).withColumn("__rlon__", clon)
-            .withColumn("__olat__", F.col(lat)).withColumn("__olon__", F.col(lon)))
-    cond = ((F.col("__clat__") == F.col("__rlat__").outer())
-            & (F.col("__clon__") == F.col("__rlon__").outer())
-            & (haversine_m(F.col("__olat__").outer(), F.col("__olon__").outer(), F.col("__plat__"), F.col("__plon__"))
-               <= F.lit(radius_m)))
+    recs = df.withColumn("__rlat__", clat).withColumn("__rlon__", clon)
+    cond = (F.col("__rlat__") == F.col("__clat__")) & (F.col("__rlon__") == F.col("__clon__"))
     if n_cells <= broadcast_max_rows:
-        sub = F.broadcast(cells)
+        side = F.broadcast(cells)
     else:
         recs = recs.withColumn("__salt__", (F.rand(17) * salt_buckets).cast("int"))
         salts = cells.sparkSession.range(salt_buckets).select(F.col("id").cast("int").alias("__s__"))
-        sub = cells.crossJoin(F.broadcast(salts))
-        cond = cond & (F.col("__s__") == F.col("__salt__").outer())
-    near = sub.where(cond).exists()
-    flagged = recs.withColumn("__near__", near)
-    flagged = flagged.withColumn(out, F.when(has_coordinates(lat, lon), ~F.col("__near__")))
-    return flagged.drop("__rlat__", "__rlon__", "__olat__", "__olon__", "__near__", "__salt__")
+        side = cells.crossJoin(F.broadcast(salts))
+        cond = cond & (F.col("__salt__") == F.col("__s__"))
+    joined = recs.join(side, cond, "left")
+    near = F.exists(F.col("__pts__"),
+                    lambda p: haversine_m(F.col(lat), F.col(lon), p["la"], p["lo"]) <= F.lit(radius_m))
+    flagged = joined.withColumn(out, F.when(has_coordinates(lat, lon), ~F.coalesce(near, F.lit(False))))
+    return flagged.select(*[c for c in df.columns if c != out], out) if out in df.columns else \
+        flagged.select(*df.columns, out)
 
 
 def flag_all(df: DataFrame, lat: str, lon: str, unc: str, points: DataFrame | None = None,

@@ -125,13 +125,17 @@ def fit_logit(df: DataFrame, label: str, features: Sequence[str], prior_sd: floa
                 step = np.linalg.lstsq(h, g, rcond=None)[0]
             # Newton step, halved until the log-posterior does not fall (separable data,
             # poor curvature far from the mode); each trial is one aggregate
-            t = 1.0
-            for _ in range(30):
-                cand = beta + t * step
-                lp_c, g_c, h_c, ll_c = evaluate(cand)
-                if lp_c >= lp - 1e-12 * max(1.0, abs(lp)):
-                    break
-                t /= 2
+            t, accepted = 1.0, False
+            if np.all(np.isfinite(step)):
+                for _ in range(20):
+                    cand = beta + t * step
+                    lp_c, g_c, h_c, ll_c = evaluate(cand)
+                    if np.isfinite(lp_c) and lp_c >= lp - 1e-12 * max(1.0, abs(lp)):
+                        accepted = True
+                        break
+                    t /= 2
+            if not accepted:
+                break                        # no finite improvement left (e.g. separable labels, no prior)
             moved = np.max(np.abs(cand - beta))
             beta, lp, g, h, ll = cand, lp_c, g_c, h_c, ll_c
             if moved < tol:
