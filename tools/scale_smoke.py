@@ -118,7 +118,7 @@ def main() -> None:
     cents = spark.range(250).select(((F.abs(F.hash("id")) % 170).cast("double") - 85).alias("lat"),
                                     ((F.abs(F.hash("id", F.lit(9))) % 360).cast("double") - 180).alias("lon"))
     flagged_path = os.path.join(scratch, "flagged")
-    step("flag_all (existence join, 250 points)",
+    step("flag_all (broadcast cell join, 250 points)",
          lambda: G.flag_all(occ, "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters", cents,
                             radius_m=5000.0).write.mode("overwrite").parquet(flagged_path))
     flagged = spark.read.parquet(flagged_path)
