@@ -57,8 +57,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     # a new document begins where the one before, in the sorted run, is another
     first = ~F.lag(F.struct("doc_id")).over(run).eqNullSafe(F.struct("doc_id"))
     marked = ranged.select("h1", "h2", "doc_id", first.cast("long").alias("first"))
-    shared = marked.groupBy("h1", "h2").agg(F.sum("first").alias("n_docs"), F.max("doc_id").alias("keeper")) \
-        .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
+    # written, so that the join below reads plain shuffles, of which Spark can split a hot hash
+    shared = written(marked.groupBy("h1", "h2").agg(F.sum("first").alias("n_docs"), F.max("doc_id").alias("keeper"))
+                     .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"), "shared-lines")
     dropped = keyed.join(shared, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     per_doc = dropped.groupBy("doc_id", "fp").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     gone = F.col("gone")
