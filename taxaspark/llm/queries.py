@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup
+from . import chat, decontamination, language_id, line_dedup, minhash_dedup, packing, secrets, substring_dedup, topk_search, toxicity
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,129 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines it shares with three or more documents."""
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", sha256_text(F.col("text")).alias("kept_sha256"))
+
+
+@query("op5_minhash_near_dedup", sql=r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2),
+         lambda i: array_to_string(ws[i:i + 3], ' ')) ELSE ['few ' || array_to_string(ws, ' ')] END) AS g
+  FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS inter FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * inter >= 80 * (x.n + y.n - inter)),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.v FROM r JOIN e ON r.reached = e.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.reached) AS component_id, min(r.reached) = d.doc_id AS kept
+FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
+""")
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share 80 % of their 4-word shingles."""
+    out = minhash_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), n=4)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 ids."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path(), capacity=2048, end_id=0).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op7_benchmark_decontamination", sql=r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+  UNION ALL
+  SELECT 'i', item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') FROM benchmark),
+g AS (
+  SELECT side, id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+         ELSE ['few ' || array_to_string(ws, ' ')] END) AS g FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT side, id, g FROM g),
+items AS (SELECT id, list(g ORDER BY g) AS gs, count(*) AS n_item FROM s WHERE side = 'i' GROUP BY id),
+classes AS (SELECT min(id) AS item_id, count(*) AS n_same, any_value(n_item) AS n_item FROM items GROUP BY gs),
+p AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM s i JOIN s d ON d.side = 'd' AND i.side = 'i' AND i.g = d.g GROUP BY 1, 2)
+SELECT doc_id, item_id, n_same, n_item, n_shared FROM p JOIN classes USING (item_id) WHERE 100 * n_shared >= 80 * n_item
+""")
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds 80 % of the 5-word shingles of a benchmark item, with the item."""
+    found = decontamination.contained_items(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                            read(spark, sf_dir, "benchmark"), n=5, percent=80)
+    return found.select("doc_id", "item_id", "n_same", "n_item", "n_shared")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's category probabilities and decisions, by a chain fitted on the labelled documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, toxicity.label_categories(read(spark, sf_dir, "labels")), toxicity.CATEGORIES)
+    return toxicity.score(docs, chain)
+
+
+@query("op6_substring_dedup", sql=r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 33)) AS s, unnest(list_transform(range(1, len(ws) - 33),
+         lambda i: md5(array_to_string(ws[i:i + 34], ' ')))) AS g FROM w WHERE len(ws) >= 35),
+d AS (SELECT doc_id, s FROM g WHERE g IN (SELECT g FROM g GROUP BY g HAVING count(*) > 1)),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(s, s + 35)) AS p FROM d) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+""")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 35-word windows that occur again."""
+    out = substring_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", sha256_text(F.col("text")).alias("kept_sha256"))
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents; a document is a repository and its source the owner."""
+    out = secrets.scan(read(spark, sf_dir, "documents"), repository=F.col("doc_id"), owner=F.col("source"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", *[count(k) for k in secrets.KINDS], sha256_text(joined("base")).alias("base_sha256"),
+                      joined("spans").alias("spans"), "n_owned", "n_copied")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a model that has seen no document with remainder 1."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = language_id.train(docs, learnable=rest != 1)
+    held_out = F.coalesce(rest == 1, F.lit(False)).alias("held_out")
+    return language_id.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query("op2_topk_search", sql=r"""
+WITH v AS (
+  SELECT DISTINCT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.id % 50 = 0 AND q.id <> c.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows with the largest inner products for every 50th vector."""
+    found = topk_search.top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
