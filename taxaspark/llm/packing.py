@@ -125,9 +125,9 @@ class Plan:
 def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     """Best-fit decreasing over counts. A group is (first sequence, number) of sequences with one remaining capacity.
 
-    A step places as many pieces as a group has sequences or as are left, so
-    steps grow with the number of lengths and groups (each length adds three
-    groups at most), not with the number of pieces.
+    A step fills as many sequences of a group as the pieces that are left
+    allow, so steps grow with the number of lengths and groups (each length
+    adds a few groups at most), not with the number of pieces.
     """
     groups: dict[int, list[tuple[int, int]]] = {}  # by what remains
     remaining: list[int] = []  # sorted, of groups
@@ -153,12 +153,14 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
             if not groups[room]:
                 del groups[room]
                 del remaining[at]
-            take = min(n, left)
-            slots.append((length, rank, first, capacity - room))
-            put(room - length, first, take)
+            # a sequence that has got one is now the fullest with room for the next: it takes as many as fit, or are left
+            each = min(room // length, left)
+            take = min(n, left // each)
+            slots += [(length, rank + i * take, first, capacity - room + i * length) for i in range(each)]
+            put(room - each * length, first, take)
             if n > take:
                 put(room, first + take, n - take)
-            rank, left = rank + take, left - take
+            rank, left = rank + each * take, left - each * take
     slots.sort()
     table = np.array(slots, dtype=np.int64).reshape(-1, 4)
     return Plan(table[:, 0], table[:, 1], table[:, 2], table[:, 3], sequences)
