@@ -241,16 +241,13 @@ def join_anti(spark, d):
 
 @register("join_semi_either", """
 SELECT p_partkey, p_name FROM part
-WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)
-   OR p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount >= 0.1 AND l_tax = 0)
+WHERE p_partkey IN (SELECT s_suppkey FROM supplier)
+   OR p_partkey IN (SELECT o_custkey FROM orders)
 """)
 def join_semi_either(spark, d):
     """Key in set A or in set B: one semi join on the union of the key sets."""
-    li = table(spark, d, "lineitem")
-    a = li.filter(c("l_quantity") >= 50)
-    b = li.filter((c("l_discount") >= 0.1) & (c("l_tax") == 0))
     p = table(spark, d, "part").select("p_partkey", "p_name")
-    return J.semi_join_either(p, "p_partkey", [(a, "l_partkey"), (b, "l_partkey")])
+    return J.semi_join_either(p, "p_partkey", [(table(spark, d, "supplier"), "s_suppkey"), (table(spark, d, "orders"), "o_custkey")])
 
 
 @register("join_suffix", """
@@ -419,16 +416,16 @@ def union_missing_columns(spark, d):
 
 
 UNION_PARTS_SQL = """
-SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
 {op}
-SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_totalprice > 400000
+SELECT l_orderkey, l_suppkey, l_linestatus FROM lineitem
 """
 
 
 def _union_parts(spark, d):
-    o = table(spark, d, "orders")
-    a = o.filter(c("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_custkey", "o_orderstatus")
-    b = o.filter(c("o_totalprice") > 400000).select("o_orderstatus", "o_custkey", "o_orderkey")
+    a = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    b = table(spark, d, "lineitem").select(c("l_linestatus").alias("o_orderstatus"), c("l_suppkey").alias("o_custkey"),
+                                           c("l_orderkey").alias("o_orderkey"))
     return a, b
 
 
@@ -545,4 +542,76 @@ def csv_round_trip(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
     write_list(docs, path)
-    return read_delimited(spark, path, docs.schema)
+    return read_delimited(spark, path, docs.schema, multi_line=True)     # texts hold line breaks
+
+
+def _folder(spark, name: str) -> str:
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("tsv_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+def tsv_round_trip(spark, d):
+    """Orders written as tab-separated text and read back, each file split over tasks."""
+    from ..sources.io import read_tsv
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    path = _folder(spark, "tsv")
+    o.write.option("header", True).option("escape", '"').option("nullValue", "NA").option("sep", "\t").csv(path)
+    return read_tsv(spark, path, o.schema)
+
+
+@register("csv_base_flavour", """
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN '' WHEN p_size % 3 = 1 THEN NULL ELSE p_name END AS name,
+       CASE WHEN p_size % 2 = 0 THEN NULL ELSE p_size END AS size
+FROM part
+""")
+def csv_base_flavour(spark, d):
+    """Base R's reading of blanks and NA: blank text stays text, NA and blank numbers are missing."""
+    from ..sources.io import read_delimited
+    p = table(spark, d, "part")
+    k = c("p_size") % 3
+    name = F.when(k == 0, F.lit("")).when(k == 1, F.lit("NA")).otherwise(c("p_name"))
+    size = F.when(c("p_size") % 4 == 0, F.lit("")).when(c("p_size") % 2 == 0, F.lit("NA")).otherwise(c("p_size").cast("string"))
+    path = _folder(spark, "base")
+    p.select("p_partkey", name.alias("name"), size.alias("size")).write.option("header", True).option("escape", '"') \
+        .option("emptyValue", "").csv(path)
+    kind = p.schema["p_size"].dataType.simpleString()
+    return read_delimited(spark, path, f"p_partkey bigint, name string, size {kind}", blank_as_null=False)
+
+
+@register("read_tree_union", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'ca' ELSE 'us' END AS origin
+FROM orders
+""")
+def read_tree_union(spark, d):
+    """Files in nested folders found and bound, each row with the folder it came from; NA is missing."""
+    from ..sources.io import read_tree
+    o = table(spark, d, "orders")
+    root = _folder(spark, "tree")
+    status = F.when(c("o_orderstatus") != "P", c("o_orderstatus")).otherwise(F.lit("NA")).alias("status")
+    for i, place in enumerate(("ca", "us")):
+        o.filter(c("o_orderkey") % 2 == i).select("o_orderkey", status).write.option("header", True).csv(f"{root}/{place}/occ")
+    t = read_tree(spark, root, "*.csv", schema="o_orderkey bigint, status string")
+    return t.select("o_orderkey", "status", F.regexp_extract("source_file", "/(ca|us)/occ/", 1).alias("origin"))
+
+
+@register("read_like_schema", "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier")
+def read_like_schema(spark, d):
+    """A file read with the column types of another frame."""
+    from ..sources.io import read_like, write_list
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    path = _folder(spark, "like")
+    write_list(s, path)
+    return read_like(spark, path, s)
+
+
+@register("exclude_keys_table", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_orderkey IS NULL OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_discount = 0 AND l_orderkey IS NOT NULL)
+""")
+def exclude_keys_table(spark, d):
+    """Records whose id is listed in a table of bad records are removed."""
+    bad = table(spark, d, "lineitem").filter(c("l_discount") == 0)
+    return J.exclude_keys(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", bad, "l_orderkey")

@@ -6,15 +6,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import checklists as CL
+from ..plans import constants as K
 from ..plans import names as N
 from ..plans import occurrences as O
 from .names import resolve_sql
 from .registry import register
-from .standins import WORD_SQL, c, table, usage
+from .standins import MATCH_TYPE_SQL, WORD_SQL, c, match_type, table, usage
 
 W = WORD_SQL
 
 
+def _in(values) -> str:
+    """A SQL list of the fixed values."""
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
 # ------------------------------------------------------------------ combine checklists
 def _portal_checklist(spark, d):
     p = table(spark, d, "part")
@@ -102,11 +108,13 @@ def combine_checklists(spark, d):
 
 # ------------------------------------------------------------------ training labels
 def _assessments(spark, d):
-    p = table(spark, d, "part").filter(c("p_size") <= 30)
+    p = table(spark, d, "part")
     cat = (F.when(c("p_type") == "SMALL", F.lit("Least Concern")).when(c("p_type") == "LARGE", F.lit("Near Threatened"))
            .when(c("p_type") == "PROMO", F.lit("Data Deficient")).when(c("p_type") == "MEDIUM", F.lit(None).cast("string"))
            .otherwise(F.lit("Endangered")))
-    return p.select(c("p_partkey").cast("string").alias("scientificName"), cat.alias("redlistCategory"))
+    key = c("p_partkey").cast("string")         # a name that the taxonomy lacks: not assessed
+    return p.select(F.when(c("p_size") <= 30, key).otherwise(F.concat(key, F.lit("*"))).alias("scientificName"),
+                    cat.alias("redlistCategory"))
 
 
 def _taxonomy(spark, d):
@@ -116,64 +124,62 @@ def _taxonomy(spark, d):
 
 
 def _natureserve(spark, d):
-    p = table(spark, d, "part").filter(c("p_size") > 20)
-    return p.select(c("p_partkey").cast("string").alias("scientificName"), F.lit("Fr.").alias("scientificNameAuthor"),
+    key = c("p_partkey").cast("string")         # a name that no candidate has: not resolved
+    name = F.when(c("p_size") > 20, key).otherwise(F.concat(key, F.lit("+")))
+    return table(spark, d, "part").select(name.alias("scientificName"), F.lit("Fr.").alias("scientificNameAuthor"),
                     F.concat(F.lit("G"), (c("p_size") % 5).cast("string")).alias("roundedGRank"))
 
 
 def _training_candidates(spark, d):
-    li = table(spark, d, "lineitem").filter(c("l_quantity") > 45)
-    rf = c("l_returnflag")
-    return li.select(
+    return table(spark, d, "lineitem").select(
         F.concat(c("l_partkey").cast("string"), F.when(c("l_linestatus") == "O", F.lit(" L.")).otherwise(F.lit(" Fr."))).alias("searchName"),
         c("l_suppkey").alias("usageKey"),
         F.concat(F.lit("taxon"), c("l_suppkey").cast("string")).alias("scientificName"),
         c("l_linestatus").alias("rank"), (c("l_quantity").cast("int") + 50).alias("confidence"),
-        F.when(rf == "N", F.lit("NONE")).when(rf == "R", F.lit("HIGHERRANK")).otherwise(F.lit("EXACT")).alias("matchType"))
+        match_type().alias("matchType"))
 
 
-TRAINING_SQL = """rl AS (
+TRAINING_SQL = f"""rl AS (
   SELECT a.scientificName, a.redlistCategory, t.authority,
          coalesce(a.scientificName, 'NA') || ' ' || coalesce(t.authority, 'NA') AS NameAuthor,
-         CASE WHEN coalesce(a.redlistCategory IN ('Least Concern', 'Near Threatened'), false) THEN 0 ELSE 1 END AS Threatened,
+         CASE WHEN coalesce(a.redlistCategory IN ({_in(K.NOT_THREATENED_CATEGORIES)}), false) THEN 0 ELSE 1 END AS Threatened,
          'RedList' AS Source
-  FROM (SELECT CAST(p_partkey AS VARCHAR) AS scientificName,
+  FROM (SELECT CAST(p_partkey AS VARCHAR) || CASE WHEN p_size <= 30 THEN '' ELSE '*' END AS scientificName,
                CASE WHEN p_type = 'SMALL' THEN 'Least Concern' WHEN p_type = 'LARGE' THEN 'Near Threatened'
                     WHEN p_type = 'PROMO' THEN 'Data Deficient' WHEN p_type = 'MEDIUM' THEN NULL
                     ELSE 'Endangered' END AS redlistCategory
-        FROM part WHERE p_size <= 30) a
+        FROM part) a
   JOIN (SELECT CAST(p_partkey AS VARCHAR) AS scientificName, CASE WHEN p_size > 20 THEN 'Fr.' ELSE 'L.' END AS authority
         FROM part) t ON a.scientificName IS NOT DISTINCT FROM t.scientificName
   WHERE a.redlistCategory <> 'Data Deficient'),
 ns AS (
   SELECT coalesce(scientificName, 'NA') || ' ' || coalesce(scientificNameAuthor, 'NA') AS NameAuthor,
-         CASE WHEN coalesce(roundedGRank IN ('G1', 'G2', 'G3', 'GH'), false) THEN 1 ELSE 0 END AS Threatened,
+         CASE WHEN coalesce(roundedGRank IN ({_in(K.THREATENED_GRANKS)}), false) THEN 1 ELSE 0 END AS Threatened,
          'NatureServe' AS Source, scientificName
-  FROM (SELECT CAST(p_partkey AS VARCHAR) AS scientificName, 'Fr.' AS scientificNameAuthor,
-               'G' || CAST(p_size % 5 AS VARCHAR) AS roundedGRank FROM part WHERE p_size > 20) n
+  FROM (SELECT CAST(p_partkey AS VARCHAR) || CASE WHEN p_size > 20 THEN '' ELSE '+' END AS scientificName,
+               'Fr.' AS scientificNameAuthor, 'G' || CAST(p_size % 5 AS VARCHAR) AS roundedGRank FROM part) n
   WHERE NOT EXISTS (SELECT 1 FROM rl WHERE rl.scientificName IS NOT DISTINCT FROM n.scientificName)),
 training AS (
   SELECT NameAuthor, Source, Threatened FROM (
     SELECT NameAuthor, Source, Threatened FROM rl UNION ALL SELECT NameAuthor, Source, Threatened FROM ns) u
-  WHERE NOT coalesce(NameAuthor IN ('Ramaria largentii Marr & Stuntz', 'Montagnea radiosa (Pall.) Šebek'), false))"""
+  WHERE NOT coalesce(NameAuthor IN ({_in(K.KNOWN_ISSUE_NAMES)}), false))"""
 
 TRAINING_NAMES_SQL = f"""{TRAINING_SQL},
 names AS (SELECT NameAuthor FROM training)"""
 
-TRAINING_CAND_SQL = """cand AS (
+TRAINING_CAND_SQL = f"""cand AS (
   SELECT CAST(l_partkey AS VARCHAR) || CASE WHEN l_linestatus = 'O' THEN ' L.' ELSE ' Fr.' END AS searchName,
          l_suppkey AS usageKey, 'taxon' || CAST(l_suppkey AS VARCHAR) AS scientificName, l_linestatus AS rank,
          CAST(l_quantity AS INTEGER) + 50 AS confidence,
-         CASE WHEN l_returnflag = 'N' THEN 'NONE' WHEN l_returnflag = 'R' THEN 'HIGHERRANK' ELSE 'EXACT' END AS matchType
-  FROM lineitem WHERE l_quantity > 45)"""
+         {MATCH_TYPE_SQL} AS matchType
+  FROM lineitem)"""
 
 
 @register("training_table", f"""WITH {resolve_sql(TRAINING_NAMES_SQL, TRAINING_CAND_SQL)},
 acc AS (
   SELECT searchName, coalesce(accepted, scientificName) AS accepted, species FROM resolved
   WHERE NOT coalesce(taxonomicStatus IN ('DOUBTFUL', 'HETEROTYPIC_SYNONYM'), false)
-    AND NOT coalesce(species IN ('Hygrophorus camarophyllus', 'Turbinellus floccosus', 'Cortinarius sublanatus',
-                                 'Lactarius silviae', 'Russula adusta'), false))
+    AND NOT coalesce(species IN ({_in(K.ASSESSED_UNDER_HETEROTYPIC_SYNONYM)}), false))
 SELECT acc.searchName AS NameAuthor, t.Source, t.Threatened, acc.accepted AS acceptedNameAuthor, acc.species AS acceptedName
 FROM training t RIGHT JOIN acc ON t.NameAuthor IS NOT DISTINCT FROM acc.searchName""")
 def training_table(spark, d):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions.numeric import round_half_up
 from ..operators import geo as G
+from ..plans import constants as K
 from ..plans import predictors as P
 from ..plans.screen import screen_species
 from .registry import register
@@ -88,12 +89,50 @@ def species_predictors(spark, d):
     return p.withColumn("logSpecimenCount", round_half_up("logSpecimenCount", 6))
 
 
-@register("screen_species")
+#: draws of the screening's coefficients, in exact binary fractions
+SCREEN_DRAWS = [(i, -2.0 + (i * 7 % 11) / 16, 0.0009765625 + (i * 5 % 7) / 8192, -0.5 + (i * 3 % 13) / 32,
+                 (i * 11 % 5) / 16384, -0.25 + (i * 2 % 9) / 16) for i in range(1, 41)]
+SCREEN_COLS = ["draw_id", "b_intercept", "b_yearPublished", "b_logSpecimenCount", "b_yearPublished_x_logSpecimenCount",
+               "b_propContemporary"]
+
+
+def screen_draws(spark):
+    return spark.createDataFrame(SCREEN_DRAWS, ", ".join([f"{SCREEN_COLS[0]} int", *[f"{x} double" for x in SCREEN_COLS[1:]]]))
+
+
+SCREEN_SQL = f"""{PREDICTORS_SQL},
+dr AS (SELECT * FROM (VALUES {", ".join("(" + ", ".join([str(r[0]), *[f"CAST({v!r} AS DOUBLE)" for v in r[1:]]]) + ")" for r in SCREEN_DRAWS)})
+       v({", ".join(SCREEN_COLS)})),
+rows_ AS (SELECT row_number() OVER (ORDER BY acceptedNameAuthor, Threatened) AS rid, CAST(yearPublished AS DOUBLE) AS yp,
+                 f.* FROM final f),
+ep AS (SELECT rid, 1 / (1 + exp(-((((b_intercept + b_yearPublished * yp) + b_logSpecimenCount * logSpecimenCount)
+              + b_yearPublished_x_logSpecimenCount * (yp * logSpecimenCount)) + b_propContemporary * propContemporary))) AS e
+       FROM rows_ CROSS JOIN dr),
+mi AS (SELECT rid, quantile_cont(e, 0.5) AS epred, quantile_cont(e, 0.025) AS lower, quantile_cont(e, 0.975) AS upper
+       FROM ep GROUP BY rid),
+scored AS (SELECT r.*, mi.epred, mi.lower, mi.upper, CASE WHEN mi.epred < 0.5 THEN 0 WHEN mi.epred >= 0.5 THEN 1 END AS pred_class
+           FROM rows_ r JOIN mi USING (rid)),
+lab AS (SELECT * FROM scored WHERE Threatened IS NOT NULL),
+per AS (SELECT epred, sum(CASE WHEN Threatened = 1 THEN 1 ELSE 0 END) AS pos FROM lab GROUP BY epred),
+run AS (SELECT epred, sum(pos) OVER (ORDER BY epred DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(pos) OVER () AS p FROM per),
+thr AS (SELECT max(CASE WHEN 1 - CAST(tp AS DOUBLE) / NULLIF(CAST(p AS DOUBLE), 0) <= 0.05 THEN epred END) AS t FROM run)"""
+
+
+def _screening(spark, d):
+    return screen_species(predictor_table(spark, d), draws=screen_draws(spark))
+
+
+@register("screen_species", f"""WITH {SCREEN_SQL}
+SELECT acceptedNameAuthor, Threatened, Threatened IS NOT NULL AS labelled, {sql_round('epred', 3)} AS medianPrediction,
+       {sql_round('lower', 3)} AS lower95ConfInt, {sql_round('upper', 3)} AS upper95ConfInt, pred_class,
+       Threatened IS NULL AND upper < thr.t AS confident
+FROM scored CROSS JOIN thr""")
 def screen_species_q(spark, d):
-    """Fit, draws, intervals and threshold for FNR 0.05; every species with its interval and
+    """Intervals over given draws and the threshold for FNR 0.05; every species with its interval and
     whether it is a confident negative (unlabelled, upper bound below the threshold)."""
     from pyspark.sql import functions as F
-    res = screen_species(predictor_table(spark, d), n_draws=2000, seed=11, prior_sd=2.5)
+    res = _screening(spark, d)
     thr = res.threshold.select(F.col("threshold").alias("__t__"))
     both = (res.labelled.withColumn("labelled", F.lit(True))
             .unionByName(res.predictions.withColumn("labelled", F.lit(False))))
@@ -133,9 +172,28 @@ def year_published(spark, d):
     return P.year_published(backbone(spark, d), wanted_names(spark, d), P.manual_years(spark))
 
 
-@register("plot_table")
+@register("plot_table", f"""WITH {SCREEN_SQL}
+SELECT row_number() OVER (ORDER BY epred, acceptedNameAuthor) AS index, acceptedNameAuthor,
+       CASE WHEN Threatened = 0 THEN 'Not threatened' ELSE 'Threatened' END AS Predicted, {sql_round('epred', 6)} AS epred,
+       {sql_round('lower', 6)} AS lower, {sql_round('upper', 6)} AS upper
+FROM lab""")
 def plot_table(spark, d):
     """Labelled species with actual label text, sorted by the median prediction and numbered."""
     from ..plans.screen import plot_table as plot
-    res = screen_species(predictor_table(spark, d), n_draws=2000, seed=11, prior_sd=2.5)
-    return plot(res.labelled).select("index", "acceptedNameAuthor", "Predicted", "epred", "lower", "upper")
+    return plot(_screening(spark, d).labelled).select(
+        "index", "acceptedNameAuthor", "Predicted", *[round_half_up(x, 6).alias(x) for x in ("epred", "lower", "upper")])
+
+
+@register("summary_lines", f"""WITH {SCREEN_SQL}
+SELECT printf('{K.THRESHOLD_SENTENCE}', '0.05', CAST(CAST(t AS DECIMAL(18, 6)) AS VARCHAR)) AS line FROM thr
+UNION ALL
+SELECT printf('{K.COUNT_SENTENCE}', (SELECT count(*) FROM scored CROSS JOIN thr WHERE Threatened IS NULL AND upper < thr.t))""")
+def summary_lines_q(spark, d):
+    """The two result sentences (threshold to six decimals, number of confident negatives)."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from ..plans.screen import summary_lines
+    res = _screening(spark, d)
+    return summary_lines(replace(res, threshold=res.threshold.select(F.col("threshold").cast("decimal(18,6)").alias("threshold"))))

@@ -152,31 +152,43 @@ POINTS_SQL = """pts AS (
 
 # ---------------------------------------------------------------- names
 def search_names(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select(c("p_partkey").cast("string").alias("NameAuthor"))
+    """Every part is a search name; one in ten has a suffix that no candidate has."""
+    k = c("p_partkey").cast("string")
+    return table(spark, d, "part").select(
+        F.when(c("p_partkey") % 10 == 6, F.concat(k, F.lit(" nom. nud."))).otherwise(k).alias("NameAuthor"))
 
 
-NAMES_SQL = """names AS (SELECT CAST(p_partkey AS VARCHAR) AS NameAuthor FROM part)"""
+NAMES_SQL = """names AS (
+  SELECT CAST(p_partkey AS VARCHAR) || CASE WHEN p_partkey % 10 = 6 THEN ' nom. nud.' ELSE '' END AS NameAuthor FROM part)"""
+
+
+def match_type() -> Column:
+    """Of all candidates of a name, by its key: nothing found, a higher rank only, missing, or exact."""
+    k = c("l_partkey") % 10
+    return F.when(k == 3, F.lit("NONE")).when(k == 4, F.lit("HIGHERRANK")).when(k == 5, F.lit(None).cast("string")) \
+        .otherwise(F.lit("EXACT"))
+
+
+MATCH_TYPE_SQL = "CASE l_partkey % 10 WHEN 3 THEN 'NONE' WHEN 4 THEN 'HIGHERRANK' WHEN 5 THEN NULL ELSE 'EXACT' END"
 
 
 def candidates(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").filter(c("l_quantity") > 45)
-    rf = c("l_returnflag")
-    return li.select(
+    return table(spark, d, "lineitem").select(
         c("l_partkey").cast("string").alias("searchName"),
         c("l_suppkey").alias("usageKey"),
         F.concat(F.lit("taxon"), c("l_suppkey").cast("string")).alias("scientificName"),
         c("l_linestatus").alias("rank"),
         (c("l_quantity").cast("int") + 50).alias("confidence"),
-        F.when(rf == "N", F.lit("NONE")).when(rf == "R", F.lit("HIGHERRANK")).otherwise(F.lit("EXACT")).alias("matchType"),
+        match_type().alias("matchType"),
     )
 
 
-CANDIDATES_SQL = """cand AS (
+CANDIDATES_SQL = f"""cand AS (
   SELECT CAST(l_partkey AS VARCHAR) AS searchName, l_suppkey AS usageKey,
          'taxon' || CAST(l_suppkey AS VARCHAR) AS scientificName, l_linestatus AS rank,
          CAST(l_quantity AS INTEGER) + 50 AS confidence,
-         CASE WHEN l_returnflag = 'N' THEN 'NONE' WHEN l_returnflag = 'R' THEN 'HIGHERRANK' ELSE 'EXACT' END AS matchType
-  FROM lineitem WHERE l_quantity > 45)"""
+         {MATCH_TYPE_SQL} AS matchType
+  FROM lineitem)"""
 
 
 def usage(spark: SparkSession, d: str) -> DataFrame:

@@ -13,9 +13,12 @@ def round_half_up(c: str | Column, digits: int = 3) -> Column:
     """Round a double to ``digits`` decimals, ties away from zero on its decimal text.
 
     The value goes through DECIMAL(38, 12) first, so the result does not
-    depend on the binary error of the double (0.0005 rounds to 0.001).
+    depend on the binary error of the double (0.0005 rounds to 0.001). NaN,
+    infinities and values beyond 1e15, which hold hardly any decimals, stay as they are.
     """
-    return F.round(col_of(c).cast(DecimalType(38, 12)), digits).cast("double")
+    x = col_of(c).cast("double")
+    rounded = F.round(x.cast(DecimalType(38, 12)), digits).cast("double")
+    return F.when(F.abs(x) < F.lit(1e15), rounded).otherwise(x)
 
 
 def inv_logit(eta: Column) -> Column:

@@ -6,8 +6,8 @@ operator here stays safe when one key holds a large share of the rows:
 * ``first_per_key`` is ``row_number() == 1``; Spark plans it with a partial
   ``WindowGroupLimit`` before the shuffle, so each map task sends at most one
   row per key.
-* ``keep_unique`` is an aggregate (partial counts before the shuffle), not a
-  count window that would put a hot key's rows into one task.
+* ``keep_unique`` counts the keys alone (partial counts before the shuffle) and
+  semi-joins, not a count window that would put a hot key's rows into one task.
 * ``keep_group_min`` / ``top_with_ties`` aggregate the extreme per key and
   semi-join back on (key, value), which spreads a hot key's rows over
   partitions by value.
@@ -43,19 +43,21 @@ def two_stage_dedup(df: DataFrame, keys1: Sequence[str], keys2: Sequence[str],
     return first_per_key(first_per_key(df, keys1, order_by), keys2, order_by)
 
 
-def keep_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``group_by(k) %>% filter(n() == 1)``: rows whose key occurs exactly once."""
+def keep_unique(df: DataFrame, keys: Sequence[str], narrow: bool = False) -> DataFrame:
+    """``group_by(k) %>% filter(n() == 1)``: rows whose key occurs exactly once.
+
+    Keys are counted on their own (a hash aggregate with partial counts) and the rows
+    of those that occur once are a semi-join: no wide row is aggregated. With ``narrow`` rows
+    one aggregate carries the row itself, so that the input is read (and planned) once.
+    """
     keys = _cols(keys)
     others = [c for c in df.columns if c not in keys]
-    if not others:
-        return df.groupBy(*keys).count().filter(F.col("count") == 1).drop("count")
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n__"),
-        F.first(F.struct(*others)).alias("__row__"),
-    )
-    return agg.filter(F.col("__n__") == 1).select(
-        *[F.col(c) for c in keys], *[F.col("__row__")[c].alias(c) for c in others]
-    ).select(*df.columns)
+    if narrow and others:
+        agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n__"), F.min(F.struct(*others)).alias("__row__"))
+        return agg.filter(F.col("__n__") == 1).select(*[F.col("__row__")[c].alias(c) if c in others else F.col(c)
+                                                        for c in df.columns])
+    once = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n__")).filter(F.col("__n__") == 1).select(*keys)
+    return join_on(df, once, keys, "left_semi", null_safe=True)
 
 
 def _keep_group_extreme(df: DataFrame, keys: Sequence[str], value: str, fn) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import qcol
-from pyspark.sql.types import DataType, NumericType, StructType
+from pyspark.sql.types import DataType, NumericType, StructField, StructType
 
 from ..functions.numeric import round_half_up
 
@@ -62,15 +62,15 @@ def map_columns(df: DataFrame, kind: type[DataType], fn: Callable[[Column], Colu
 
 
 def round_numeric(df: DataFrame, digits: int = 3) -> DataFrame:
-    """``mutate_if(is.numeric, round, digits)``; integers are unchanged."""
-    def rnd(c: Column) -> Column:
-        return round_half_up(c, digits)
-    return df.select(*[
-        (rnd(qcol(f.name)).alias(f.name)
-         if isinstance(f.dataType, NumericType) and f.dataType.typeName() in ("double", "float", "decimal")
-         else qcol(f.name))
-        for f in df.schema.fields
-    ])
+    """``mutate_if(is.numeric, round, digits)``; integers are unchanged, every column keeps its type."""
+    def rnd(f: StructField) -> Column:
+        kind = f.dataType.typeName()
+        if kind == "decimal":
+            return F.round(qcol(f.name), digits).cast(f.dataType).alias(f.name)
+        if kind in ("double", "float"):
+            return round_half_up(qcol(f.name), digits).cast(f.dataType).alias(f.name)
+        return qcol(f.name)
+    return df.select(*[rnd(f) for f in df.schema.fields])
 
 
 def _check_union_types(a: DataFrame, b: DataFrame) -> None:

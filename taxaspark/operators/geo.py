@@ -84,7 +84,7 @@ def point_cells(points: DataFrame, lat: str, lon: str, radius_m: float, cell_deg
     """
     ang = radius_m / EARTH_RADIUS_M                       # angular radius, radians
     dlat = math.degrees(ang)
-    nlon = int(math.ceil(360.0 / cell_deg))
+    nlon = round(360.0 / cell_deg)
     nlat = int(math.floor(180.0 / cell_deg))
     la, lo = F.col(lat), F.col(lon)
     lat_lo = F.greatest(F.lit(0), F.floor((la - dlat + 90.0) / cell_deg))
@@ -105,53 +105,60 @@ def point_cells(points: DataFrame, lat: str, lon: str, radius_m: float, cell_deg
 
 
 def own_cell(lat: str | Column, lon: str | Column, cell_deg: float) -> tuple[Column, Column]:
-    nlon = int(math.ceil(360.0 / cell_deg))
+    nlon = round(360.0 / cell_deg)
     la, lo = col_of(lat), col_of(lon)
     return (F.floor((la + 90.0) / cell_deg),
             F.pmod(F.floor((lo + 180.0) / cell_deg), F.lit(nlon)))
 
 
+def near_cells(points: DataFrame, radius_m: float, lat: str = "lat", lon: str = "lon",
+               cell_deg: float | None = None) -> DataFrame:
+    """``__clat__, __clon__, __pts__``: the distinct reference points that reach each grid cell."""
+    cells = point_cells(points.select(lat, lon).na.drop().distinct(), lat, lon, radius_m, cell_size(radius_m, cell_deg))
+    return cells.groupBy("__clat__", "__clon__").agg(
+        F.collect_list(F.struct(F.col("__plat__").alias("la"), F.col("__plon__").alias("lo"))).alias("__pts__"))
+
+
+def cell_size(radius_m: float, cell_deg: float | None = None) -> float:
+    """Cells of about the radius: the points listed for a cell all lie within some two radii of it."""
+    size = cell_deg or max(math.degrees(radius_m / EARTH_RADIUS_M), 0.01)
+    return 360.0 / max(1, math.floor(360.0 / size))     # whole cells around the globe
+
+
 def flag_near_points(df: DataFrame, lat: str, lon: str, points: DataFrame,
                      radius_m: float = 1000.0, out: str = "clean_tests",
                      points_lat: str = "lat", points_lon: str = "lon",
-                     cell_deg: float = 1.0, broadcast_max_rows: int = 2_000_000,
-                     salt_buckets: int = 32) -> DataFrame:
+                     cell_deg: float | None = None) -> DataFrame:
     """FALSE where a reference point (e.g. a country centroid) lies within ``radius_m``.
 
-    The small side (reference points) is expanded to the cells its radius
-    reaches and grouped into one short array of points per cell. Each record
-    looks up its own cell with an equi-join (at most one match, so no
+    The small side (distinct reference points) is expanded to the cells its
+    radius reaches, one row with an array of points per cell. Each record
+    looks up its own cell with a left equi-join (at most one match, so no
     fan-out) and runs the exact haversine test over that cell's points: one
-    scan, one flag per record, no theta join and no correlated subquery.
-    The cell table is broadcast when its checked row count allows;
-    otherwise records are salted into ``salt_buckets`` and the cell table is
-    replicated per salt, so a crowded cell is split over tasks.
+    scan, one flag per record, no theta join; works on a stream too. Cells
+    are as small as the radius, so an array holds only the points around its
+    cell. The planner (AQE) broadcasts the cell table if it is small and
+    splits the partition of a crowded cell if not; records without
+    coordinates get a cell that no point has, spread by a hash of the record.
     """
-    cells = (point_cells(points, points_lat, points_lon, radius_m, cell_deg)
-             .groupBy("__clat__", "__clon__")
-             .agg(F.collect_list(F.struct(F.col("__plat__").alias("la"), F.col("__plon__").alias("lo"))).alias("__pts__")))
-    n_cells = cells.count()          # reference table: small and bounded by its own size
-    clat, clon = own_cell(lat, lon, cell_deg)
-    recs = df.withColumn("__rlat__", clat).withColumn("__rlon__", clon)
-    cond = (F.col("__rlat__") == F.col("__clat__")) & (F.col("__rlon__") == F.col("__clon__"))
-    if n_cells <= broadcast_max_rows:
-        side = F.broadcast(cells)
-    else:
-        recs = recs.withColumn("__salt__", (F.rand(17) * salt_buckets).cast("int"))
-        salts = cells.sparkSession.range(salt_buckets).select(F.col("id").cast("int").alias("__s__"))
-        side = cells.crossJoin(F.broadcast(salts))
-        cond = cond & (F.col("__salt__") == F.col("__s__"))
-    joined = recs.join(side, cond, "left")
+    size = cell_size(radius_m, cell_deg)
+    cells = near_cells(points, radius_m, points_lat, points_lon, size)
+    clat, clon = own_cell(lat, lon, size)
+    nowhere = -1 - F.pmod(F.xxhash64(*df.columns), F.lit(65536))
+    geo = has_coordinates(lat, lon)
+    recs = df.withColumn("__rlat__", F.when(geo, clat).otherwise(nowhere)).withColumn(
+        "__rlon__", F.when(geo, clon).otherwise(F.lit(-1)))
+    joined = recs.join(cells, (F.col("__rlat__") == F.col("__clat__")) & (F.col("__rlon__") == F.col("__clon__")), "left")
     near = F.exists(F.col("__pts__"),
                     lambda p: haversine_m(F.col(lat), F.col(lon), p["la"], p["lo"]) <= F.lit(radius_m))
-    flagged = joined.withColumn(out, F.when(has_coordinates(lat, lon), ~F.coalesce(near, F.lit(False))))
+    flagged = joined.withColumn(out, F.when(geo, ~F.coalesce(near, F.lit(False))))
     return flagged.select(*[c for c in df.columns if c != out], out) if out in df.columns else \
         flagged.select(*df.columns, out)
 
 
 def flag_all(df: DataFrame, lat: str, lon: str, unc: str, points: DataFrame | None = None,
              radius_m: float = 1000.0, zero_buffer_deg: float = 0.5, unc_limit: float = 100000,
-             points_lat: str = "lat", points_lon: str = "lon", cell_deg: float = 1.0) -> DataFrame:
+             points_lat: str = "lat", points_lon: str = "lon", cell_deg: float | None = None) -> DataFrame:
     """``georeferenced`` plus the four flags; rows without coordinates get NULL flags."""
     out = df.withColumn("georeferenced", has_coordinates(lat, lon))
     out = flag_zero(out, lat, lon, zero_buffer_deg)

@@ -104,19 +104,13 @@ def exclude_values(df: DataFrame, key: str, values) -> DataFrame:
     return df.filter(not_member(key, list(values)))
 
 
-def exclude_keys(df: DataFrame, key: str, exclusions: DataFrame, exclusion_key: str | None = None,
-                 broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def exclude_keys(df: DataFrame, key: str, exclusions: DataFrame, exclusion_key: str | None = None) -> DataFrame:
     """Remove records whose key is listed in an exclusion table (null-safe anti join).
 
-    The distinct exclusion keys are counted first; a list within
-    ``broadcast_max_rows`` is broadcast, so the large side is never
-    shuffled for a handful of ids. A larger list is left to the planner.
+    The planner (or AQE, from real sizes) broadcasts a short list, so that
+    the large side is not shuffled for a handful of ids.
     """
-    ek = exclusion_key or key
-    keys = exclusions.select(qcol(ek)).distinct()
-    if keys.count() <= broadcast_max_rows:
-        keys = F.broadcast(keys)
-    return join_on(df, keys, {key: ek}, "left_anti")
+    return anti_join(df, exclusions, {key: exclusion_key or key})
 
 
 def keep_keys_in_other(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None) -> DataFrame:

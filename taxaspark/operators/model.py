@@ -19,6 +19,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 METHOD = "laplace"
+RESAMPLED = "laplace, importance-resampled"
+
+
+def newton_sums(df: DataFrame, label: str, features: Sequence[str], beta: Sequence[float]) -> DataFrame:
+    """One row: log-likelihood ``ll``, gradient ``g<j>`` and Hessian ``h<i>_<j>`` of a Bernoulli-logit model at
+    ``beta`` (intercept first): the distributed part of a Newton step. Rows with NULLs are left out."""
+    data = df.select(F.col(label).cast("double").alias("__y__"),
+                     *[F.col(f).cast("double").alias(f"__x{j}__") for j, f in enumerate(features, 1)]).na.drop()
+    return data.agg(*_newton_aggregates([F.lit(1.0), *[F.col(f"__x{j}__") for j in range(1, len(features) + 1)]], beta))
+
+
+def _newton_aggregates(x: Sequence[Column], beta: Sequence[float]) -> list[Column]:
+    k = len(x)
+    eta = F.lit(float(beta[0]))
+    for j in range(1, k):
+        eta = eta + x[j] * F.lit(float(beta[j]))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+    w, r = p * (F.lit(1.0) - p), F.col("__y__") - p
+    return ([F.sum(r * x[j]).alias(f"g{j}") for j in range(k)]
+            + [F.sum(w * x[a] * x[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(a, k)]
+            + [F.sum(F.col("__y__") * eta - _log1pexp(eta)).alias("ll")])
 
 
 def interaction_name(a: str, b: str) -> str:
@@ -93,16 +114,7 @@ def fit_logit(df: DataFrame, label: str, features: Sequence[str], prior_sd: floa
             mu0[j] = prior_mean.get(t, 0.0)
     def evaluate(beta: np.ndarray):
         """Log-posterior, gradient and negative Hessian at ``beta``: one Spark aggregate."""
-        eta = zcols[0] * F.lit(float(beta[0]))
-        for j in range(1, k):
-            eta = eta + zcols[j] * F.lit(float(beta[j]))
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
-        w = p * (F.lit(1.0) - p)
-        r = F.col("__y__") - p
-        aggs = [F.sum(r * zcols[j]).alias(f"g{j}") for j in range(k)]
-        aggs += [F.sum(w * zcols[a] * zcols[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(a, k)]
-        aggs.append(F.sum(F.col("__y__") * eta - _log1pexp(eta)).alias("ll"))
-        row = z.agg(*aggs).first()
+        row = z.agg(*_newton_aggregates(zcols, beta)).first()
         g = np.array([row[f"g{j}"] or 0.0 for j in range(k)]) - prec * (beta - mu0)
         h = np.zeros((k, k))
         for a in range(k):
@@ -188,6 +200,12 @@ def _t_log_prior(beta, names, prior_t) -> float:
     return float(total)
 
 
+def _factor(cov: np.ndarray) -> np.ndarray:
+    """A matrix whose square is ``cov``, from its eigenvalues; negative ones (a singular fit) count as 0."""
+    values, vectors = np.linalg.eigh((cov + cov.T) / 2)
+    return vectors * np.sqrt(np.clip(values, 0.0, None))
+
+
 def coefficient_column(term: str) -> str:
     return f"b_{term}"
 
@@ -198,7 +216,7 @@ def posterior_draws(spark: SparkSession, fit: LogitFit, n: int = 4000, seed: int
     ``n`` x k numbers are made on the driver; the table size is the caller's ``n``.
     """
     rng = np.random.default_rng(seed)
-    draws = rng.multivariate_normal(fit.mode, fit.cov, size=n, method="cholesky")
+    draws = fit.mode + rng.standard_normal((n, len(fit.mode))) @ _factor(fit.cov).T
     schema = StructType([StructField("draw_id", IntegerType(), False)] +
                         [StructField(coefficient_column(t), DoubleType(), False) for t in fit.terms])
     rows = [(i + 1, *map(float, draws[i])) for i in range(n)]
@@ -209,8 +227,8 @@ def draws_log_likelihood(df: DataFrame, label: str, features: Sequence[str], dra
                          terms: Sequence[str]) -> dict[int, float]:
     """Bernoulli-logit log-likelihood of the data under every draw, in one Spark job.
 
-    Rows x broadcast draws, summed per draw: the aggregate has one group per
-    draw and combines on the map side, so only ``n`` numbers come back.
+    Rows x draws, summed per draw: the aggregate has one group per draw and combines on the
+    map side, so only ``n`` numbers come back. The draws are the caller's ``n`` rows.
     """
     data = df.select(F.col(label).cast("double").alias("__y__"),
                      *[F.col(f).cast("double").alias(f) for f in features]).na.drop()
@@ -218,24 +236,25 @@ def draws_log_likelihood(df: DataFrame, label: str, features: Sequence[str], dra
     for t, f in zip(terms[1:], features):
         eta = eta + F.col(coefficient_column(t)) * F.col(f)
     ll = F.col("__y__") * eta - _log1pexp(eta)
-    out = data.crossJoin(F.broadcast(draws)).groupBy("draw_id").agg(F.sum(ll).alias("ll"))
+    out = data.crossJoin(draws).groupBy("draw_id").agg(F.sum(ll).alias("ll"))
     return {r["draw_id"]: float(r["ll"]) for r in out.collect()}
 
 
 def importance_resample(spark: SparkSession, df: DataFrame, label: str, features: Sequence[str], fit: LogitFit,
-                        n: int = 4000, seed: int = 1, prior_sd=None, prior_t=None) -> tuple[DataFrame, float]:
+                        n: int = 4000, seed: int = 1, prior_sd=None, prior_t=None,
+                        truncate_at: float | None = None) -> tuple[DataFrame, float]:
     """Laplace draws corrected towards the exact posterior by importance resampling.
 
     Proposal: Student-t (4 df) around the mode with the Laplace covariance
     (heavier tails than the posterior). Weights = likelihood x prior /
-    proposal, truncated at ``mean(w) * sqrt(n)`` (truncated importance
-    sampling); ``n`` draws are resampled. Returns the draws and the
-    effective sample size of the weights.
+    proposal; ``n`` draws are resampled. ``truncate_at`` cuts weights at that many
+    mean weights (truncated importance sampling, e.g. ``sqrt(n)``); it changes
+    the sampled distribution and is off by default. Returns the draws and the effective sample size of the weights.
     """
     rng = np.random.default_rng(seed)
     k = len(fit.terms)
     nu = 4.0
-    chol = np.linalg.cholesky(fit.cov)
+    chol = _factor(fit.cov)
     z = rng.standard_normal((n, k))
     u = rng.chisquare(nu, n)
     prop = fit.mode + (z @ chol.T) * np.sqrt(nu / u)[:, None]
@@ -243,7 +262,7 @@ def importance_resample(spark: SparkSession, df: DataFrame, label: str, features
                         [StructField(coefficient_column(t), DoubleType(), False) for t in fit.terms])
     proposal = spark.createDataFrame([(i + 1, *map(float, prop[i])) for i in range(n)], schema)
     ll = draws_log_likelihood(df, label, features, proposal, fit.terms)
-    inv = np.linalg.inv(fit.cov)
+    inv = np.linalg.pinv(fit.cov, hermitian=True)
     d = prop - fit.mode
     maha = np.einsum("ij,jk,ik->i", d, inv, d)
     log_q = -0.5 * (nu + k) * np.log1p(maha / nu)
@@ -265,7 +284,8 @@ def importance_resample(spark: SparkSession, df: DataFrame, label: str, features
                 log_p += -(df_ + 1) / 2 * np.log1p(((bz[:, j] - loc) / sc) ** 2 / df_)
     lw = log_p - log_q
     w = np.exp(lw - lw.max())
-    w = np.minimum(w, w.mean() * np.sqrt(n))
+    if truncate_at is not None:
+        w = np.minimum(w, w.mean() * truncate_at)
     w /= w.sum()
     ess = float(1.0 / np.sum(w * w))
     pick = rng.choice(n, size=n, replace=True, p=w)
@@ -273,12 +293,12 @@ def importance_resample(spark: SparkSession, df: DataFrame, label: str, features
     return spark.createDataFrame(rows, schema), ess
 
 
-def draws_summary(draws: DataFrame, draw_id: str = "draw_id") -> DataFrame:
-    """Mean, sd and 2.5/50/97.5 % quantiles per coefficient (``summary(fit)``)."""
+def draws_summary(draws: DataFrame, draw_id: str = "draw_id", method: str = METHOD) -> DataFrame:
+    """Mean, sd and 2.5/50/97.5 % quantiles per coefficient (``summary(fit)``); ``method`` tells how the draws were made."""
     coefs = [c for c in draws.columns if c != draw_id]
     long = draws.unpivot([draw_id], coefs, "term", "value")
     q = F.percentile("value", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975)))
     return (long.groupBy("term").agg(F.avg("value").alias("mean"), F.stddev("value").alias("sd"),
                                      q.alias("__q__"), F.count(F.lit(1)).alias("draws"))
             .select("term", "mean", "sd", F.col("__q__")[0].alias("q2_5"), F.col("__q__")[1].alias("q50"),
-                    F.col("__q__")[2].alias("q97_5"), "draws", F.lit(METHOD).alias("method")))
+                    F.col("__q__")[2].alias("q97_5"), "draws", F.lit(method).alias("method")))

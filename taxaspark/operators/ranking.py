@@ -1,30 +1,28 @@
 """Global order operators that stay distributed.
 
 A window without ``partitionBy`` moves every row into one task. The two
-operators here keep the work spread out:
-
-* ``row_index``: range-partition on the (total) sort order, number rows
-  inside each range, and add the count of all earlier ranges. The per-range
-  counts are one row per partition, a bound fixed by the caller.
-* ``running_sum_desc``: pre-aggregate per distinct order value first (a hot
-  value becomes one row), cut the values into quantile buckets, prefix-sum
-  the bucket totals (one row per bucket) and finish inside each bucket.
+operators here keep the work spread out: the rows are range-partitioned on
+the order and written to the shared checkpoint folder, so that the totals
+of each range and the rows themselves come from the same ranges even if
+executors are lost. What is ahead of a range is a prefix sum over one row per
+range partition.
+
+* ``row_index``: the position inside a range is taken while the range is
+  written; only the broadcast of the offsets follows.
+* ``running_sum_desc``: the input is one row per distinct value (a hot value
+  has been added up before), with a window inside each range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import default_parallelism, ensure_checkpoint_dir
 
 
-MAX_BUCKETS = 4096
-
-
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     out = []
     for c in order_by:
@@ -41,57 +39,45 @@ def row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "inde
               partitions: int | None = None) -> DataFrame:
     """``arrange(...) %>% mutate(index = 1:n())`` without a single-partition window.
 
-    ``order_by`` must be a total order (add a unique tiebreak key). The range
-    partitioned frame is checkpointed to the shared checkpoint folder, so the
-    per-range counts and the numbering read the same materialised ranges even
-    if executors are lost.
+    ``order_by`` must be a total order (add a unique tiebreak key). One shuffle: the
+    ranges are written with each row's position in them.
     """
+    order = _order_cols(order_by)
+    # a monotonic id is (partition << 33) + position in the partition
+    ranged = _ranges(df, order, partitions).withColumn("__id__", F.monotonically_increasing_id()).checkpoint(eager=True)
+    part = F.shiftright("__id__", 33).alias("__part__")
+    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("__n__"))
+    offsets = _ahead(counts, "__n__", "__off__", F.col("__part__"))
+    within = F.col("__id__").bitwiseAND(F.lit((1 << 33) - 1))
+    return (ranged.withColumn("__part__", F.shiftright("__id__", 33)).join(F.broadcast(offsets), "__part__")
+            .withColumn(name, F.col("__off__") + within + 1).drop("__part__", "__off__", "__id__"))
+
+
+def _ranges(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or default_parallelism(spark)
-    order = _order_cols(order_by)
-    ranged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("__part__", F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy("__part__").agg(F.count(F.lit(1)).alias("__cnt__"))
-    # one row per range partition: bounded by ``n``
-    offsets = counts.select(
-        "__part__",
-        (F.sum("__cnt__").over(Window.orderBy("__part__").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off__"),
-    ).fillna(0, subset=["__off__"])
-    within = Window.partitionBy("__part__").orderBy(*order)
-    return (ranged.join(F.broadcast(offsets), "__part__")
-            .withColumn(name, F.col("__off__") + F.row_number().over(within))
-            .drop("__part__", "__off__"))
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
+def _ahead(totals: DataFrame, amount: str, name: str, order: Column) -> DataFrame:
+    """Per range partition, the total of those before it: one row each, bounded by the partition count."""
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("__part__", F.coalesce(F.sum(amount).over(before), F.lit(0)).alias(name))
 
 
 def running_sum_desc(per_value: DataFrame, value: str, amount: str, name: str,
-                     buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
+                     partitions: int | None = None) -> DataFrame:
     """Running total of ``amount`` from the largest ``value`` down (``value`` unique per row).
 
-    The cut points come from ``approxQuantile`` (``buckets - 1`` numbers on
-    the driver); the bucket totals are one row per bucket.
+    As many ranges as ``partitions`` (the session's shuffle partitions by default). No rows: no rows.
     """
-    spark = per_value.sparkSession
-    # rows are already one per distinct value: a few thousand buckets give full parallelism,
-    # and the cut points and the per-bucket offsets stay small
-    nb = buckets or min(default_parallelism(spark), MAX_BUCKETS)
-    probs = [i / nb for i in range(1, nb)]
-    cuts = sorted(set(per_value.approxQuantile(value, probs, rel_error))) if probs else []
-    splits = [float("-inf"), *cuts, float("inf")]
-    tagged = Bucketizer(splits=splits, inputCol=value, outputCol="__b__",
-                        handleInvalid="keep").transform(per_value)
-    totals = tagged.groupBy("__b__").agg(F.sum(amount).alias("__tot__"))
-    # bucket b receives the totals of all buckets above it (larger values)
-    above = totals.select(
-        "__b__",
-        F.sum("__tot__").over(Window.orderBy(F.col("__b__").desc())
-                              .rowsBetween(Window.unboundedPreceding, -1)).alias("__above__"),
-    ).fillna(0, subset=["__above__"])
-    w = (Window.partitionBy("__b__").orderBy(F.col(value).desc())
+    ranged = _ranges(per_value, [F.col(value).desc()], partitions).withColumn("__part__", F.spark_partition_id()) \
+        .checkpoint(eager=True)
+    totals = ranged.groupBy("__part__").agg(F.sum(amount).alias("__tot__"))
+    above = _ahead(totals, "__tot__", "__above__", F.col("__part__"))
+    w = (Window.partitionBy("__part__").orderBy(F.col(value).desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (tagged.join(F.broadcast(above), "__b__")
+    return (ranged.join(F.broadcast(above), "__part__")
             .withColumn(name, F.col("__above__") + F.sum(amount).over(w))
-            .drop("__b__", "__above__"))
+            .drop("__part__", "__above__"))

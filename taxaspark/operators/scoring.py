@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from ..functions.numeric import inv_logit
 from .frames import rename, round_numeric
 from .ranking import running_sum_desc, sort_rows
 
-MAX_BROADCAST_DRAWS = 200_000
+DRAWS_IN_CHUNK = 1000
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -40,16 +40,22 @@ def posterior_expected(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Co
                        draw_id: str = "draw_id", n_draws: int | None = None) -> DataFrame:
     """Expected probability per (row, draw): ``inv_logit(eta)`` (``add_epred_draws``).
 
-    The draws table is broadcast when its size is known to be bounded
-    (``n_draws``, the number the caller asked the sampler for, or a checked
-    count); the product is never cached.
+    The product is what is asked for, but not a cross join: draws travel in
+    chunks of a fixed number, every row is dealt to every chunk, and rows and
+    chunks meet in an equi-join, broadcast or shuffled as the planner's size
+    check says. One path for every number of draws; the product is never cached.
     """
     n = n_draws if n_draws is not None else draws.count()
-    d = F.broadcast(draws) if n <= MAX_BROADCAST_DRAWS else draws
-    keep = [c for c in draws.columns if c == draw_id]
-    joined = spread(rows).crossJoin(d)
-    return joined.select(*rows.columns, *[F.col(c) for c in keep],
-                         inv_logit(linear_predictor(terms, intercept)).alias(out))
+    chunks = max(1, -(-n // DRAWS_IN_CHUNK))
+    fields = [draw_id, intercept, *terms]
+    packed = draws.groupBy(F.pmod(F.hash(draw_id), F.lit(chunks)).alias("__chunk__")).agg(
+        F.collect_list(F.struct(*fields)).alias("__draws__"))
+    dealt = spread(rows).withColumn("__chunk__", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    pairs = dealt.join(packed, "__chunk__").select(*rows.columns, F.explode("__draws__").alias("__d__"))
+    eta = F.col("__d__")[intercept]
+    for coef, term in terms.items():
+        eta = eta + F.col("__d__")[coef] * term
+    return pairs.select(*rows.columns, F.col("__d__")[draw_id].alias(draw_id), inv_logit(eta).alias(out))
 
 
 def median_interval(df: DataFrame, keys: Sequence[str], value: str = "epred", width: float = 0.95,
@@ -74,55 +80,50 @@ def draws_array(draws: DataFrame, coefs: Sequence[str], draw_id: str = "draw_id"
                      .alias("__draws__"))
 
 
-def sorted_quantile(arr: Column, p: float) -> Column:
-    """Quantile ``p`` of a sorted array, linear interpolation between closest ranks
-    (the formula of Spark's exact ``percentile``)."""
+def sorted_quantile(arr: Column, p: float, of: Callable[[Column], Column] = lambda x: x) -> Column:
+    """Quantile ``p`` of the increasing function ``of`` over a sorted array, linear interpolation
+    between closest ranks (the formula of Spark's exact ``percentile``)."""
     n = F.size(arr)
     pos = (n - 1).cast("double") * F.lit(p)
     lo = F.floor(pos)
     hi = F.ceil(pos)
-    a_lo = F.element_at(arr, (lo + 1).cast("int"))
-    a_hi = F.element_at(arr, (hi + 1).cast("int"))
+    a_lo = of(F.element_at(arr, (lo + 1).cast("int")))
+    a_hi = of(F.element_at(arr, (hi + 1).cast("int")))
     return F.when(n == 0, F.lit(None).cast("double")).when(hi == lo, a_lo).otherwise(
         (hi.cast("double") - pos) * a_lo + (pos - lo.cast("double")) * a_hi)
 
 
 def posterior_interval(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Column],
                        intercept: str = "b_intercept", width: float = 0.95, median: str = "epred",
-                       lower: str = "lower", upper: str = "upper", draw_id: str = "draw_id",
-                       n_draws: int | None = None) -> DataFrame:
+                       lower: str = "lower", upper: str = "upper", draw_id: str = "draw_id") -> DataFrame:
     """Median and central interval of the expected probability over all draws, per row.
 
     Same numbers as ``posterior_expected`` followed by ``median_interval``,
-    without materialising rows x draws or shuffling: the draws travel as one
-    broadcast array (its size is the number of draws, checked), each row
-    maps it to probabilities, sorts them and reads the quantiles.
+    without materialising rows x draws or shuffling: the draws travel as the
+    array of one row, each row maps it to linear predictors, sorts them and
+    reads the quantiles. The inverse logit is monotone, so it is applied to
+    the few neighbours that a quantile needs, not to every draw.
+    The array is one value, of the number of draws that the caller chose.
     """
     coefs = [intercept, *terms.keys()]
-    n = n_draws if n_draws is not None else draws.count()
-    if n > MAX_BROADCAST_DRAWS:
-        ep = posterior_expected(rows.withColumn("__rowid__", F.monotonically_increasing_id()), draws, terms,
-                                intercept, "__ep__", draw_id, n)
-        keys = ["__rowid__", *rows.columns]
-        return median_interval(ep, keys, "__ep__", width, median, lower, upper).drop("__rowid__")
-    arr = F.broadcast(draws_array(draws, coefs, draw_id))
+    arr = F.broadcast(draws_array(draws, coefs, draw_id))     # one row of n_draws structs
     rows = spread(rows)
 
-    def prob(d: Column) -> Column:
+    def predictor(d: Column) -> Column:
         eta = d[intercept]
         for coef, term in terms.items():
             eta = eta + d[coef] * term
-        return inv_logit(eta)
+        return eta
 
     lo_p, hi_p = (1 - width) / 2, 1 - (1 - width) / 2
-    probs = F.array_sort(F.filter(F.transform(F.col("__draws__"), prob), lambda x: x.isNotNull()))
-    out = rows.crossJoin(arr).withColumn("__p__", probs)
-    return out.select(*rows.columns, sorted_quantile(F.col("__p__"), 0.5).alias(median),
-                      sorted_quantile(F.col("__p__"), lo_p).alias(lower),
-                      sorted_quantile(F.col("__p__"), hi_p).alias(upper))
+    etas = F.sort_array(F.filter(F.transform(F.col("__draws__"), predictor), lambda x: x.isNotNull()))
+    out = rows.crossJoin(arr).select(*rows.columns, etas.alias("__eta__"))
+    return out.select(*rows.columns, sorted_quantile(F.col("__eta__"), 0.5, inv_logit).alias(median),
+                      sorted_quantile(F.col("__eta__"), lo_p, inv_logit).alias(lower),
+                      sorted_quantile(F.col("__eta__"), hi_p, inv_logit).alias(upper))
 
 
-def fnr_curve(df: DataFrame, observed: str, score: str, buckets: int | None = None) -> DataFrame:
+def fnr_curve(df: DataFrame, observed: str, score: str, partitions: int | None = None) -> DataFrame:
     """False-negative rate for every distinct score used as threshold.
 
     ``tp(t)`` counts observed positives with ``score >= t``; ``fnr = 1 - tp / (tp + fn)``
@@ -133,7 +134,7 @@ def fnr_curve(df: DataFrame, observed: str, score: str, buckets: int | None = No
     pos = F.when(F.col(observed) == 1, F.lit(1)).otherwise(F.lit(0))
     per = scored.groupBy(score).agg(F.sum(pos).cast("long").alias("positives"))
     total = scored.agg(F.sum(pos).cast("long").alias("__P__"))
-    run = running_sum_desc(per, score, "positives", "tp", buckets)
+    run = running_sum_desc(per, score, "positives", "tp", partitions)
     tp = F.col("tp")
     fn = F.col("__P__") - tp
     out = run.crossJoin(F.broadcast(total))           # one row
@@ -145,9 +146,9 @@ def fnr_curve(df: DataFrame, observed: str, score: str, buckets: int | None = No
 
 
 def threshold_for_fnr(df: DataFrame, observed: str, score: str, fnr: float = 0.05,
-                      buckets: int | None = None) -> DataFrame:
-    """One row: the largest score whose false-negative rate is at most ``fnr`` (NULL if none)."""
-    curve = fnr_curve(df, observed, score, buckets)
+                      partitions: int | None = None) -> DataFrame:
+    """One row: the largest score whose false-negative rate is at most ``fnr`` (NULL if none, or without scores)."""
+    curve = fnr_curve(df, observed, score, partitions)
     return curve.agg(F.max(F.when(F.col("fnr") <= F.lit(fnr), F.col("threshold"))).alias("threshold"))
 
 

@@ -99,6 +99,8 @@ MANUAL_YEARS = [
 CLASS_CUTOFF = 0.5
 DESIRED_FNR = 0.05
 INTERCEPT_PRIOR_T = (3, -1, 1)          # student_t(df, location, scale), built but not passed to the fit
+# not from the reference: what its modelling package puts on the intercept of centred predictors when no prior is passed
+PACKAGE_INTERCEPT_PRIOR_T = (3, 0, 2.5)
 OUTPUT_DIGITS = 3
 INTERVAL_WIDTH = 0.95
 THRESHOLD_SENTENCE = "Threshold for FNR of %s : %s"

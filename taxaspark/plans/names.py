@@ -13,15 +13,13 @@ The taxonomy service of the reference is replaced by three tables:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.nulls import is_member, not_matches, paste
 from ..functions.text import override, space_initials
-from ..operators.dedup import first_per_key, keep_unique
+from ..operators.dedup import keep_unique
 from ..operators.frames import conform, rename, union_missing, union_strict
 from ..operators.joins import anti_join, join_on, join_suffixed
 from . import constants as K
@@ -53,11 +51,10 @@ def match_names(names: DataFrame, candidates: DataFrame, name_col: str = "NameAu
     )
     usable = stats.filter(~F.col("__none__") & ~F.col("__higher__")).select("searchName", "__top__")
     best = join_on(candidates, usable, {"searchName": "searchName", "confidence": "__top__"}, "left_semi")
+    # a name without usable candidates finds no row here: the left join itself gives the default row
     best = conform(best, MATCH_TEMPLATE)
     queries = names.select(F.col(name_col).cast("string").alias("searchName"))
-    matched = join_on(queries, best, "searchName", "inner")
-    default = conform(anti_join(queries, usable, "searchName"), MATCH_TEMPLATE)
-    return union_strict(matched.select(*MATCH_TEMPLATE.fieldNames()), default)
+    return join_on(queries, best, "searchName", "left").select(*MATCH_TEMPLATE.fieldNames())
 
 
 def lookup_usage(keys: DataFrame, usage: DataFrame, key_col: str = "usageKey") -> DataFrame:
@@ -67,21 +64,33 @@ def lookup_usage(keys: DataFrame, usage: DataFrame, key_col: str = "usageKey") -
 
 
 def resolve_accepted(names: DataFrame, candidates: DataFrame, usage: DataFrame,
-                     name_col: str = "NameAuthor", confidence: int = K.REQUIRED_CONFIDENCE,
-                     order_by: Sequence[str | Column] | None = None) -> DataFrame:
+                     name_col: str = "NameAuthor", confidence: int = K.REQUIRED_CONFIDENCE) -> DataFrame:
     """Resolve names to taxon keys and their attributes (``find_accepted_names``).
 
     Search names with more than one best candidate are dropped, then those
     below ``confidence``; usage rows are fetched per key; the search name is
     attached by *scientific name*; one row per scientific name survives
-    (first in ``order_by``, default searchName then key).
+    (first by searchName, then key).
+
+    One pass over the matches: each gives its search name to the scientific
+    name that it matched, and its usage row to the one that this row has; an
+    aggregate per scientific name takes the first of both.
     """
     batch = match_names(names, candidates, name_col)
-    unique = keep_unique(batch, ["searchName"]).filter(F.col("confidence") == F.lit(confidence))
-    usage_rows = lookup_usage(unique, usage)
-    named = join_on(usage_rows, unique.select("searchName", "scientificName"), "scientificName", "left")
-    order = order_by or [F.col("searchName").asc_nulls_last(), F.col("key").asc_nulls_last()]
-    return first_per_key(named, ["scientificName"], order)
+    unique = keep_unique(batch, ["searchName"], narrow=True).filter(F.col("confidence") == F.lit(confidence))
+    fields = [c for c in usage.columns if c != "scientificName"]
+    rows = usage.select(F.col("key").alias("__key__"), F.col("scientificName").alias("__name__"),
+                        F.struct("key", *[c for c in fields if c != "key"]).alias("__usage__"))
+    found = unique.join(rows, unique["usageKey"] == rows["__key__"], "left")
+    both = found.select(F.explode(F.array(
+        F.struct(F.col("scientificName").alias("name"), F.col("searchName").alias("search"),
+                 F.when(F.lit(False), F.col("__usage__")).alias("use")),
+        F.struct(F.col("__name__").alias("name"), F.lit(None).cast("string").alias("search"),
+                 F.col("__usage__").alias("use")))).alias("r")).select("r.*")
+    per_name = both.groupBy("name").agg(F.min("search").alias("searchName"), F.min("use").alias("use")).filter(
+        F.col("use").isNotNull())
+    return per_name.select(*[F.col("name").alias(c) if c == "scientificName" else F.col("use")[c].alias(c)
+                             for c in usage.columns], "searchName")
 
 
 def _accepted_fallback(df: DataFrame) -> DataFrame:
@@ -148,7 +157,7 @@ def find_synonyms(accepted: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Synonyms of the distinct accepted keys; names listed under several keys are dropped."""
     keys = accepted.select("acceptedKey").distinct()
     syn = join_on(synonyms, keys, "acceptedKey", "left_semi", null_safe=False)
-    return keep_unique(syn, ["scientificName"])
+    return keep_unique(syn, ["scientificName"], narrow=True)
 
 
 def _synonym_rows(accepted: DataFrame, synonyms: DataFrame) -> DataFrame:
@@ -172,4 +181,4 @@ def synonym_map(accepted_assessed: DataFrame, accepted_checklist: DataFrame, syn
     b = _synonym_rows(accepted_checklist, synonyms).distinct()
     both = union_strict(a, b).distinct()
     both = both.withColumn("mycoportalNameAuthor", override("NameAuthor", fixes, space_initials("NameAuthor")))
-    return keep_unique(both, ["NameAuthor"])
+    return keep_unique(both, ["NameAuthor"], narrow=True)

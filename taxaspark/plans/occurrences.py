@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import is_member, paste
+from ..functions.nulls import is_member, paste, qcol
 from ..functions.text import code_map, combined_id, lenient_double
 from ..operators.dedup import first_per_key
 from ..operators.frames import drop_strict, rename, union_missing, union_strict
-from ..operators.joins import join_on, keep_keys_in_other, semi_join_either
+from ..operators.joins import join_on, keep_keys_in_other
 from . import constants as K
 
 
@@ -20,7 +20,8 @@ def portal_records(files: Sequence[DataFrame], drops: Sequence[Sequence[str]] |
     """Portal files bound by name (earlier files first), one record per ``id``.
 
     ``drops`` are the columns removed from each file (strict). Between
-    copies of an id the earlier file wins, then ``tiebreak``.
+    copies of an id the earlier file wins, then ``tiebreak``, then the smallest hash of the
+    whole record: the order is total, so a retry keeps the same copy.
     """
     tagged = []
     for i, f in enumerate(files):
@@ -28,7 +29,7 @@ def portal_records(files: Sequence[DataFrame], drops: Sequence[Sequence[str]] |
             f = drop_strict(f, drops[i])
         tagged.append(f.withColumn("__file__", F.lit(i)))
     allr = union_missing(*tagged)
-    order = [F.col("__file__"), *tiebreak]
+    order = [F.col("__file__"), *tiebreak, F.xxhash64(*[qcol(c) for c in allr.columns])]
     return first_per_key(allr, ["id"], order).drop("__file__")
 
 
@@ -38,23 +39,34 @@ def portal_matches(portal: DataFrame, checklist: DataFrame, names: DataFrame) ->
     Route 1: taxon id in the checklist, accepted name attached, NameAuthor =
     genus + epithet + author. Route 2: name + author equal to a name in
     either name column of the synonym map; the accepted name is attached by
-    the spaced name only. Union distinct, then one row per id.
-    ``portal`` must hold one row per id (as ``portal_records`` returns).
+    the spaced name only. ``portal`` must hold one row per id (as
+    ``portal_records`` returns), and each gives at most one row: where a taxon id or a
+    name has several accepted names, the first by (acceptedNameAuthor,
+    acceptedName), missing values last.
+
+    The name tables are reduced to one row per key first, so the wide records
+    go through two left joins and nothing else: no union, no distinct, no window.
     """
-    cl = checklist.select("TaxonId", "acceptedNameAuthor", "acceptedName").na.drop(subset=["TaxonId"])
-    r1 = join_on(portal.filter(F.col("taxonID").isNotNull()), cl, {"taxonID": "TaxonId"}, "inner", null_safe=False)
-    r1 = r1.withColumn("NameAuthor", paste("genus", "specificEpithet", "scientificNameAuthorship"))
-    r2 = portal.withColumn("NameAuthor", paste("scientificName", "scientificNameAuthorship"))
-    r2 = semi_join_either(r2, "NameAuthor", [(names, "mycoportalNameAuthor"), (names, "NameAuthor")])
-    attach = names.drop("NameAuthor", "gbifAcceptedKey")
-    r2 = join_on(r2, attach, {"NameAuthor": "mycoportalNameAuthor"}, "left")
-    both = union_strict(r1.withColumn("__route__", F.lit(1)), r2.withColumn("__route__", F.lit(2)).select(
-        *r1.columns, "__route__"))
-    both = both.distinct()
-    # one portal row per id: within an id only the route-dependent columns differ, so they are
-    # the whole tiebreak (a narrow sort key on wide records)
-    order = [F.col("__route__")] + [F.col(c).asc_nulls_last() for c in ("acceptedNameAuthor", "acceptedName", "NameAuthor")]
-    return first_per_key(both, ["id"], order).drop("__route__")
+    accepted = ("acceptedNameAuthor", "acceptedName")
+
+    def first_name(route: Column) -> Column:
+        return F.min(F.struct(route.alias("route"), *[x for c in accepted for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]))
+
+    by_id = checklist.filter(F.col("TaxonId").isNotNull()).groupBy(F.col("TaxonId").alias("__id__")).agg(
+        first_name(F.lit(1)).alias("__by_id__"))
+    none = F.lit(None).cast("string")
+    keyed = names.select(F.explode(F.array(
+        F.struct(F.col("mycoportalNameAuthor").alias("__name__"), F.lit(1).alias("route"), *[F.col(c) for c in accepted]),
+        F.struct(F.col("NameAuthor").alias("__name__"), F.lit(2).alias("route"), *[none.alias(c) for c in accepted]))).alias("k")).select("k.*")
+    by_name = keyed.filter(F.col("__name__").isNotNull()).groupBy("__name__").agg(first_name(F.col("route")).alias("__by_name__"))
+    full = paste("scientificName", "scientificNameAuthorship")
+    found = portal.join(by_id, portal["taxonID"] == F.col("__id__"), "left").withColumn("__full__", full) \
+        .join(by_name, F.col("__full__") == F.col("__name__"), "left")
+    route1, route2 = F.col("__by_id__").isNotNull(), F.col("__by_name__").isNotNull()
+    return found.filter(route1 | route2).select(
+        *[qcol(c) for c in portal.columns],
+        *[F.when(route1, F.col("__by_id__")[c]).otherwise(F.col("__by_name__")[c]).alias(c) for c in accepted],
+        F.when(route1, paste("genus", "specificEpithet", "scientificNameAuthorship")).otherwise(F.col("__full__")).alias("NameAuthor"))
 
 
 def aggregator_records(files: Sequence[DataFrame], names: DataFrame, drops: Sequence[Sequence[str]] | None = None,

@@ -11,10 +11,10 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from ..functions.nulls import present
 from ..functions.numeric import round_half_up, share_true
 from ..functions.text import override
-from ..operators.dedup import keep_group_min, two_stage_dedup
+from ..operators.dedup import two_stage_dedup
 from ..operators.frames import drop_missing, union_strict
 from ..operators.geo import quality_gate
-from ..operators.joins import anti_join, join_on, semi_join
+from ..operators.joins import join_on
 from . import constants as K
 
 ACC = "acceptedNameAuthor"
@@ -72,9 +72,9 @@ def clean_backbone(backbone: DataFrame, fixes=K.CURRENT_NAME_FIXES) -> DataFrame
 
 
 def basionym_years(backbone: DataFrame, group: str) -> DataFrame:
-    """Basionym records at their group's earliest year (ties kept, NULL year never)."""
+    """(group, ``__y__``): the earliest year of each group's basionym records; groups without a year are left out."""
     b = backbone.filter(F.col("RECORD_NUMBER") == F.col("BASIONYM_RECORD_NUMBER"))
-    return keep_group_min(b, [group], "YEAR_OF_PUBLICATION")
+    return b.groupBy(group).agg(F.min("YEAR_OF_PUBLICATION").cast("int").alias("__y__")).filter(F.col("__y__").isNotNull())
 
 
 MANUAL_SCHEMA = StructType([StructField(ACC, StringType()), StructField("yearPublished", IntegerType())])
@@ -92,26 +92,33 @@ def year_published(backbone: DataFrame, names: DataFrame, manual: DataFrame | No
     compared, for when one side carries the author and the other does not;
     the result is then keyed by the wanted names as given.
     """
-    if key_form is not None:
-        return _year_published_keyed(backbone, names, manual, key_form)
-    bb = clean_backbone(backbone)
-    wanted = names.select(ACC)
-    cur = bb.filter((F.col("RECORD_NUMBER") == F.col("CURRENT_NAME_RECORD_NUMBER"))
-                    | (F.col("NAME_OF_FUNGUS") == F.col("CURRENT_NAME")))
-    cur = semi_join(cur, wanted, {"CURRENT_NAME": ACC})
-    bas = basionym_years(bb, "CURRENT_NAME").select("CURRENT_NAME", F.col("YEAR_OF_PUBLICATION").alias("__y__"))
-    y1 = (join_on(cur.select("CURRENT_NAME"), bas, "CURRENT_NAME", "left")
-          .select(F.col("CURRENT_NAME").alias(ACC), F.col("__y__").cast("int").alias("yearPublished")).distinct())
-    missed = anti_join(wanted, y1, ACC).distinct()
-    bas2 = basionym_years(bb, "NAME_OF_FUNGUS").select("NAME_OF_FUNGUS", F.col("YEAR_OF_PUBLICATION").alias("__y__"))
-    y2_rows = semi_join(bb.select("NAME_OF_FUNGUS"), missed, {"NAME_OF_FUNGUS": ACC})
-    y2 = (join_on(y2_rows, bas2, "NAME_OF_FUNGUS", "left")
-          .select(F.col("NAME_OF_FUNGUS").alias(ACC), F.col("__y__").cast("int").alias("yearPublished")).distinct())
-    parts = [y1, y2]
+    form = key_form or (lambda c: c)
+    bb = clean_backbone(backbone).select(
+        "RECORD_NUMBER", "BASIONYM_RECORD_NUMBER", "CURRENT_NAME_RECORD_NUMBER", "YEAR_OF_PUBLICATION",
+        (F.col("NAME_OF_FUNGUS") == F.col("CURRENT_NAME")).alias("__same__"),
+        form(F.col("CURRENT_NAME")).alias("CURRENT_NAME"), form(F.col("NAME_OF_FUNGUS")).alias("NAME_OF_FUNGUS"))
+    keyed = names.select(F.col(ACC), form(F.col(ACC)).alias("__key__")).distinct()
+
+    def years(held: DataFrame, group: str, route: int) -> DataFrame:
+        """Names that the backbone holds in column ``group``, with the year of their basionyms if it has one."""
+        found = join_on(held.select(group).distinct(), basionym_years(bb, group), group, "left")
+        return found.select(F.col(group).alias("__key__"), F.lit(route).alias("__route__"), F.col("__y__").alias("yearPublished"))
+
+    current = bb.filter((F.col("RECORD_NUMBER") == F.col("CURRENT_NAME_RECORD_NUMBER")) | F.col("__same__"))
+    # by the current name; names that are no current name by the name itself: the first route that knows the name counts
+    known = years(current, "CURRENT_NAME", 1).unionByName(years(bb, "NAME_OF_FUNGUS", 2))
+    first = known.groupBy("__key__").agg(F.min(F.struct("__route__", "yearPublished")).alias("f")).select(
+        "__key__", F.col("f.yearPublished").alias("yearPublished"))
+    if key_form is None:
+        out = join_on(keyed.select(F.col(ACC).alias("__key__")), first, "__key__", "inner")
+        parts = [out.select(F.col("__key__").alias(ACC), "yearPublished")]
+        if manual is not None:
+            parts.append(manual.select(F.col(ACC).cast("string").alias(ACC), F.col("yearPublished").cast("int").alias("yearPublished")))
+        return drop_missing(union_strict(*parts))
     if manual is not None:
-        parts.append(manual.select(F.col(ACC).cast("string").alias(ACC),
-                                   F.col("yearPublished").cast("int").alias("yearPublished")))
-    return drop_missing(union_strict(*parts))
+        first = union_strict(first, manual.select(form(F.col(ACC).cast("string")).alias("__key__"),
+                                                  F.col("yearPublished").cast("int").alias("yearPublished")))
+    return join_on(keyed, drop_missing(first), "__key__", "inner").select(ACC, "yearPublished").distinct()
 
 
 def manual_years(spark, rows=K.MANUAL_YEARS) -> DataFrame:
@@ -125,29 +132,3 @@ def species_predictors(occs: DataFrame, years: DataFrame, threat: DataFrame,
     occ = occurrence_predictors(occs, order_by, gate)
     out = drop_missing(join_on(occ, years, ACC, "left"))
     return join_on(out, threat.select(ACC, "Threatened"), ACC, "left")
-
-
-def _year_published_keyed(backbone: DataFrame, names: DataFrame, manual: DataFrame | None,
-                          key_form: Callable[[Column], Column]) -> DataFrame:
-    bb = clean_backbone(backbone)
-    bb = (bb.withColumn("__raw_equal__", F.col("NAME_OF_FUNGUS") == F.col("CURRENT_NAME"))
-            .withColumn("CURRENT_NAME", key_form(F.col("CURRENT_NAME")))
-            .withColumn("NAME_OF_FUNGUS", key_form(F.col("NAME_OF_FUNGUS"))))
-    keyed = names.select(F.col(ACC), key_form(F.col(ACC)).alias("__key__")).distinct()
-    keys = keyed.select(F.col("__key__").alias(ACC))
-    cur = bb.filter((F.col("RECORD_NUMBER") == F.col("CURRENT_NAME_RECORD_NUMBER")) | F.col("__raw_equal__"))
-    cur = semi_join(cur, keys, {"CURRENT_NAME": ACC})
-    bas = basionym_years(bb, "CURRENT_NAME").select("CURRENT_NAME", F.col("YEAR_OF_PUBLICATION").alias("__y__"))
-    y1 = (join_on(cur.select("CURRENT_NAME"), bas, "CURRENT_NAME", "left")
-          .select(F.col("CURRENT_NAME").alias("__key__"), F.col("__y__").cast("int").alias("yearPublished")).distinct())
-    missed = anti_join(keys, y1, {ACC: "__key__"}).distinct()
-    bas2 = basionym_years(bb, "NAME_OF_FUNGUS").select("NAME_OF_FUNGUS", F.col("YEAR_OF_PUBLICATION").alias("__y__"))
-    y2_rows = semi_join(bb.select("NAME_OF_FUNGUS"), missed, {"NAME_OF_FUNGUS": ACC})
-    y2 = (join_on(y2_rows, bas2, "NAME_OF_FUNGUS", "left")
-          .select(F.col("NAME_OF_FUNGUS").alias("__key__"), F.col("__y__").cast("int").alias("yearPublished")).distinct())
-    parts = [y1, y2]
-    if manual is not None:
-        parts.append(manual.select(key_form(F.col(ACC).cast("string")).alias("__key__"),
-                                   F.col("yearPublished").cast("int").alias("yearPublished")))
-    by_key = drop_missing(union_strict(*parts))
-    return join_on(keyed, by_key, "__key__", "inner").select(ACC, "yearPublished").distinct()

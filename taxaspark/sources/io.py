@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..functions.nulls import qcol
 
 
 def snake(name: str) -> str:
@@ -16,23 +18,50 @@ def snake(name: str) -> str:
     return s or "col"
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
-                   sep: str = ",", blank_as_null: bool = True, rename: Mapping[str, str] | None = None,
-                   na_value: str = "NA") -> DataFrame:
-    """CSV/TSV with a header; quoted fields may hold the separator, doubled quotes and newlines.
+#: a null marker that no file holds: blanks then stay apart from ``NA``
+NO_MARKER = "\u0001"
+
+
+def _reader(spark: SparkSession, sep: str, na_value: str, multi_line: bool) -> DataFrameReader:
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+            .option("sep", sep).option("nullValue", na_value).option("mode", "FAILFAST"))
+
 
-    ``blank_as_null=False`` keeps empty text as ``''`` (base R's reader);
-    Spark's default reads it as NULL. Without ``schema`` the header names
-    are kept and every column is text.
+def _read(reader: DataFrameReader, path: str | Sequence[str], schema: StructType | None) -> DataFrame:
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
+
+
+def _text_only(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, StringType()) for f in schema.fields])
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
+                   sep: str = ",", blank_as_null: bool = True, rename: Mapping[str, str] | None = None,
+                   na_value: str = "NA", multi_line: bool = False) -> DataFrame:
+    """CSV/TSV with a header; quoted fields may hold the separator and doubled quotes.
+
+    Files are split over tasks. ``multi_line=True`` is for files whose quoted
+    fields hold line breaks: each is then read by one task, so turn such a file into
+    Parquet once. ``blank_as_null=False`` keeps empty text as ``''`` and reads
+    ``na_value`` as NULL (base R's reader). Without ``schema`` the header
+    names are kept and every column is text.
     """
-    r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-         .option("sep", sep).option("nullValue", na_value).option("mode", "FAILFAST"))
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.csv(path)
-    if not blank_as_null:
-        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-        df = df.na.fill("", subset=text) if text else df
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if blank_as_null:
+        df = _read(_reader(spark, sep, na_value, multi_line), path, schema)
+    else:
+        # the reader turns an unquoted blank into NULL whatever the marker is: read text with a marker that does
+        # not occur, then blank -> '' and na_value -> NULL in one projection, and cast
+        raw = _read(_reader(spark, sep, NO_MARKER, multi_line), path, _text_only(schema) if schema is not None else None)
+        kinds = {f.name: f.dataType for f in (schema or raw.schema).fields}
+
+        def field(name: str) -> Column:
+            known = F.when(qcol(name) != F.lit(na_value), qcol(name))
+            if isinstance(kinds[name], StringType):
+                return F.when(qcol(name).isNull(), F.lit("")).otherwise(known).alias(name)
+            return F.when(qcol(name) != F.lit(""), known).cast(kinds[name]).alias(name)
+
+        df = raw.select(*[field(n) for n in raw.columns])
     if rename:
         df = df.withColumnsRenamed(dict(rename))
     return df
@@ -43,19 +72,17 @@ def read_tsv(spark: SparkSession, path, schema: StructType | None = None, **kw)
 
 
 def read_tree(spark: SparkSession, root: str, glob: str = "*.csv", schema: StructType | None = None,
-              sep: str = ",", origin_col: str | None = "source_file") -> DataFrame:
-    """All matching files below ``root`` (recursive), with the file each row came from."""
-    r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep)
-         .option("recursiveFileLookup", True).option("pathGlobFilter", glob))
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.csv(root)
+              sep: str = ",", origin_col: str | None = "source_file", na_value: str = "NA",
+              multi_line: bool = False) -> DataFrame:
+    """All matching files below ``root`` (recursive), with the file each row came from; read as ``read_delimited`` does."""
+    reader = _reader(spark, sep, na_value, multi_line).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    df = _read(reader, root, schema)
     return df.withColumn(origin_col, F.col("_metadata.file_path")) if origin_col else df
 
 
-def read_like(spark: SparkSession, path, other: DataFrame, sep: str = ",") -> DataFrame:
+def read_like(spark: SparkSession, path, other: DataFrame, sep: str = ",", **kw) -> DataFrame:
     """Read with the column types of another frame (``col_types = sapply(df, class)``)."""
-    return read_delimited(spark, path, other.schema, sep=sep)
+    return read_delimited(spark, path, other.schema, sep=sep, **kw)
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:

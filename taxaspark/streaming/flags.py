@@ -4,9 +4,9 @@ The reference works on whole files only. The per-record parts of the
 pipeline (flags, quality gate, exclusion of known bad records, membership
 in a static species table) are projections, filters and stream-static
 joins, so they run on a streaming DataFrame without state. The centroid
-test, an existence subquery in batch, becomes a stream-static left semi /
-left anti join pair here. Grouped steps (first-wins dedup, counts,
-intervals) need the whole table and stay batch jobs.
+test is the batch form, a stream-static left join: every micro-batch is read
+once. Grouped steps (first-wins dedup, counts, intervals) need the whole
+table and stay batch jobs.
 """
 
 from __future__ import annotations
@@ -14,31 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.geo import (flag_equal, flag_uncertainty, flag_zero, has_coordinates, haversine_m, own_cell,
-                             point_cells, quality_gate)
+from ..operators.geo import flag_equal, flag_near_points, flag_uncertainty, flag_zero, has_coordinates, quality_gate
 from ..operators.joins import semi_join
 from pyspark.sql import functions as F
 
 
-def near_points_stream(records: DataFrame, lat: str, lon: str, points: DataFrame, radius_m: float = 1000.0,
-                       out: str = "clean_tests", points_lat: str = "lat", points_lon: str = "lon",
-                       cell_deg: float = 1.0) -> DataFrame:
-    """The centroid test for a stream: stream-static left semi / left anti joins against the
-    (static, broadcast) cell table, bound together -- one row per record, no state."""
-    cells = F.broadcast(point_cells(points, points_lat, points_lon, radius_m, cell_deg))
-    clat, clon = own_cell(lat, lon, cell_deg)
-    recs = (records.withColumn("__rlat__", clat).withColumn("__rlon__", clon)
-            .withColumn("__olat__", F.col(lat)).withColumn("__olon__", F.col(lon)))
-    cond = ((F.col("__rlat__") == F.col("__clat__")) & (F.col("__rlon__") == F.col("__clon__"))
-            & (haversine_m(F.col("__olat__"), F.col("__olon__"), F.col("__plat__"), F.col("__plon__")) <= F.lit(radius_m)))
-    geo = recs.filter(has_coordinates(lat, lon))
-    near = geo.join(cells, cond, "left_semi").withColumn(out, F.lit(False))
-    far = geo.join(cells, cond, "left_anti").withColumn(out, F.lit(True))
-    none = recs.filter(~has_coordinates(lat, lon)).withColumn(out, F.lit(None).cast("boolean"))
-    both = near.unionByName(far).unionByName(none)
-    return both.drop("__rlat__", "__rlon__", "__olat__", "__olon__")
-
-
 def flag_stream(records: DataFrame, lat: str = "decimalLatitude", lon: str = "decimalLongitude",
                 unc: str = "coordinateUncertaintyInMeters", species: DataFrame | None = None,
                 species_col: str = "acceptedNameAuthor", gate: bool = True, points: DataFrame | None = None,
@@ -52,7 +32,7 @@ def flag_stream(records: DataFrame, lat: str = "decimalLatitude", lon: str = "de
     out = flag_zero(out, lat, lon)
     out = flag_equal(out, lat, lon)
     if points is not None:
-        out = near_points_stream(out, lat, lon, points, radius_m)
+        out = flag_near_points(out, lat, lon, points, radius_m)
     else:
         out = out.withColumn("clean_tests", F.when(F.col("georeferenced"), F.lit(True)))
     out = flag_uncertainty(out, unc, lat=lat, lon=lon)

@@ -88,8 +88,8 @@ def test_exclusions(spark):
     bad = spark.createDataFrame([(2,), (None,)], "id long")
     out = J.exclude_keys(df, "id", bad)
     assert rows(out) == [(1,), (3758416,)]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
 
 
 def test_full_join_and_map_columns(spark):
@@ -103,7 +103,18 @@ def test_full_join_and_map_columns(spark):
     assert up.collect()[0] == (1.5, 2, "S") and up.schema == df.schema
 
 
-def test_exclude_keys_without_broadcast(spark):
+def test_exclude_keys(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "id long")
     bad = spark.createDataFrame([(2,)], "id long")
-    assert rows(J.exclude_keys(df, "id", bad, broadcast_max_rows=0)) == [(None,), (1,)]
+    assert rows(J.exclude_keys(df, "id", bad)) == [(None,), (1,)]
+
+
+def test_rounding_keeps_types_and_large_values(spark):
+    from pyspark.sql.types import DecimalType
+    df = spark.createDataFrame([(1e26, 0.0005), (float("inf"), -0.0005), (-1e300, 1.2345), (None, float("nan"))], "a double, b double")
+    got = FR.round_numeric(df, 3).collect()
+    assert [r.a for r in got] == [1e26, float("inf"), -1e300, None]
+    assert [r.b for r in got][:3] == [0.001, -0.001, 1.235] and got[3].b != got[3].b
+    typed = df.select(F.lit(1.23456).cast("float").alias("f"), F.lit("2.34567").cast(DecimalType(10, 5)).alias("d"), F.lit(7).alias("i"))
+    assert FR.round_numeric(typed, 3).dtypes == typed.dtypes
+    assert float(FR.round_numeric(typed, 3).first()["d"]) == 2.346

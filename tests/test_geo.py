@@ -49,13 +49,23 @@ def test_near_points_cells_equal_brute_force(spark):
         want[i] = None if la is None else not any(_haversine(la, lo, a, b) <= radius for a, b in cents)
     pdf = spark.createDataFrame(pts, "id int, lat double, lon double")
     cdf = spark.createDataFrame(cents, "lat double, lon double")
-    for kw in ({}, {"broadcast_max_rows": 0, "salt_buckets": 4}):
-        got = dict(G.flag_near_points(pdf, "lat", "lon", cdf, radius_m=radius, cell_deg=0.5, **kw)
+    for kw in ({}, {"cell_deg": 0.5}, {"cell_deg": 7.0}):
+        got = dict(G.flag_near_points(pdf, "lat", "lon", cdf, radius_m=radius, **kw)
                    .select("id", "clean_tests").collect())
         assert got == want
     assert sum(1 for v in want.values() if v is False) > 100
 
 
+def test_crowded_cell_and_records_without_coordinates(spark):
+    """100,000 reference points in one cell; half of the records lack coordinates."""
+    points = spark.range(100_000).selectExpr("10 + (id % 317) / 1000000 AS lat", "20 + (id % 331) / 1000000 AS lon")
+    recs = spark.range(4000).selectExpr(
+        "id", "CASE WHEN id % 2 = 0 THEN 10 + (id % 100) / 1000 END AS lat", "CASE WHEN id % 2 = 0 THEN 20D END AS lon")
+    got = G.flag_near_points(recs, "lat", "lon", points, radius_m=1000.0).groupBy("clean_tests").count().collect()
+    near = sum(1 for i in range(0, 4000, 2) if (i % 100) / 1000 * 111.2 <= 1.0 + 0.035)
+    assert {r["clean_tests"]: r["count"] for r in got} == {None: 2000, False: near, True: 2000 - near}
+
+
 def test_flag_all_no_split(spark):
     df = spark.createDataFrame([(1, 0.0, 1.0, 5.0), (2, None, None, 5.0)], "id int, lat double, lon double, unc double")
     out = G.flag_all(df, "lat", "lon", "unc")

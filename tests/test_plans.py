@@ -3,21 +3,23 @@
 import pytest
 
 from __spark_entry__ import queries
+from taxaspark.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-MODEL = {"fit_logit", "posterior_draws", "draws_summary", "screen_species", "plot_table"}
+MODEL = {"fit_logit", "posterior_draws", "screen_species", "plot_table", "summary_lines"}
 # cross joins with a bounded broadcast side: the draws table, a one-row threshold or total
-CROSS_OK = {"posterior_expected", "median_interval", "classify", "fnr_curve", "threshold_for_fnr", "confident_list"}
+CROSS_OK = {"posterior_interval", "fnr_curve", "threshold_for_fnr", "threshold_edge_groups", "confident_list"}
 # single-partition exchanges only for one-row totals and the per-bucket / per-range offsets
 # (one row per bucket or range partition: bounded by a parameter, not by the data)
-SINGLE_OK = {"flag_summary", "fnr_curve", "threshold_for_fnr", "confident_list", "row_index"}
+SINGLE_OK = {"flag_summary", "fnr_curve", "threshold_for_fnr", "threshold_edge_groups", "confident_list", "row_index",
+             "posterior_interval", "newton_sums"}
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - MODEL))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - MODEL))
 def test_plan_shape(spark, name):
     p = _plan(queries()[name](spark, SF))
     assert "CartesianProduct" not in p

@@ -42,7 +42,7 @@ def test_threshold_equals_quadratic_definition(spark, seed):
     df = spark.createDataFrame(data, "y int, s double")
     obs, pred = zip(*data)
     for fnr in (0.0, 0.05, 0.2):
-        got = S.threshold_for_fnr(df, "y", "s", fnr, buckets=5).collect()[0][0]
+        got = S.threshold_for_fnr(df, "y", "s", fnr, partitions=5).collect()[0][0]
         assert got == _brute_threshold(obs, pred, fnr)
 
 
@@ -69,7 +69,7 @@ def test_posterior_interval_equals_long_form(spark):
     draws = spark.createDataFrame([(i, rnd.gauss(0, 1), rnd.gauss(1, 0.5), rnd.gauss(-1, 0.3)) for i in range(37)],
                                   "draw_id int, b_intercept double, b_x double, b_z double")
     terms = {"b_x": F.col("x"), "b_z": F.col("z")}
-    a = {r.id: r for r in S.posterior_interval(rows_df, draws, terms, n_draws=37).collect()}
+    a = {r.id: r for r in S.posterior_interval(rows_df, draws, terms).collect()}
     long = S.median_interval(S.posterior_expected(rows_df, draws, terms, n_draws=37), ["id"], "epred")
     for r in long.collect():
         assert a[r.id].epred == pytest.approx(r.epred, abs=1e-12)
@@ -179,15 +179,40 @@ def test_fit_logit_separable_data_stays_finite(spark):
     assert weak.converged and np.all(np.isfinite(weak.cov)) and weak.mode[1] > 0
 
 
-def test_posterior_interval_large_draws_fallback(spark, monkeypatch):
-    rnd = random.Random(6)
-    rows_df = spark.createDataFrame([(i, rnd.uniform(-1, 1)) for i in range(20)], "id int, x double")
-    draws = spark.createDataFrame([(i, rnd.gauss(0, 1), rnd.gauss(1, 0.5)) for i in range(30)],
-                                  "draw_id int, b_intercept double, b_x double")
-    terms = {"b_x": F.col("x")}
-    want = {r.id: r for r in S.posterior_interval(rows_df, draws, terms, n_draws=30).collect()}
-    monkeypatch.setattr(S, "MAX_BROADCAST_DRAWS", 10)       # force the long (rows x draws) form
-    got = {r.id: r for r in S.posterior_interval(rows_df, draws, terms, n_draws=30).collect()}
-    for k, r in want.items():
-        assert got[k].epred == pytest.approx(r.epred, abs=1e-12)
-        assert got[k].lower == pytest.approx(r.lower, abs=1e-12) and got[k].upper == pytest.approx(r.upper, abs=1e-12)
+def test_posterior_expected_in_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(S, "DRAWS_IN_CHUNK", 7)
+    rows_df = spark.createDataFrame([(i, i / 10) for i in range(20)], "id int, x double")
+    draws = spark.createDataFrame([(i, i / 30, 1 - i / 20) for i in range(30)], "draw_id int, b_intercept double, b_x double")
+    got = {(r.id, r.draw_id): r.epred for r in S.posterior_expected(rows_df, draws, {"b_x": F.col("x")}).collect()}
+    assert len(got) == 600
+    for (i, k), p in got.items():
+        assert p == pytest.approx(1 / (1 + np.exp(-(k / 30 + (1 - k / 20) * (i / 10)))), abs=1e-12)
+
+
+def test_threshold_without_rows_scores_or_with_one_partition(spark):
+    schema = "y int, s double"
+    for data in ([], [(1, None), (0, None)], [(0, 0.5)]):
+        assert S.threshold_for_fnr(spark.createDataFrame(data, schema), "y", "s").collect()[0][0] is None
+    one = spark.createDataFrame([(1, 0.5), (1, 0.7)], schema)
+    assert S.threshold_for_fnr(one, "y", "s", partitions=1).collect()[0][0] == 0.5
+
+
+def test_draws_after_a_singular_fit(spark):
+    df = spark.createDataFrame([(i % 2, float(i), 3.0) for i in range(40)], "y int, x double, constant double")
+    fit = M.fit_logit(df, "y", ["x", "constant"])
+    draws = M.posterior_draws(spark, fit, 50)
+    assert draws.count() == 50
+    assert all(np.isfinite(v) for r in draws.collect() for v in r)
+    drawn, ess = M.importance_resample(spark, df, "y", ["x", "constant"], fit, n=50)
+    assert drawn.count() == 50 and np.isfinite(ess)
+    assert M.draws_summary(drawn, method=M.RESAMPLED).first()["method"] == M.RESAMPLED
+
+
+def test_truncation_is_a_parameter(spark):
+    df = _logit_data(spark, 400)
+    x = M.design_matrix(df, "a", "b", ["c"], keep=["y"])
+    feats = ["a", "b", "a_x_b", "c"]
+    fit = M.fit_logit(x, "y", feats)
+    _, plain = M.importance_resample(spark, x, "y", feats, fit, n=300)
+    _, cut = M.importance_resample(spark, x, "y", feats, fit, n=300, truncate_at=1.0)
+    assert cut >= plain

@@ -17,7 +17,7 @@ def _write(path, text):
 def test_read_delimited_quotes_newlines_na(spark):
     d = tempfile.mkdtemp(prefix="taxaspark-io-")
     _write(f"{d}/a.csv", 'Species\n"Tinyus, minor"\n"Say ""hi"""\n"two\nlines"\nNA\n\n')
-    df = IO.read_delimited(spark, f"{d}/a.csv", SC.MICROFUNGI)
+    df = IO.read_delimited(spark, f"{d}/a.csv", SC.MICROFUNGI, multi_line=True)
     assert sorted(r[0] for r in df.collect() if r[0] is not None) == ["Say \"hi\"", "Tinyus, minor", "two\nlines"]
     assert df.filter(F.col("Species").isNull()).count() == 1
 
@@ -50,3 +50,24 @@ def test_stage_and_list_writers(spark):
     IO.write_list(df, f"{d}/list")
     assert rows(IO.read_delimited(spark, f"{d}/list", "k string, v int")) == [("a", 1), ("b", 2)]
     assert IO.snake("Subphylum name") == "Subphylum_name" and IO.snake("NAME.OF.FUNGUS") == "NAME_OF_FUNGUS"
+
+
+def test_base_flavour_keeps_blanks_and_reads_na_as_missing(spark):
+    d = tempfile.mkdtemp(prefix="taxaspark-io-")
+    _write(f"{d}/c.csv", 'k,name,n\n1,NA,5\n2,,NA\n3,x,\n4,"",7\n')
+    got = IO.read_delimited(spark, f"{d}/c.csv", "k int, name string, n int", blank_as_null=False)
+    assert rows(got) == [(1, None, 5), (2, "", None), (3, "x", None), (4, "", 7)]
+    assert rows(IO.read_tree(spark, d, "*.csv", schema="k int, name string, n int", origin_col=None), "k", "name")[0] == (1, None)
+
+
+def test_one_tsv_file_is_read_by_several_tasks(spark):
+    d = tempfile.mkdtemp(prefix="taxaspark-io-")
+    _write(f"{d}/big.tsv", "id\ttext\n" + "".join(f"{i}\trow {i} {'x' * 80}\n" for i in range(30_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        t = IO.read_tsv(spark, f"{d}/big.tsv", "id long, text string")
+        assert t.rdd.getNumPartitions() > 4
+        assert t.count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
