@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,9 +34,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The folder named by ``spark.checkpoint.dir`` (or already set on the
     context) is used as is. Only in local mode with neither set, as in
-    tests, a fresh folder under the system temp dir is created; on a
+    tests, a fresh folder under the system temp dir is created and removed at exit; on a
     cluster a machine-local folder would not survive lost executors, so the
-    setting is required there.
+    setting is required there. What is written to a configured folder stays until its owner clears it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared storage")
         configured = tempfile.mkdtemp(prefix="taxaspark-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -56,16 +59,18 @@ def default_parallelism(spark: SparkSession) -> int:
         return os.cpu_count() or 8
 
 
-def scale_conf(input_bytes: float, total_cores: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: float, total_cores: int, target_partition_bytes: int = 512 << 20,
+               max_partitions: int = 200_000) -> dict[str, str]:
     """Settings for a large cluster, sized from the input volume and the core count.
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of
     input (at least two waves of tasks) and AQE coalesces the small ones
     after partial aggregation; scans split at the same size; skewed
-    partitions are split by AQE. ``spark.checkpoint.dir`` is not set here:
+    partitions are split by AQE. ``max_partitions`` bounds what one driver has to
+    track (partitions then grow). ``spark.checkpoint.dir`` is not set here:
     it must name the cluster's shared storage.
     """
-    parts = int(min(200_000, max(2 * total_cores, input_bytes // target_partition_bytes)))
+    parts = int(min(max_partitions, max(2 * total_cores, input_bytes // target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
