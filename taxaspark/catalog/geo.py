@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import dedup as D
 from ..operators import geo as G
+from ..operators.ranking import row_index
 from ..plans.locality import fill_by_locality
 from ..session import ensure_checkpoint_dir
+from ..sources.io import write_stage
 from ..streaming.flags import flag_stream, start_to_parquet
 from .registry import register
 from .standins import (CENTROID_RADIUS_M, CENTROIDS_SQL, FLAGGED_OCCS_SQL, POINTS_SQL, c, centroids, flags_sql,
@@ -96,7 +100,7 @@ def grid_dedup(spark, d):
     return out.select("event_id", "user_id", "value", "round_value", F.col("round_user"))
 
 
-@register("locality_fill", f"""WITH {FLAGGED_OCCS_SQL},
+LOCALITY_FILL_SQL = f"""WITH {FLAGGED_OCCS_SQL},
 ref AS (
   SELECT countryCode, stateProvince, county, locality, decimalLatitude AS lat_y, decimalLongitude AS lon_y FROM (
     SELECT *, row_number() OVER (PARTITION BY countryCode, stateProvince, county, locality ORDER BY uid) AS rn
@@ -124,7 +128,10 @@ SELECT uid, acceptedNameAuthor, year, locality, countryCode, stateProvince, coun
        coordinateUncertaintyInMeters, georeferenced, cc_zero, cc_equ, clean_tests, cc_err, false AS coordsAdded
 FROM untouched
 UNION ALL
-SELECT * FROM m""")
+SELECT * FROM m"""
+
+
+@register("locality_fill", LOCALITY_FILL_SQL)
 def locality_fill(spark, d):
     """Records without latitude take the coordinates of the first georeferenced record of the same place."""
     occ = G.flag_all(occurrences(spark, d), "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",
@@ -132,6 +139,19 @@ def locality_fill(spark, d):
     return fill_by_locality(occ, ["uid"], record_id="uid")
 
 
+@register("locality_fill_ordered", f"""SELECT uid, decimalLatitude, decimalLongitude, coordsAdded,
+       row_number() OVER (ORDER BY uid) AS position FROM ({LOCALITY_FILL_SQL}) filled""")
+def locality_fill_ordered(spark, d):
+    """The same put back into input order, with each record's position. The flagged records are written once and
+    read in narrow columns by each branch."""
+    occ = G.flag_all(occurrences(spark, d), "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",
+                     centroids(spark, d), radius_m=CENTROID_RADIUS_M)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flagged-{uuid.uuid4().hex}"
+    write_stage(occ, path)
+    filled = fill_by_locality(spark.read.schema(occ.schema).parquet(path), ["uid"], record_id="uid", sort_output=True)
+    return row_index(filled, ["uid"], "position").select("uid", "decimalLatitude", "decimalLongitude", "coordsAdded", "position")
+
+
 @register("stream_quality_gate", f"""{FLAGGED_POINTS_SQL}
 SELECT event_id, user_id FROM fp
 WHERE georeferenced = false OR ((cc_equ AND cc_zero AND clean_tests AND cc_err) OR cc_err IS NULL)""")
@@ -139,7 +159,6 @@ def stream_quality_gate(spark, d):
     """The quality gate run as a stream: events read by the file source, flags (the centroid test as
     stream-static semi/anti joins), gate, exactly-once Parquet sink under the shared checkpoint folder;
     the same rows as the batch ``quality_gate``."""
-    import uuid
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     flagged = flag_stream(points_from(stream), lat="lat", lon="lon", unc="unc", points=centroids(spark, d),

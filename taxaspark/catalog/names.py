@@ -83,6 +83,16 @@ def expand_synonyms(spark, d):
     return join_on(synonyms(spark, d), keys, "acceptedKey", "left_semi", null_safe=False)
 
 
+@register("find_synonyms", f"""WITH {USAGE_SQL},
+{SYNONYMS_SQL}
+SELECT acceptedKey, scientificName, species, accepted FROM (
+  SELECT s.*, count(*) OVER (PARTITION BY s.scientificName) AS n FROM syn s
+  WHERE s.acceptedKey IN (SELECT acceptedKey FROM usage WHERE acceptedKey IS NOT NULL)) x WHERE n = 1""")
+def find_synonyms(spark, d):
+    """Synonyms of the distinct accepted keys, names listed under several keys dropped."""
+    return N.find_synonyms(usage(spark, d), synonyms(spark, d))
+
+
 def _accepted_split(spark, d):
     acc = N._accepted_fallback(N.resolve_accepted(search_names(spark, d), candidates(spark, d), usage(spark, d)))
     size = table(spark, d, "part").select(c("p_partkey").cast("string").alias("searchName"), "p_size")
