@@ -7,7 +7,8 @@ candidate if it holds one of them. Items are partitioned by size: an item with
 q shingles gives floor(q * (100 - percent) / 100) + 1 minima, one more than
 a document may lack, so a document that contains ``percent`` % of an item holds
 at least one of its minima: nothing is lost. Of the documents' shingles only
-those below the largest minimum of the size classes are looked up.
+those below the largest minimum of the size classes are looked up, and a
+document too small to hold ``percent`` % of an item is no candidate for it.
 Candidates are verified by the exact containment of the item's whole set.
 """
 
@@ -70,8 +71,10 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, percent: int
     minima = written(sets.select("item_id", "q", "k", F.explode(F.expr("slice(set, 1, k)")).alias("h")), "item-minima")
     fp = text_print(F.col("text")).alias("fp")
     probes = hashed(docs, n, F.col("doc_id"), fp).select(
-        "doc_id", "fp", F.explode(F.filter("shingles", lambda h: ~F.col("long") | (h <= ceiling))).alias("h"))
-    candidates = probes.join(minima, "h").select("doc_id", "fp", "item_id").distinct()
+        "doc_id", "fp", F.size("shingles").alias("n"),
+        F.explode(F.filter("shingles", lambda h: ~F.col("long") | (h <= ceiling))).alias("h"))
+    candidates = probes.join(minima, "h").where(F.col("n") * 100 >= F.col("q") * percent) \
+        .select("doc_id", "fp", "item_id").distinct()
     listed = candidates.withColumnRenamed("item_id", "_item").join(sets, F.col("_item").eqNullSafe(F.col("item_id")))
     by_doc = listed.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(
         F.collect_list(F.struct("item_id", "n_same", "set")).alias("_items"))

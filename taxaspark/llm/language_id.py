@@ -24,7 +24,7 @@ from .words import U, lists, mix, randoms, text_chunks
 BITS = 15
 BUCKETS = 1 << BITS
 ORDERS = (1, 2, 3)
-LETTER = re.compile(r"[^\W\d_]")
+ASCII_LETTER = re.compile(r"[A-Za-z]")
 UNKNOWN = "und"
 
 
@@ -38,6 +38,11 @@ class Model:
     temperature: float
 
 
+def has_letter(text: str | None) -> bool:
+    """A character of a Unicode letter category."""
+    return text is not None and (ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text)))
+
+
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The code points of a chunk's texts and the first of each text, from UTF-8."""
     text = data.tobytes().decode("utf-8")
@@ -205,7 +210,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            letters = np.array([bool(t is not None and LETTER.search(t)) for t in texts.to_pylist()], dtype=bool)
+            letters = np.array([has_letter(t) for t in texts.to_pylist()], dtype=bool)
             for a, b, data, offsets in text_chunks(texts, 1 << 19):
                 points, first = code_points(data, offsets)
                 buckets, doc = grams(points, first)
