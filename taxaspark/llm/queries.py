@@ -155,7 +155,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's category probabilities and decisions, by a chain fitted on the labelled documents."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.train(docs, toxicity.label_categories(read(spark, sf_dir, "labels")), toxicity.CATEGORIES)
-    return toxicity.score(docs, chain)
+    found = toxicity.score(docs, chain)
+    first = [F.col("is_toxic").alias("toxic"), "p_toxic"]
+    return found.select("doc_id", *first, *[c for c in found.columns if c not in ("doc_id", "is_toxic", "p_toxic")])
 
 
 @query("op6_substring_dedup", sql=r"""

@@ -187,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], fit_rows: i
         *[F.max((F.col(c) > 0).cast("double")).alias(c) for c in categories]) \
         .where(F.coalesce(*[F.col(c) for c in categories]).isNotNull())
     sample = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)  # bounded: may be broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     schema = "doc_id bigint, " + ", ".join(f"y{i} double" for i in range(len(categories))) + ", words bigint, cols array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
