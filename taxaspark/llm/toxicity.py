@@ -24,6 +24,7 @@ from .words import IS_MARK, U, Hasher, lists, text_chunks
 
 BUCKETS = 1 << 20
 BEGINNINGS = (5, 7, 9)  # bytes
+LEAST_ROWS = 5  # rows of the sample that must hold a feature
 
 
 @dataclass
@@ -76,54 +77,55 @@ def logit(p: np.ndarray) -> np.ndarray:
 
 
 class Sparse:
-    """Binary features of documents, each document's scaled by one value."""
+    """Binary features of documents (columns below ``n``), each document's scaled by one value."""
 
-    def __init__(self, cols: np.ndarray, ptr: np.ndarray, value: np.ndarray) -> None:
-        self.cols, self.ptr, self.value = cols, ptr, value
+    def __init__(self, cols: np.ndarray, ptr: np.ndarray, value: np.ndarray, n: int) -> None:
+        self.cols, self.ptr, self.value, self.n = cols, ptr, value, n
 
     def rows(self, some: np.ndarray) -> Sparse:
         n = np.diff(self.ptr)[some]
-        at = np.repeat(self.ptr[:-1][some] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return Sparse(self.cols[at], np.concatenate([[0], np.cumsum(n)]), self.value[some])
+        inside = np.zeros(len(self.ptr) - 1, dtype=bool)
+        inside[some] = True  # ``some`` is in order
+        return Sparse(self.cols[np.repeat(inside, np.diff(self.ptr))], np.concatenate([[0], np.cumsum(n)]), self.value[some], self.n)
 
     def columns(self, chosen: np.ndarray) -> Sparse:
-        place = np.full(BUCKETS, -1)
-        place[chosen] = np.arange(len(chosen))
+        place = np.full(self.n, -1, dtype=np.int32)
+        place[chosen] = np.arange(len(chosen), dtype=np.int32)
         cols = place[self.cols]
         inside = np.concatenate([[0], np.cumsum(cols >= 0)])
-        return Sparse(cols[cols >= 0], inside[self.ptr], self.value)
+        return Sparse(cols[cols >= 0], inside[self.ptr], self.value, len(chosen))
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0.0], np.cumsum(w[self.cols])])
         return (total[self.ptr[1:]] - total[self.ptr[:-1]]) * self.value
 
-    def back(self, g: np.ndarray, n: int) -> np.ndarray:
-        return np.bincount(self.cols, weights=np.repeat(g * self.value, np.diff(self.ptr)), minlength=n)
+    def back(self, g: np.ndarray) -> np.ndarray:
+        return np.bincount(self.cols, weights=np.repeat(g * self.value, np.diff(self.ptr)), minlength=self.n)
 
 
 def fit_linear(x: Sparse, dense: np.ndarray, y: np.ndarray, l1: float = 2e-4, l2: float = 2e-4, rounds: int = 120) -> Linear:
-    """Accelerated proximal gradient steps. Only features that five rows hold and that tell the classes apart take part."""
+    """Accelerated proximal gradient steps. Only features that LEAST_ROWS rows hold and that tell the classes apart take part."""
     if not len(y) or y.min() == y.max():  # one class, or no label at all: a constant
         rate = (y.sum() + 1) / (len(y) + 2) if len(y) else 1e-4
         return Linear(np.empty(0, int), np.empty(0), np.zeros(dense.shape[1]), float(logit(np.array(rate))))
-    n = np.bincount(x.cols, minlength=BUCKETS)
-    pos = x.back(y / x.value, BUCKETS)
+    n = np.bincount(x.cols, minlength=x.n)
+    pos = x.back(y / x.value)
     rate = y.mean()
     z = (pos - n * rate) / np.sqrt(np.maximum(n * rate * (1 - rate), 1e-9))
-    chosen = np.flatnonzero((n >= 5) & (np.abs(z) > 2))
+    chosen = np.flatnonzero((n >= LEAST_ROWS) & (np.abs(z) > 2))
     own = x.columns(chosen)
     center, spread = dense.mean(axis=0), dense.std(axis=0) + 1e-6
     d = (dense - center) / spread
     k = len(chosen)
     # a step length for each coordinate: column sums of |x| times row sums bound the curvature
     total = np.diff(own.ptr) * own.value + 1 + np.abs(d).sum(axis=1)
-    curve = own.back(total, k) / (4 * len(y)) + 1e-9
+    curve = own.back(total) / (4 * len(y)) + 1e-9
     flat, wide = total.mean() / 4, (np.abs(d).T @ total) / (4 * len(y)) + 1e-9
     w, b, c = np.zeros(k), float(logit(np.array(rate))), np.zeros(d.shape[1])
     vw, vb, vc, t = w.copy(), b, c.copy(), 1.0
     for _ in range(rounds):
         g = (sigmoid(own.dot(vw) + d @ vc + vb) - y) / len(y)
-        nw = vw - own.back(g, k) / curve
+        nw = vw - own.back(g) / curve
         nw = np.sign(nw) * np.maximum(np.abs(nw) - l1 / curve, 0) / (1 + l2 / curve)
         nb, nc = vb - g.sum() / flat, vc - (d.T @ g) / wide
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -137,7 +139,7 @@ def fit_linear(x: Sparse, dense: np.ndarray, y: np.ndarray, l1: float = 2e-4, l2
 
 
 def apply_linear(m: Linear, x: Sparse, dense: np.ndarray) -> np.ndarray:
-    w = np.zeros(BUCKETS)
+    w = np.zeros(x.n)
     w[m.buckets] = m.weights
     return sigmoid(x.dot(w) + dense @ m.chained + m.bias)
 
@@ -156,7 +158,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit_chain(x: Sparse, labels: dict[str, np.ndarray], folds: int = 5) -> Chain:
-    """labels: by category 0, 1 or nan (unknown). Rows are dealt to folds in turn."""
+    """labels: by category 0, 1 or nan (unknown). Rows are dealt to folds in turn. The models' buckets are columns of x."""
     n = len(x.value)
     fold = np.arange(n) % folds
     dense = np.zeros((n, 0))
@@ -206,23 +208,31 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], fit_rows: i
     order = np.lexsort([got.column("words").to_numpy(), got.column("doc_id").to_numpy()])
     got = got.take(pa.array(order)).combine_chunks()
     cols = got.column("cols").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
-    flat, ptr = cols.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(cols.value_lengths().to_numpy())])
-    x = Sparse(flat, ptr.astype(np.int64), scale(got.column("words").to_numpy()))
+    ptr = np.concatenate([[0], np.cumsum(cols.value_lengths().to_numpy())]).astype(np.int64)
+    every = Sparse(cols.flatten().to_numpy(), ptr, scale(got.column("words").to_numpy()), BUCKETS)
+    held = np.flatnonzero(np.bincount(every.cols, minlength=BUCKETS) >= LEAST_ROWS)  # no fit uses others
     values = {c: got.column(f"y{i}").to_numpy(zero_copy_only=False).astype(float) for i, c in enumerate(categories)}
-    return fit_chain(x, values, folds)
+    x = every.columns(held)
+    del every, cols, got
+    chain = fit_chain(x, values, folds)
+    for m in chain.models:
+        m.buckets = held[m.buckets]
+    return chain
 
 
 def probabilities(chain: Chain) -> object:
     """A function (hasher, data, offsets) -> one line per category of probabilities; made once in a task."""
-    table = np.zeros((len(chain.models), BUCKETS), dtype=np.float32)
+    held = np.unique(np.concatenate([m.buckets for m in chain.models]))
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[held] = np.arange(len(held), dtype=np.int32)
+    table = np.zeros((len(chain.models), len(held)))
     for i, m in enumerate(chain.models):
-        table[i, m.buckets] = m.weights
-    used = (table != 0).any(axis=0)
+        table[i, place[m.buckets]] = m.weights
 
     def of(hasher: Hasher, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         buckets, doc, counts = features(hasher, data, offsets)
-        some = used[buckets]
-        cols, at = distinct(buckets[some], doc[some])
+        own = place[buckets]
+        cols, at = distinct(own[own >= 0].astype(np.int64), doc[own >= 0])
         value, n = scale(counts), len(counts)
         p = np.zeros((len(chain.models), n))
         for i, m in enumerate(chain.models):

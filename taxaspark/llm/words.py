@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SEGMENT = 1 << 20  # bytes hashed at once
-CHUNK = 1 << 21  # bytes of text that the callers take at once (a longer document is taken alone)
+SEGMENT = 1 << 18  # bytes hashed at once
+CHUNK = 1 << 19  # bytes of text that the callers take at once (a longer document is taken alone)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -108,11 +108,12 @@ def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int
     """(first row, row after the last, UTF-8 bytes, offsets) of runs of rows with at most ``limit`` bytes (one row at least). Null: empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.fill_null("") if column.null_count else column
     if not len(column):
         return
     _, offsets, data = column.buffers()
-    off = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    off = np.frombuffer(offsets, dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
     a = 0
     while a < len(column):
