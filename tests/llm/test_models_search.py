@@ -129,6 +129,19 @@ def test_packing_against_the_tokenizer(spark):
     assert empty.collect() == []
 
 
+def test_encoder_gives_the_ids_of_the_tokenizer_for_every_code_point():
+    from tokenizers import Tokenizer
+
+    t, encoder = Tokenizer.from_file(tokenizer_path()), packing.Encoder(tokenizer_path())
+    assert encoder.fast
+    points = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 64):
+        text = "".join(f"a{c}b {c}1 {c}{c}\n{c}'s" for c in points[i:i + 64])
+        assert encoder.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for text in ("<|endoftext|> x", "x" * 10000, " " * 10000, "\n" * 999 + "a", ""):
+        assert encoder.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def toxic_rows(n=400):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
