@@ -115,3 +115,26 @@ def test_unassessed_checklist_table(spark):
     assert out.columns == ["NameAuthor", "Source", "TaxonId", "acceptedName", "acceptedNameAuthor", "gbifAcceptedKey"]
     # s4 resolves (accepted falls back to its own name and key); s1 is ambiguous; s7 is not in the checklist
     assert rows(out) == [("s4", "Mycoportal", 44, "sp4", "k4", 4)]
+
+
+def test_standins_read_whole_tables_and_hit_every_case(spark):
+    """Name matching over the whole driver tables meets each of its cases."""
+
+    from taxaspark.catalog import standins as ST
+    d = "/root/testdata/sf0.001"
+    cand, names_ = ST.candidates(spark, d), ST.search_names(spark, d)
+    assert cand.count() == spark.read.parquet(f"{d}/lineitem.parquet").count()
+    assert names_.count() == spark.read.parquet(f"{d}/part.parquet").count()
+    types = cand.groupBy("searchName").agg(F.collect_set("matchType").alias("t"), F.count(F.lit(1)).alias("n"))
+    per = names_.join(types, names_["NameAuthor"] == types["searchName"], "left")
+    cases = per.agg(
+        F.count_if(F.col("n").isNull()).alias("no_candidate"), F.count_if(F.array_contains("t", "NONE")).alias("none"),
+        F.count_if(F.array_contains("t", "HIGHERRANK")).alias("higher"), F.count_if(F.size("t") == 0).alias("missing_type"),
+        F.count_if(F.array_contains("t", "EXACT")).alias("exact")).first().asDict()
+    assert all(v > 0 for v in cases.values()), cases
+    matched = N.match_names(names_, cand)
+    per_name = matched.groupBy("searchName").agg(F.count(F.lit(1)).alias("n"), F.max("confidence").alias("c"))
+    assert per_name.filter("n > 1").count() and per_name.filter("n = 1 AND c = 100").count() and per_name.filter("c IS NULL").count()
+    # a default row for each name without usable candidates, and only for those
+    unusable = cases["no_candidate"] + cases["none"] + cases["higher"]
+    assert matched.filter("usageKey IS NULL").count() == unusable

@@ -12,7 +12,7 @@ CROSS_OK = {"posterior_interval", "fnr_curve", "threshold_for_fnr", "threshold_e
 # single-partition exchanges only for one-row totals and the per-bucket / per-range offsets
 # (one row per bucket or range partition: bounded by a parameter, not by the data)
 SINGLE_OK = {"flag_summary", "fnr_curve", "threshold_for_fnr", "threshold_edge_groups", "confident_list", "row_index",
-             "posterior_interval", "newton_sums"}
+             "locality_fill_ordered", "posterior_interval", "newton_sums"}
 
 
 def _plan(df):
