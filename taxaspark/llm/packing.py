@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -29,6 +30,9 @@ from .tables import shuffle_partitions, written
 # fixed values of the byte-level tokenizer format: how texts are cut into units, and which bytes stand for themselves
 UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: tiktoken keeps a place on a stack of 1,000,000 for each character of a whitespace run, and panics beyond; far below that
+SAFE_RUN = 100_000
+SPACES = re.compile(r"\s+")  # Unicode whitespace: all that tiktoken's has, and U+001C to U+001F
 
 
 def byte_ranks(path: str) -> dict[bytes, int] | None:
@@ -52,7 +56,8 @@ class Encoder:
     """Ids (little-endian unsigned 32-bit) of whole texts, as the tokenizers library gives them for the file at ``path``.
 
     For byte-level BPE files the same merges are applied by tiktoken, which takes a fifth of the time and gives the same ids
-    (``tests/llm`` compares every code point); other files, and texts that hold a special token, go to tokenizers itself.
+    (``tests/llm`` compares every code point); other files, and texts that hold a special token or a whitespace run of more
+    than ``SAFE_RUN`` characters, go to tokenizers itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,8 +72,14 @@ class Encoder:
 
             self.fast = tiktoken.Encoding("byte-level", pat_str=UNITS, mergeable_ranks=ranks, special_tokens={})
 
+    def is_plain(self, text: str) -> bool:
+        """Can tiktoken take it? The runs are looked at one by one (in linear time), and only in texts that may hold a long one."""
+        if any(s in text for s in self.special):
+            return False
+        return len(text) <= SAFE_RUN or all(m.end() - m.start() <= SAFE_RUN for m in SPACES.finditer(text))
+
     def encode(self, text: str) -> bytes:
-        if self.fast and not any(s in text for s in self.special):
+        if self.fast and self.is_plain(text):
             ids = self.fast.encode_ordinary(text)
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids

@@ -142,6 +142,24 @@ def test_encoder_gives_the_ids_of_the_tokenizer_for_every_code_point():
         assert encoder.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\t ", "\u00a0"])
+@pytest.mark.parametrize("n", [packing.SAFE_RUN, packing.SAFE_RUN + 1, 1_000_001, 3_000_000])
+def test_encoder_takes_whitespace_runs_of_any_length(space, n):
+    from tokenizers import Tokenizer
+
+    t, encoder = Tokenizer.from_file(tokenizer_path()), packing.Encoder(tokenizer_path())
+    run = (space * n)[:n]
+    assert encoder.is_plain("a b" * packing.SAFE_RUN) and encoder.is_plain(run) == (n <= packing.SAFE_RUN)
+    for text in (f"it {run}a's", run):
+        assert encoder.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_packing_of_a_document_with_a_long_whitespace_run(spark):
+    df = spark.createDataFrame([(1, "a" + " " * 1_000_001 + "b"), (2, "one two")], "doc_id bigint, text string")
+    got = packing.pack_documents(df, tokenizer_path()).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in got} == {1: 1_000_003, 2: 3}
+
+
 def toxic_rows(n=400):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
