@@ -8,7 +8,8 @@ The method adds spans of kind ``owned``: strings that look like a credential
 corpus shows to be someone's own. For that the hashes of all candidates are
 aggregated over the corpus: in how many distinct repositories and by how many
 distinct owners does each occur? A value that several owners have is a copied
-example (documentation, a test vector); one that one owner alone has looks live.
+example (documentation, a test vector), and so is one that a single owner has in
+many repositories; one that one owner alone has, in few of them, looks live.
 """
 
 from __future__ import annotations
@@ -89,12 +90,14 @@ def candidates(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
                                "spans array<struct<kind:string,start:bigint,end:bigint,print:binary>>")
 
 
-def scan(docs: DataFrame, repository: Column, owner: Column, max_owners: int = 1) -> DataFrame:
+def scan(docs: DataFrame, repository: Column, owner: Column, max_owners: int = 1, max_repositories: int = 3) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id, fp, base, spans, n_owned, n_copied``.
 
-    ``base`` and ``spans`` are arrays of (kind, start, end), in order of start and kind. A candidate is ``owned``
-    if at most ``max_owners`` distinct owners have its value; others are left out of ``spans``.
-    n_owned, n_copied: of all spans, base included, how many values are owner-specific or widely copied.
+    ``base`` is an array of (kind, start, end), in order of start and kind; ``spans`` too, with ``owners`` and
+    ``repositories``: how many distinct ones the corpus has of the span's value. A candidate is ``owned`` if at most
+    ``max_owners`` owners have its value, in at most ``max_repositories`` repositories (of all owners together); others are
+    left out of ``spans``.
+    n_owned, n_copied: of all spans, base included, how many have a value that is owner-specific (by both limits) or widely copied.
     Null or empty text: no spans. Null repository or owner: one unknown repository or owner.
     Repeated rows get equal results and count once. Null doc_id: an id like others.
     """
@@ -108,17 +111,20 @@ def scan(docs: DataFrame, repository: Column, owner: Column, max_owners: int = 1
     spread = written(owners.join(repositories, "print"), "secret-spread")
     judged = values.select("doc_id", "fp", "print").distinct().join(spread, "print")
     known = judged.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(
-        F.collect_set(F.when(F.col("owners") <= max_owners, F.col("print"))).alias("_own"))
+        F.map_from_entries(F.collect_list(F.struct("print", F.struct("owners", "repositories")))).alias("_spread"))
     joined = found.join(known, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left")
-    mine = lambda s: F.coalesce(F.array_contains("_own", s["print"]), F.lit(False))
+    count = lambda s, of: F.element_at("_spread", s["print"])[of]
+    mine = lambda s: F.coalesce((count(s, "owners") <= max_owners) & (count(s, "repositories") <= max_repositories), F.lit(False))
     order = {**{k: i for i, k in enumerate(KINDS)}, "owned": len(KINDS)}
     rank = lambda k: F.coalesce(*[F.when(k == name, i) for name, i in order.items()])
-    place = lambda s: F.struct(s["start"].alias("start"), rank(s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
-    plain = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+    place = lambda s: F.struct(s["start"].alias("start"), rank(s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
+                               count(s, "owners").alias("owners"), count(s, "repositories").alias("repositories"))
+    fields = lambda *names: lambda s: F.struct(*[s[x].alias(x) for x in names])
+    plain = ("kind", "start", "end")
     every = F.filter("spans", lambda s: (s["kind"] != "owned") | mine(s))
     base = F.filter("spans", lambda s: s["kind"] != "owned")
     return joined.select(
-        "doc_id", "fp", F.transform(base, plain).alias("base"),
-        F.transform(F.array_sort(F.transform(every, place)), plain).alias("spans"),
+        "doc_id", "fp", F.transform(base, fields(*plain)).alias("base"),
+        F.transform(F.array_sort(F.transform(every, place)), fields(*plain, "owners", "repositories")).alias("spans"),
         F.size(F.filter("spans", mine)).cast("long").alias("n_owned"),
         F.size(F.filter("spans", lambda s: ~mine(s))).cast("long").alias("n_copied"))

@@ -231,6 +231,22 @@ def test_secrets_base_spans_and_ownership(spark):
     assert secrets.scan(df.limit(0), F.col("doc_id"), F.col("source")).collect() == []
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_copied(spark):
+    own, hot, none, pair = (f"ghp_{x}1b2C3d4E5f6G7h8I9j0K1" for x in "ABCD")
+    rows = [(i, f"see {hot} x", "s1") for i in range(20)] + [(100 + i, f"see {none} x", None) for i in range(20)]
+    rows += [(200 + i, f"see {own} x token={own}", "s1") for i in range(3)] + [(200, f"see {own} x token={own}", "s1")]  # a repeated row
+    rows += [(300, f"see {pair}", "s1"), (301, f"see {pair}", "s2")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    by = {r["doc_id"]: r for r in secrets.scan(df, F.col("doc_id"), F.col("source")).collect()}
+    assert all(by[i]["spans"] == [] and (by[i]["n_owned"], by[i]["n_copied"]) == (0, 1) for i in [*range(20), *range(100, 120), 300, 301])
+    for i in (200, 201, 202):
+        assert [(s["kind"], s["owners"], s["repositories"]) for s in by[i]["spans"]] == [("owned", 1, 3), ("assign", 1, 3)]
+        assert (by[i]["n_owned"], by[i]["n_copied"]) == (2, 0)
+    wide = secrets.scan(df, F.col("doc_id"), F.col("source"), max_owners=2, max_repositories=20).collect()
+    found = {r["doc_id"]: [(s["kind"], s["owners"], s["repositories"]) for s in r["spans"]] for r in wide}
+    assert found[0] == [("owned", 1, 20)] == found[100] and found[300] == [("owned", 2, 2)]
+
+
 def test_language_id_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
