@@ -30,8 +30,11 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run is matched whole, so shorter ones can be left out at once
-ADDED = re.compile(r"(?<![A-Za-z0-9_+/=.-])(?:gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
-                   r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+|[A-Za-z0-9+/_-]{24,}={0,2})(?![A-Za-z0-9_+/=.-])")
+#: a known prefix tells where a credential begins, so '=', a path or a sentence may surround it
+PREFIXED = re.compile(r"(?<![A-Za-z0-9_-])(?:gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+                      r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
+#: without one, the whole run counts: no part of a path or of a dotted name, but a value after '=' or before a full stop
+LONG = re.compile(r"(?<![A-Za-z0-9_+/.-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9_+/=-]|\.[A-Za-z0-9_+/-])")
 #: no digit, no candidate: cheap to look for, and prose has few
 DIGIT = re.compile(r"[0-9]")
 
@@ -54,16 +57,21 @@ def entropy(value: str) -> float:
 
 
 def added_spans(text: str, base: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, value) of further candidates: none overlaps a base span."""
+    """(start, end, value) of further candidates, by start: none overlaps a base span or another."""
     if not DIGIT.search(text):
         return []
+    taken = bytearray(len(text))  # a mark for each code point, so that texts of many spans take linear time
+    for s, e, _, _ in base:
+        taken[s:e] = b"\1" * (e - s)
     out = []
-    for m in ADDED.finditer(text):
-        v = m[0]
-        mixed = any(c.isdigit() for c in v) and any(c.isalpha() for c in v)
-        if mixed and entropy(v) >= 3.5 and not any(s < m.end() and m.start() < e for s, e, _, _ in base):
-            out.append((m.start(), m.end(), v))
-    return out
+    for pattern in (PREFIXED, LONG):
+        for m in pattern.finditer(text):
+            (s, e), v = m.span(), m[0]
+            mixed = any(c.isdigit() for c in v) and any(c.isalpha() for c in v)
+            if mixed and entropy(v) >= 3.5 and not any(taken[s:e]):
+                taken[s:e] = b"\1" * (e - s)
+                out.append((s, e, v))
+    return sorted(out)
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("print", pa.binary())])

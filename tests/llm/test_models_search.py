@@ -247,6 +247,26 @@ def test_a_value_in_many_repositories_of_one_owner_is_copied(spark):
     assert found[0] == [("owned", 1, 20)] == found[100] and found[300] == [("owned", 2, 2)]
 
 
+def test_candidates_after_an_equals_sign_in_paths_and_before_full_stops(spark):
+    gh, sk, jwt = "ghp_A1b2C3d4E5f6G7h8I9j0K1", "sk-Z9y8X7w6V5u4T3s2R1q0P9", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.aB3-x_9Zq"
+    plain = "wJalrXUtnFEMI7K9MDENGbPxRfiCY"
+    frames = ["GITHUB_PAT={}", "export GH={}\n", "It was {}.", "It was {}. Then", "Was it {}...", "AWS_SECRET_ACCESS_KEY='{}'", "a == {};", "é see {} x"]
+    for value in (gh, sk, jwt, plain, plain + "=="):
+        for f in frames:
+            at = f.index("{}")
+            assert secrets.added_spans(f.format(value), []) == [(at, at + len(value), value)], f.format(value)
+    for value in (gh, sk, jwt):
+        for f in ("https://x.y/{}/z", "https://x.y/a?b=1&c={}&d", "path/{}", "one.{}", "{}/x", "a+{}=", "it was {}.Then"):
+            at = f.index("{}")
+            assert (at, at + len(value), value) in secrets.added_spans(f.format(value), []), f.format(value)
+    for text in (f"x{gh}", f"{gh}_", f"main.{plain}.js", f"{plain}.example.org", "SOME_LONG_VARIABLE_NAME_NO_1=x", f"token={gh}.", f"secret: {plain}."):
+        found = secrets.added_spans(text, secrets.base_spans(text))
+        assert not any(v in (gh, plain) for _, _, v in found), (text, found)
+    df = spark.createDataFrame([(1, f"GITHUB_PAT={gh}", "s1"), (2, f"It was {sk}.", "s2")], "doc_id bigint, text string, source string")
+    by = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan(df, F.col("doc_id"), F.col("source")).collect()}
+    assert by == {1: [("owned", 11, 11 + len(gh))], 2: [("owned", 7, 7 + len(sk))]}
+
+
 def test_language_id_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
