@@ -6,9 +6,10 @@ represented by the smallest of its shingle hashes, and a document is a
 candidate if it holds one of them. Items are partitioned by size: an item with
 q shingles gives floor(q * (100 - percent) / 100) + 1 minima, one more than
 a document may lack, so a document that contains ``percent`` % of an item holds
-at least one of its minima: nothing is lost. Of the documents' shingles only
-those below the largest minimum of the size classes are looked up, and a
-document too small to hold ``percent`` % of an item is no candidate for it.
+at least one of its minima: nothing is lost. A size class (powers of two) has its own
+ceiling, the largest minimum of its items, and its smallest size. Of a document's shingles those
+below the ceiling of some class that the document is large enough for are looked up,
+each once for all classes; a document too small to hold ``percent`` % of an item is no candidate for it.
 Candidates are verified by the exact containment of the item's whole set.
 """
 
@@ -53,6 +54,29 @@ def item_sets(items: DataFrame, n: int, percent: int) -> DataFrame:
                        (F.floor(q * (100 - percent) / 100) + 1).cast("int").alias("k"))
 
 
+def size_classes(sets: DataFrame) -> list[tuple[int, int]]:
+    """(smallest q, ceiling) of each class of items of n words at least, by size: powers of two, so a few dozen at most."""
+    found = sets.where("long").groupBy(F.floor(F.log2("q")).alias("class")).agg(
+        F.min("q").alias("least"), F.max(F.expr("element_at(set, k)")).alias("ceiling")).collect()
+    return sorted((r["least"], r["ceiling"]) for r in found)
+
+
+def probes(docs: DataFrame, classes: list[tuple[int, int]], n: int, percent: int) -> DataFrame:
+    """``doc_id, fp, n, h``: the shingles of each document to look up.
+
+    A document of ``n`` shingles is asked for the classes whose smallest items it can hold ``percent`` % of; an ``h`` is one
+    row for all of them, as a row for each class would be more rows and find the same items.
+    """
+    size = F.size("shingles")
+    ceiling, top = F.lit(None).cast("bigint"), None
+    for least, own in classes:  # by size, so the classes that fit are the first ones
+        if top is None or own > top:
+            ceiling, top = F.when(size * 100 >= least * percent, F.lit(own)).otherwise(ceiling), own
+    found = hashed(docs, n, F.col("doc_id"), text_print(F.col("text")).alias("fp")).withColumn("_ceiling", ceiling)
+    return found.select("doc_id", "fp", size.alias("n"), F.explode(F.filter(
+        "shingles", lambda h: ~F.col("long") | F.coalesce(h <= F.col("_ceiling"), F.lit(False)))).alias("h"))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row for each document and item set it holds: ``doc_id, fp, item_id, n_same, n_item, n_shared``.
 
@@ -64,16 +88,9 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, percent: int
     are ids like others. Repeated documents (equal doc_id and text) give one row.
     """
     sets = written(item_sets(items, n, percent), "item-sets")
-    # by size class (powers of two, so a few dozen at most): the largest minimum of its items
-    ceilings = sets.where("long").groupBy(F.floor(F.log2("q")).alias("class")).agg(
-        F.max(F.expr("element_at(set, k)")).alias("ceiling")).collect()
-    ceiling = max((r["ceiling"] for r in ceilings), default=-(2**63))
     minima = written(sets.select("item_id", "q", "k", F.explode(F.expr("slice(set, 1, k)")).alias("h")), "item-minima")
     fp = text_print(F.col("text")).alias("fp")
-    probes = hashed(docs, n, F.col("doc_id"), fp).select(
-        "doc_id", "fp", F.size("shingles").alias("n"),
-        F.explode(F.filter("shingles", lambda h: ~F.col("long") | (h <= ceiling))).alias("h"))
-    candidates = probes.join(minima, "h").where(F.col("n") * 100 >= F.col("q") * percent) \
+    candidates = probes(docs, size_classes(sets), n, percent).join(minima, "h").where(F.col("n") * 100 >= F.col("q") * percent) \
         .select("doc_id", "fp", "item_id").distinct()
     listed = candidates.withColumnRenamed("item_id", "_item").join(sets, F.col("_item").eqNullSafe(F.col("item_id")))
     by_doc = listed.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 from brute import contained, near_components, remove_repeats, shingles, words
+from pyspark.sql import functions as F
 
 from taxaspark.llm import components, decontamination, minhash_dedup, substring_dedup
 from taxaspark.llm.words import Hasher, text_chunks
@@ -148,6 +149,27 @@ def test_containment_against_brute_force(spark):
     assert len(found) == len(contained(docs, items))
 
 
+def test_documents_are_probed_by_the_size_classes_they_can_hold(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    docs = {i: text(rng.choice([5, 8, 30, 80])) for i in range(60)}
+    items = {i: text(n) for i, n in enumerate([24] * 3 + [104] * 200)}  # 20 and 100 shingles
+    docs |= {100 + i: items[i] for i in (0, 5)} | {200: "x y " + items[1] + " z", 300: " ".join(items[6].split()[:90])}
+    d, b = frame(spark, list(docs.items())), item_frame(spark, list(items.items()))
+    classes = decontamination.size_classes(decontamination.item_sets(b, 5, 80))
+    assert [q for q, _ in classes] == [20, 100]
+    whole = {r["doc_id"]: r["shingles"] for r in decontamination.hashed(d, 5, F.col("doc_id")).collect()}
+    got = {}
+    for r in decontamination.probes(d, classes, 5, 80).collect():
+        got.setdefault(r["doc_id"], []).append(r["h"])
+    for i, own in whole.items():
+        top = max((c for q, c in classes if len(own) * 100 >= q * 80), default=-(2**63))
+        assert sorted(got.get(i, [])) == sorted(h for h in own if h <= top)
+    assert not any(len(whole[i]) < 16 for i in got)  # too small for every item: nothing to look up
+    found = decontamination.contained_items(d, b).collect()
+    assert {(r["doc_id"], r["item_id"]): r["n_shared"] for r in found} == contained(docs, items)
+
+
 def test_decontaminate_edge_cases(spark):
     item = "one two three four five six seven"
     rows = [(1, "start " + item + " end"), (1, "start " + item + " end"), (None, item), (2, None), (3, ""), (4, "clean words only here today")]
