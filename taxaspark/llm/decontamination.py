@@ -6,7 +6,8 @@ represented by the smallest of its shingle hashes, and a document is a
 candidate if it holds one of them. Items are partitioned by size: an item with
 q shingles gives floor(q * (100 - percent) / 100) + 1 minima, one more than
 a document may lack, so a document that contains ``percent`` % of an item holds
-at least one of its minima: nothing is lost. A size class (powers of two) has its own
+at least one of its minima: nothing is lost (of items of n words or more; for shorter
+ones see ``contained_items``). A size class (powers of two) has its own
 ceiling, the largest minimum of its items, and its smallest size. Of a document's shingles those
 below the ceiling of some class that the document is large enough for are looked up,
 each once for all classes; a document too small to hold ``percent`` % of an item is no candidate for it.

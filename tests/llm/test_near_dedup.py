@@ -170,6 +170,14 @@ def test_documents_are_probed_by_the_size_classes_they_can_hold(spark):
     assert {(r["doc_id"], r["item_id"]): r["n_shared"] for r in found} == contained(docs, items)
 
 
+def test_items_of_fewer_words_are_found_only_as_whole_documents(spark):
+    """The rule of the query's SQL, and the exception that the README names."""
+    items = {n: " ".join(f"i{n}w{k}" for k in range(n)) for n in (1, 2, 3, 4, 5)}
+    docs = {n: t.upper() for n, t in items.items()} | {10 + n: f"before {t} after these words" for n, t in items.items()}
+    found = decontamination.contained_items(frame(spark, list(docs.items())), item_frame(spark, list(items.items()))).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(n, n) for n in items} | {(15, 5)} == set(contained(docs, items))
+
+
 def test_decontaminate_edge_cases(spark):
     item = "one two three four five six seven"
     rows = [(1, "start " + item + " end"), (1, "start " + item + " end"), (None, item), (2, None), (3, ""), (4, "clean words only here today")]
