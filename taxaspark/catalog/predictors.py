@@ -123,16 +123,9 @@ def _screening(spark, d):
     return screen_species(predictor_table(spark, d), draws=screen_draws(spark))
 
 
-@register("screen_species", f"""WITH {SCREEN_SQL}
-SELECT acceptedNameAuthor, Threatened, Threatened IS NOT NULL AS labelled, {sql_round('epred', 3)} AS medianPrediction,
-       {sql_round('lower', 3)} AS lower95ConfInt, {sql_round('upper', 3)} AS upper95ConfInt, pred_class,
-       Threatened IS NULL AND upper < thr.t AS confident
-FROM scored CROSS JOIN thr""")
-def screen_species_q(spark, d):
-    """Intervals over given draws and the threshold for FNR 0.05; every species with its interval and
-    whether it is a confident negative (unlabelled, upper bound below the threshold)."""
+def _screened(res):
+    """Every species with its interval, class and whether it is a confident negative."""
     from pyspark.sql import functions as F
-    res = _screening(spark, d)
     thr = res.threshold.select(F.col("threshold").alias("__t__"))
     both = (res.labelled.withColumn("labelled", F.lit(True))
             .unionByName(res.predictions.withColumn("labelled", F.lit(False))))
@@ -144,6 +137,30 @@ def screen_species_q(spark, d):
         (~F.col("labelled") & (F.col("upper") < F.col("__t__"))).alias("confident"))
 
 
+@register("screen_species", f"""WITH {SCREEN_SQL}
+SELECT acceptedNameAuthor, Threatened, Threatened IS NOT NULL AS labelled, {sql_round('epred', 3)} AS medianPrediction,
+       {sql_round('lower', 3)} AS lower95ConfInt, {sql_round('upper', 3)} AS upper95ConfInt, pred_class,
+       Threatened IS NULL AND upper < thr.t AS confident
+FROM scored CROSS JOIN thr""")
+def screen_species_q(spark, d):
+    """Intervals over given draws and the threshold for FNR 0.05; every species with its interval and
+    whether it is a confident negative (unlabelled, upper bound below the threshold)."""
+    return _screened(_screening(spark, d))
+
+
+def screen_species_fitted(spark, d):
+    """The whole screening: split, fit on the labelled species, 2,000 draws, intervals and threshold; rows as ``screen_species``,
+    with how the model was fitted."""
+    from pyspark.sql import functions as F
+    res = screen_species(predictor_table(spark, d), n_draws=2000, seed=1)
+    return _screened(res).withColumns({"n_fitted": F.lit(res.fit.n).cast("long"), "converged": F.lit(bool(res.fit.converged)),
+                                       "method": F.lit(res.fit.method)})
+
+
+#: queries that fit a model and have no DuckDB twin: registered by name, but not in REGISTRY, whose queries are held to their twins
+FITTED = {"screen_species_fitted": screen_species_fitted}
+
+
 def _gated_occurrences(spark, d):
     from ..operators.geo import quality_gate
     occ = G.flag_all(occurrences(spark, d), "decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters",

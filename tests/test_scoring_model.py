@@ -216,3 +216,23 @@ def test_truncation_is_a_parameter(spark):
     _, plain = M.importance_resample(spark, x, "y", feats, fit, n=300)
     _, cut = M.importance_resample(spark, x, "y", feats, fit, n=300, truncate_at=1.0)
     assert cut >= plain
+
+
+def test_fitted_screening_is_a_query_that_fits_draws_and_thresholds(spark, monkeypatch):
+    import bench
+    from __spark_entry__ import queries
+    from taxaspark.catalog import predictors
+
+    sf, made = "/root/testdata/sf0.001", []
+    real = predictors.screen_species
+    monkeypatch.setattr(predictors, "screen_species", lambda *a, **b: made.append(real(*a, **b)) or made[-1])
+    got = queries()["screen_species_fitted"](spark, sf).collect()
+    assert "screen_species_fitted" in bench.EXTRA
+    res = made[0]
+    assert res.fit is not None and res.draws.count() == 2000
+    labelled = [r for r in got if r["labelled"]]
+    assert len(got) == predictors.predictor_table(spark, sf).count() and 0 < len(labelled) == res.fit.n
+    assert {(r["n_fitted"], r["converged"], r["method"]) for r in got} == {(res.fit.n, True, "laplace")}
+    assert all(0 <= r["lower95ConfInt"] <= r["medianPrediction"] <= r["upper95ConfInt"] <= 1 for r in got)
+    assert any(r["lower95ConfInt"] < r["upper95ConfInt"] for r in got)
+    assert sum(r["confident"] for r in got if r["confident"] is not None) == res.confident.count()
