@@ -1,19 +1,22 @@
-"""Removal of passages that occur more than once, by relative Lempel-Ziv parsing at anchors.
+"""Removal of passages that occur more than once, by winnowing anchors and window lookup.
+
+This stands in for a greedy relative Lempel-Ziv parse, which is not built: there are no factors (start, length,
+source) and no reference blocks. Only which windows occur again decides what goes, and that is found exactly.
 
 The corpus is its own reference. An anchor is a 16-word gram whose hash is the
 smallest in some window (of ``window`` words), so equal windows hold equal
-anchors. The index of a reference block (the anchors of one hash, with a print of the words
+anchors. The index (the anchors of one hash, with a print of the words
 around each) tells how far a document can be copied from elsewhere:
 
-* **Factor**: an anchor whose whole surroundings (all windows it stands for) occur again. Runs of
-  such anchors are the long factors; their windows are duplicates with no further look.
-* **Factor boundary**: an anchor that occurs again, in other surroundings. A copy begins or ends
+* **Copied**: an anchor whose whole surroundings (all windows it stands for) occur again. Runs of
+  such anchors are the long copies; their windows are duplicates with no further look.
+* **Edge**: an anchor that occurs again, in other surroundings. A copy begins or ends
   near it, so each of its windows is looked up by itself, against those of the other
   occurrences (one for each distinct surroundings).
-* Literals: all else. They are never looked up.
+* All else. They are never looked up.
 
-Matching every document against every block would be quadratic; looking up
-only the blocks of a document's own anchors finds the same windows. Prints are 128 bits
+Matching every document against every other would be quadratic; looking up
+only the entries of a document's own anchors finds the same windows. Prints are 128 bits
 (gram and surroundings, or two window hashes).
 
 Within an Arrow batch, equal entries are sent once, so that a passage in a third
