@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, language_id, line_dedup, minhash_dedup, packing, secrets, substring_dedup, topk_search, toxicity
+from . import (
+    alignment,
+    chat,
+    decontamination,
+    language_id,
+    line_dedup,
+    merkle,
+    minhash_dedup,
+    packing,
+    secrets,
+    substring_dedup,
+    topk_search,
+    toxicity,
+    url_filter,
+)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +227,96 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five rows with the largest inner products for every 50th vector."""
     found = topk_search.top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op11_merkle_manifest", sql=r"""
+WITH RECURSIVE rows_ AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, concat(
+      coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+    text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents),
+leaf AS (
+  SELECT r, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) AS low FROM rows_),
+crc AS (
+  SELECT r, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, z: xor(v >> 1, (v & 1) * 3988292384)))) AS crc FROM rows_),
+ln AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM leaf),
+up AS (
+  SELECT 0 AS lvl, g, idx, n, leaf AS d FROM ln
+  UNION ALL
+  SELECT lvl + 1, g, idx // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY lvl, g, idx // 8, n),
+sub AS (SELECT g, lvl AS height, d AS subroot FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, g AS idx, (SELECT count(*) FROM sub) AS n, subroot AS d FROM sub
+  UNION ALL
+  SELECT lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lvl, idx // 8, n),
+sides AS (
+  SELECT u.g, u.lvl AS step, u.idx, coalesce(string_agg(s.d, '' ORDER BY s.idx) FILTER (s.idx < u.idx), '') AS before,
+    coalesce(string_agg(s.d, '' ORDER BY s.idx) FILTER (s.idx > u.idx), '') AS after
+  FROM up u JOIN up s ON u.g = s.g AND u.lvl = s.lvl AND u.idx // 8 = s.idx // 8 WHERE u.n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT sub.g, sub.height + u.lvl, 0, coalesce(string_agg(s.d, '' ORDER BY s.idx) FILTER (s.idx < u.idx), ''),
+    coalesce(string_agg(s.d, '' ORDER BY s.idx) FILTER (s.idx > u.idx), '')
+  FROM sub JOIN top u ON u.n > 1 AND u.idx = sub.g // CAST(pow(8, u.lvl) AS BIGINT)
+  JOIN top s ON u.lvl = s.lvl AND u.idx // 8 = s.idx // 8 GROUP BY sub.g, sub.height, u.lvl, u.idx),
+fold AS (
+  SELECT r, g, idx, 0 AS step, '' AS proof, CASE WHEN crc % 3 = 0 THEN low ELSE leaf END AS d FROM ln JOIN crc USING (r)
+  UNION ALL
+  SELECT f.r, f.g, f.idx // 8, f.step + 1, f.proof || s.before || s.after, sha256(s.before || f.d || s.after)
+  FROM fold f JOIN sides s ON f.g = s.g AND f.step = s.step AND f.idx = s.idx),
+ends AS (SELECT r, max_by(proof, step) AS proof, max_by(d, step) AS folded FROM fold GROUP BY r)
+SELECT ln.doc_id, ln.leaf, sub.subroot, top.d AS root, sha256(ends.proof) AS proof_sha256, ends.folded AS folded_root,
+  ends.folded = top.d AS verified
+FROM ln JOIN ends USING (r) JOIN sub USING (g) JOIN top ON top.n = 1
+""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof up to the root, and what the proof says of a partly tampered copy."""
+    docs = read(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    leaf = merkle.leaf_digest(*fields, "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    now = F.when(tampered, merkle.leaf_digest(*fields, url_filter.lower(F.col("text")))).otherwise(leaf)
+    tree = merkle.manifest(docs.select("doc_id", "lang", leaf.alias("leaf"), now.alias("now")), "lang", ["doc_id", "leaf"], "leaf")
+    folded = tree.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+                         merkle.fold(F.col("now"), F.col("proof")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def alignment_paths() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of both tokenizers in groups, and how usual its linked id pairs are in the corpus."""
+    chunks = alignment.align(read(spark, sf_dir, "documents").select("doc_id", "text"), *alignment_paths())
+    return alignment.with_counts(alignment.digested(chunks)).withColumnRenamed("groups", "groups_sha256")
+
+
+#: (verdict, host, path)
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query("op13_url_filter", sql=r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+f AS (
+  SELECT p.*, rhost || rpath AS rule, r.verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC NULLS LAST, length(rhost) DESC) AS rn
+  FROM p LEFT JOIN r ON (p.host = rhost OR suffix(p.host, '.' || rhost)) AND starts_with(p.path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE rn = 1
+""")
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).drop("url")
