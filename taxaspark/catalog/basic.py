@@ -542,7 +542,7 @@ def csv_round_trip(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
     write_list(docs, path)
-    return read_delimited(spark, path, docs.schema, multi_line=True)     # texts hold line breaks
+    return read_delimited(spark, path, docs.schema)     # texts hold line breaks
 
 
 def _folder(spark, name: str) -> str:
@@ -553,12 +553,14 @@ def _folder(spark, name: str) -> str:
 
 @register("tsv_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def tsv_round_trip(spark, d):
-    """Orders written as tab-separated text and read back, each file split over tasks."""
+    """Orders written as tab-separated text, in files with unlike headers, and read back by name, each file split over tasks."""
     from ..sources.io import read_tsv
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     path = _folder(spark, "tsv")
-    o.write.option("header", True).option("escape", '"').option("nullValue", "NA").option("sep", "\t").csv(path)
-    return read_tsv(spark, path, o.schema)
+    for i, names in enumerate((o.columns, ["o_orderpriority", "o_totalprice", "o_orderkey", "o_custkey", "o_orderstatus"])):
+        o.filter(c("o_orderkey") % 2 == i).select(names).write.option("header", True).option("escape", '"') \
+            .option("nullValue", "NA").option("sep", "\t").csv(f"{path}/{i}")
+    return read_tsv(spark, [f"{path}/0", f"{path}/1"], o.schema)
 
 
 @register("csv_base_flavour", """
@@ -586,25 +588,48 @@ SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus EN
 FROM orders
 """)
 def read_tree_union(spark, d):
-    """Files in nested folders found and bound, each row with the folder it came from; NA is missing."""
+    """Files in nested folders found and bound by name, each row with the folder it came from; NA is missing.
+    One folder's files have the columns in another order and one more."""
     from ..sources.io import read_tree
     o = table(spark, d, "orders")
     root = _folder(spark, "tree")
     status = F.when(c("o_orderstatus") != "P", c("o_orderstatus")).otherwise(F.lit("NA")).alias("status")
     for i, place in enumerate(("ca", "us")):
-        o.filter(c("o_orderkey") % 2 == i).select("o_orderkey", status).write.option("header", True).csv(f"{root}/{place}/occ")
+        own = ["o_orderkey", status] if i else [status, c("o_orderpriority").alias("priority"), "o_orderkey"]
+        o.filter(c("o_orderkey") % 2 == i).select(*own).write.option("header", True).csv(f"{root}/{place}/occ")
     t = read_tree(spark, root, "*.csv", schema="o_orderkey bigint, status string")
     return t.select("o_orderkey", "status", F.regexp_extract("source_file", "/(ca|us)/occ/", 1).alias("origin"))
 
 
 @register("read_like_schema", "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier")
 def read_like_schema(spark, d):
-    """A file read with the column types of another frame."""
+    """A file read with the column types of another frame, by name: its columns stand in another order, with one more."""
     from ..sources.io import read_like, write_list
     s = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
     path = _folder(spark, "like")
-    write_list(s, path)
-    return read_like(spark, path, s)
+    write_list(s.select("s_name", "s_nationkey", c("s_name").alias("more"), "s_acctbal", "s_suppkey"), path)
+    return read_like(spark, path, s).select(s.columns)
+
+
+@register("first_in_file", """
+SELECT o_custkey, o_orderkey, o_totalprice, place FROM (
+  SELECT *, o_orderkey % 2 AS place, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 2, o_totalprice DESC, o_orderkey) AS rn
+  FROM orders) WHERE rn = 1
+""")
+def first_in_file(spark, d):
+    """Two downloads with unlike headers, read in file order: of the records of one id the first in the files stays, the
+    first download's before the second's, whatever the splits and shuffles."""
+    from ..operators.dedup import first_per_key
+    from ..sources.io import ORDER, read_delimited
+    o = table(spark, d, "orders")
+    path = _folder(spark, "downloads")
+    for i, names in enumerate((["o_custkey", "o_orderkey", "o_totalprice"], ["o_totalprice", "o_custkey", "o_orderstatus", "o_orderkey"])):
+        # part files follow one another as their ranges do
+        o.filter(c("o_orderkey") % 2 == i).select(names).repartitionByRange(3, c("o_totalprice").desc(), "o_orderkey") \
+            .sortWithinPartitions(c("o_totalprice").desc(), "o_orderkey").write.option("header", True).csv(f"{path}/{i}")
+    read = read_delimited(spark, [f"{path}/0", f"{path}/1"], o.select("o_custkey", "o_orderkey", "o_totalprice").schema, ordered=True)
+    return first_per_key(read.repartition(7), ["o_custkey"], [ORDER]).select(
+        "o_custkey", "o_orderkey", "o_totalprice", c(ORDER).getField("place").cast("bigint").alias("place"))
 
 
 @register("exclude_keys_table", """

@@ -392,6 +392,30 @@ def portal_records(spark, d):
     return O.portal_records([_portal_file(spark, d, CA_PRIOS, "ca-"), _portal_file(spark, d, US_PRIOS, "us-")])
 
 
+def _downloads(spark, d):
+    """The two portal files as delimited text with unlike headers; each record has a second copy of its id further down."""
+    from ..sources.io import read_delimited
+    from .basic import _folder
+    path, out = _folder(spark, "portal"), []
+    for i, (prios, tag) in enumerate(((CA_PRIOS, "ca-"), (US_PRIOS, "us-"))):
+        f = _portal_file(spark, d, prios, tag)
+        copies = f.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+        later = [F.when(c("copy") == 0, c(n)).otherwise(F.lit("later copy")).alias(n) if n == "locality" else c(n) for n in f.columns]
+        names = f.columns if i else f.columns[::-1]
+        copies.repartitionByRange(3, "copy", "id").sortWithinPartitions("copy", "id").select("copy", *later).select(*names) \
+            .write.option("header", True).option("escape", '"').csv(f"{path}/{i}")
+        out.append(read_delimited(spark, f"{path}/{i}", f.schema, na_value="", ordered=True))
+    return out
+
+
+@register("portal_records_in_file_order", f"""WITH {OCC_SQL}
+SELECT {PORTAL_COLS} FROM portal""")
+def portal_records_in_file_order(spark, d):
+    """The portal files written as text with unlike headers and a second copy of every id, read by name and in file order:
+    the first record of the file stays, without a hash."""
+    return O.portal_records(_downloads(spark, d)).select(*_portal_file(spark, d, CA_PRIOS, "ca-").columns)
+
+
 @register("aggregator_records", f"""WITH {OCC_SQL}
 SELECT gbifID, speciesKey, NameAuthor, scientificName, countryCode, occurrenceStatus, year, locality,
        acceptedName, acceptedNameAuthor FROM agg""")

@@ -12,6 +12,7 @@ from ..functions.text import code_map, combined_id, lenient_double
 from ..operators.dedup import first_per_key
 from ..operators.frames import drop_strict, rename, union_missing, union_strict
 from ..operators.joins import join_on, keep_keys_in_other
+from ..sources.delimited import ORDER
 from . import constants as K
 
 
@@ -20,8 +21,9 @@ def portal_records(files: Sequence[DataFrame], drops: Sequence[Sequence[str]] |
     """Portal files bound by name (earlier files first), one record per ``id``.
 
     ``drops`` are the columns removed from each file (strict). Between
-    copies of an id the earlier file wins, then ``tiebreak``, then the smallest hash of the
-    whole record: the order is total, so a retry keeps the same copy.
+    copies of an id the earlier file wins, then the one that stands first in it where the files were read with their
+    order (``ordered=True``; the order itself is left out of the result), then ``tiebreak``. Frames without it have no
+    order of their own, so the smallest hash of the whole record decides last: the order is total, and a retry keeps the same copy.
     """
     tagged = []
     for i, f in enumerate(files):
@@ -29,8 +31,9 @@ def portal_records(files: Sequence[DataFrame], drops: Sequence[Sequence[str]] |
             f = drop_strict(f, drops[i])
         tagged.append(f.withColumn("__file__", F.lit(i)))
     allr = union_missing(*tagged)
-    order = [F.col("__file__"), *tiebreak, F.xxhash64(*[qcol(c) for c in allr.columns])]
-    return first_per_key(allr, ["id"], order).drop("__file__")
+    placed = [F.col(ORDER)] if ORDER in allr.columns else []
+    total = [] if all(ORDER in f.columns for f in tagged) else [F.xxhash64(*[qcol(c) for c in allr.columns if c != ORDER])]
+    return first_per_key(allr, ["id"], [F.col("__file__"), *placed, *tiebreak, *total]).drop("__file__", ORDER)
 
 
 def portal_matches(portal: DataFrame, checklist: DataFrame, names: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.nulls import qcol
+from .delimited import ORDER, Source, read_files
 
 
 def snake(name: str) -> str:
@@ -22,67 +23,69 @@ def snake(name: str) -> str:
 NO_MARKER = "\u0001"
 
 
-def _reader(spark: SparkSession, sep: str, na_value: str, multi_line: bool) -> DataFrameReader:
-    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-            .option("sep", sep).option("nullValue", na_value).option("mode", "FAILFAST"))
-
-
-def _read(reader: DataFrameReader, path: str | Sequence[str], schema: StructType | None) -> DataFrame:
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
-
-
 def _text_only(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType()) for f in schema.fields])
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
-                   sep: str = ",", blank_as_null: bool = True, rename: Mapping[str, str] | None = None,
-                   na_value: str = "NA", multi_line: bool = False) -> DataFrame:
-    """CSV/TSV with a header; quoted fields may hold the separator and doubled quotes.
-
-    Files are split over tasks. ``multi_line=True`` is for files whose quoted
-    fields hold line breaks: each is then read by one task, so turn such a file into
-    Parquet once. ``blank_as_null=False`` keeps empty text as ``''`` and reads
-    ``na_value`` as NULL (base R's reader). Without ``schema`` the header
-    names are kept and every column is text.
-    """
+def _delimited(spark: SparkSession, sources: Sequence[Source], schema: StructType | str | None, sep: str, blank_as_null: bool,
+               rename: Mapping[str, str] | None, na_value: str, extra: str, missing: str, origin_col: str | None,
+               ordered: bool) -> DataFrame:
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if blank_as_null:
-        df = _read(_reader(spark, sep, na_value, multi_line), path, schema)
+        df = read_files(spark, sources, sep, na_value, schema, extra, missing, origin_col, ordered)
     else:
         # the reader turns an unquoted blank into NULL whatever the marker is: read text with a marker that does
         # not occur, then blank -> '' and na_value -> NULL in one projection, and cast
-        raw = _read(_reader(spark, sep, NO_MARKER, multi_line), path, _text_only(schema) if schema is not None else None)
-        kinds = {f.name: f.dataType for f in (schema or raw.schema).fields}
+        text = _text_only(schema) if schema is not None else None
+        raw = read_files(spark, sources, sep, NO_MARKER, text, extra, missing, origin_col, ordered)
+        kinds = {f.name: f.dataType for f in raw.schema.fields} | {f.name: f.dataType for f in (schema or raw.schema).fields}
 
         def field(name: str) -> Column:
+            if name in (origin_col, ORDER):
+                return qcol(name)
             known = F.when(qcol(name) != F.lit(na_value), qcol(name))
             if isinstance(kinds[name], StringType):
                 return F.when(qcol(name).isNull(), F.lit("")).otherwise(known).alias(name)
             return F.when(qcol(name) != F.lit(""), known).cast(kinds[name]).alias(name)
 
         df = raw.select(*[field(n) for n in raw.columns])
-    if rename:
-        df = df.withColumnsRenamed(dict(rename))
-    return df
+    return df.withColumnsRenamed(dict(rename)) if rename else df
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
+                   sep: str = ",", blank_as_null: bool = True, rename: Mapping[str, str] | None = None,
+                   na_value: str = "NA", extra: str = "drop", missing: str = "null", ordered: bool = False) -> DataFrame:
+    """CSV/TSV with headers; quoted fields may hold the separator, doubled quotes and line breaks.
+
+    Columns are bound by the names in each file's header, never by position: files (of one path, a folder, or a list of paths) may have them in
+    another order, or others. Files are split over tasks, those with line breaks inside quotes too. ``schema`` gives the
+    types by name; without it every column of any file is read as text. ``extra`` (columns that the schema does not
+    name): ``"drop"`` or ``"keep"`` as text; ``missing`` (columns that no file has): ``"null"``, ``"skip"`` or ``"fail"``. A name that a
+    header repeats is the first column's; later ones get ``...position``.
+    ``blank_as_null=False`` keeps empty text as ``''`` and reads ``na_value`` as NULL (base R's reader).
+    ``ordered`` adds ``ORDER``: sorts as the records stand in the files, earlier paths first.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    return _delimited(spark, [Source(p, i) for i, p in enumerate(paths)], schema, sep, blank_as_null, rename, na_value,
+                      extra, missing, None, ordered)
 
 
 def read_tsv(spark: SparkSession, path, schema: StructType | None = None, **kw) -> DataFrame:
     return read_delimited(spark, path, schema, sep="\t", **kw)
 
 
-def read_tree(spark: SparkSession, root: str, glob: str = "*.csv", schema: StructType | None = None,
-              sep: str = ",", origin_col: str | None = "source_file", na_value: str = "NA",
-              multi_line: bool = False) -> DataFrame:
-    """All matching files below ``root`` (recursive), with the file each row came from; read as ``read_delimited`` does."""
-    reader = _reader(spark, sep, na_value, multi_line).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    df = _read(reader, root, schema)
-    return df.withColumn(origin_col, F.col("_metadata.file_path")) if origin_col else df
+def read_tree(spark: SparkSession, root: str, glob: str = "*.csv", schema: StructType | str | None = None,
+              sep: str = ",", origin_col: str | None = "source_file", na_value: str = "NA", blank_as_null: bool = True,
+              extra: str = "drop", missing: str = "null", ordered: bool = False) -> DataFrame:
+    """All matching files below ``root`` (recursive), with the file each row came from; read and bound as ``read_delimited``
+    does. With ``ordered``, files follow one another by path."""
+    return _delimited(spark, [Source(root, 0, glob, True)], schema, sep, blank_as_null, None, na_value, extra, missing, origin_col, ordered)
 
 
 def read_like(spark: SparkSession, path, other: DataFrame, sep: str = ",", **kw) -> DataFrame:
-    """Read with the column types of another frame (``col_types = sapply(df, class)``)."""
-    return read_delimited(spark, path, other.schema, sep=sep, **kw)
+    """Read with the column types of another frame, taken by name (``col_types = sapply(df, class)``): columns that the frame
+    does not have are text, and its columns that no file has are left out."""
+    return read_delimited(spark, path, other.schema, sep=sep, **({"extra": "keep", "missing": "skip"} | kw))
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:

@@ -17,7 +17,7 @@ def _write(path, text):
 def test_read_delimited_quotes_newlines_na(spark):
     d = tempfile.mkdtemp(prefix="taxaspark-io-")
     _write(f"{d}/a.csv", 'Species\n"Tinyus, minor"\n"Say ""hi"""\n"two\nlines"\nNA\n\n')
-    df = IO.read_delimited(spark, f"{d}/a.csv", SC.MICROFUNGI, multi_line=True)
+    df = IO.read_delimited(spark, f"{d}/a.csv", SC.MICROFUNGI)
     assert sorted(r[0] for r in df.collect() if r[0] is not None) == ["Say \"hi\"", "Tinyus, minor", "two\nlines"]
     assert df.filter(F.col("Species").isNull()).count() == 1
 
@@ -71,3 +71,103 @@ def test_one_tsv_file_is_read_by_several_tasks(spark):
         assert t.count() == 30_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _small_splits(spark, size):
+    """Splits of ``size`` bytes while in the block."""
+    import contextlib
+
+    @contextlib.contextmanager
+    def held():
+        keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+        before = [spark.conf.get(k) for k in keys]
+        for k in keys:
+            spark.conf.set(k, str(size))
+        try:
+            yield
+        finally:
+            for k, v in zip(keys, before, strict=True):
+                spark.conf.set(k, v)
+
+    return held()
+
+
+def test_columns_are_bound_by_name(spark):
+    d = tempfile.mkdtemp(prefix="taxaspark-io-")
+    _write(f"{d}/a/1 one.csv", "country,county,n\nUSA,Kent,1\n")
+    _write(f"{d}/a/2[x].csv", "county,country,n\nYork,Canada,2\n")
+    _write(f"{d}/b/3.csv", "N,extra,county\n3,e,Kerry\n")
+    _write(f"{d}/b/4.csv", "county,country,county,n\nCork,Ireland,again,4\n")
+    _write(f"{d}/b/5.csv", "")
+    _write(f"{d}/b/6.csv", "﻿n,county\r\n6,Mayo\r\n")
+    _write(f"{d}/b/7.csv", "only,header\n")
+    want = [("USA", "Kent", 1), ("Canada", "York", 2), (None, "Kerry", 3), ("Ireland", "Cork", 4), (None, "Mayo", 6)]
+    schema = "country string, county string, n int"
+    got = IO.read_tree(spark, d, schema=schema, ordered=True).orderBy(IO.ORDER)
+    assert got.columns == ["country", "county", "n", "source_file", IO.ORDER]
+    assert [tuple(r)[:3] for r in got.collect()] == want
+    assert [os.path.basename(r["source_file"]) for r in got.collect()] == ["1%20one.csv", "2%5Bx%5D.csv", "3.csv", "4.csv", "6.csv"]
+    free = IO.read_tree(spark, d, origin_col=None)
+    assert free.columns == ["country", "county", "n", "extra", "county...3", "only", "header"]
+    assert rows(free, "county", "n", "extra", "`county...3`") == sorted(
+        [("Kent", "1", None, None), ("York", "2", None, None), ("Kerry", "3", "e", None), ("Cork", "4", None, "again"), ("Mayo", "6", None, None)],
+        key=lambda t: tuple((x is not None, x) for x in t))
+    like = IO.read_like(spark, f"{d}/b/3.csv", spark.createDataFrame([], schema))
+    assert like.columns == ["county", "n", "extra"] and [tuple(r) for r in like.collect()] == [("Kerry", 3, "e")]
+    assert IO.read_delimited(spark, [f"{d}/b/3.csv", f"{d}/a/2\\[x\\].csv"], schema, missing="fail").count() == 2
+    import pytest
+    with pytest.raises(ValueError):
+        IO.read_delimited(spark, f"{d}/b/3.csv", schema, missing="fail")
+    none = IO.read_delimited(spark, f"{d}/b/5.csv", schema, ordered=True)
+    assert none.count() == 0 and none.columns == ["country", "county", "n", IO.ORDER]
+    # blanks stay text, by name too
+    _write(f"{d}/c/1.csv", "n,county\n,NA\nNA,\n")
+    assert rows(IO.read_tree(spark, f"{d}/c", schema=schema, origin_col=None, blank_as_null=False), "county", "n") == [(None, None), ("", None)]
+
+
+def test_records_in_file_order_whatever_the_splits(spark):
+    d = tempfile.mkdtemp(prefix="taxaspark-io-")
+    for name, low in (("b", 0), ("a", 2000)):
+        _write(f"{d}/{name}.csv", "id,note\n" + "".join(f"{i},{'n' * (i % 50)}\n" for i in range(low, low + 2000)))
+    for size in (700, 9000, 1 << 20):
+        with _small_splits(spark, size):
+            listed = IO.read_delimited(spark, [f"{d}/b.csv", f"{d}/a.csv"], "id int", ordered=True)
+            assert [r["id"] for r in listed.repartition(7).orderBy(IO.ORDER).collect()] == list(range(4000))
+            tree = IO.read_tree(spark, d, schema="id int", origin_col=None, ordered=True)
+            assert [r["id"] for r in tree.repartition(5).orderBy(IO.ORDER).collect()] == [*range(2000, 4000), *range(2000)]
+
+
+def _random_table(rng, n):
+    parts = ["a", "b c", "", '"', '""', ",", "\n", "\r\n", "\t", "é", "x" * 30, "NA", " ", "\n\n", ',"', '",']
+    return [(i, "".join(rng.choices(parts, k=rng.randrange(0, 6))), rng.choice(["plain", "two\nlines", None, "q\"q"])) for i in range(n)]
+
+
+def test_line_breaks_in_quotes_over_many_splits(spark):
+    import csv
+    import random
+    for seed, size in ((1, 90), (2, 150), (3, 400), (4, 1000)):
+        rng = random.Random(seed)
+        table = _random_table(rng, 120)
+        d = tempfile.mkdtemp(prefix="taxaspark-io-")
+        with open(f"{d}/t.csv", "w", encoding="utf-8", newline="") as f:
+            w = csv.writer(f, lineterminator=rng.choice(["\n", "\r\n"]), quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+            w.writerow(["id", "head" if seed % 2 else "he,\nad", "note"])
+            w.writerows(table)
+        names = ["id", "head" if seed % 2 else "he,\nad", "note"]
+        whole = spark.read.csv(f"{d}/t.csv", header=True, multiLine=True, escape='"', nullValue="NA").collect()
+        with _small_splits(spark, size):
+            assert spark.read.text(f"{d}/t.csv").rdd.getNumPartitions() > 2
+            got = IO.read_delimited(spark, f"{d}/t.csv", ordered=True)
+            assert got.columns == [*names, IO.ORDER]
+            got = got.orderBy(IO.ORDER).collect()
+        assert [tuple(r)[:3] for r in got] == [tuple(r) for r in whole]
+        assert [int(r["id"]) for r in got] == list(range(120))
+
+
+def test_a_field_longer_than_many_splits_and_stray_quotes(spark):
+    d = tempfile.mkdtemp(prefix="taxaspark-io-")
+    long = "line of a long field\n" * 500
+    _write(f"{d}/t.tsv", f'id\ttext\tsize\n1\t"{long}"\t5" pipe\n2\tx "y" z\t"a ""b"""\n3\t"{long}end"\t\n4\ta\tb\n')
+    with _small_splits(spark, 600):
+        got = IO.read_tsv(spark, f"{d}/t.tsv", "id int, text string, size string", ordered=True).orderBy(IO.ORDER).collect()
+    assert [tuple(r)[:3] for r in got] == [(1, long, '5" pipe'), (2, 'x "y" z', 'a "b"'), (3, long + "end", None), (4, "a", "b")]
