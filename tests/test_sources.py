@@ -150,7 +150,8 @@ def test_line_breaks_in_quotes_over_many_splits(spark):
         table = _random_table(rng, 120)
         d = tempfile.mkdtemp(prefix="taxaspark-io-")
         with open(f"{d}/t.csv", "w", encoding="utf-8", newline="") as f:
-            w = csv.writer(f, lineterminator=rng.choice(["\n", "\r\n"]), quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+            end = rng.choice(["\n", "\r\n"])
+            w = csv.writer(f, lineterminator=end, quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
             w.writerow(["id", "head" if seed % 2 else "he,\nad", "note"])
             w.writerows(table)
         names = ["id", "head" if seed % 2 else "he,\nad", "note"]
@@ -160,8 +161,11 @@ def test_line_breaks_in_quotes_over_many_splits(spark):
             got = IO.read_delimited(spark, f"{d}/t.csv", ordered=True)
             assert got.columns == [*names, IO.ORDER]
             got = got.orderBy(IO.ORDER).collect()
+        if end == "\r\n":  # Spark's own reader leaves the carriage return in the last field
+            whole = [(*r[:2], (r[2] or "").removesuffix("\r") or None) for r in whole]
+            got = [(*r[:2], r[2] or None) for r in got]
         assert [tuple(r)[:3] for r in got] == [tuple(r) for r in whole]
-        assert [int(r["id"]) for r in got] == list(range(120))
+        assert [int(r[0]) for r in got] == list(range(120))
 
 
 def test_a_field_longer_than_many_splits_and_stray_quotes(spark):
