@@ -8,7 +8,7 @@ stage's ``docs``. All but the last return the columns of ``documents``.
 2. line dedup: lines that three or more documents share stay only in the largest doc_id.
 3. near-dedup: of each group of near-duplicates the smallest doc_id stays.
 4. decontamination: documents that hold a benchmark item go.
-5. packing: the documents as sequences of at most 2048 ids.
+5. packing: the documents as sequences of at most 2048 ids; a row is a piece with its ids and its place.
 
 ``n_chars`` follows the text where lines go. Nulls, empty texts, repeated rows and empty tables:
 as the operators in ``taxaspark.llm`` say.
@@ -46,7 +46,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [
