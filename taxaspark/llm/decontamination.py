@@ -1,16 +1,15 @@
-"""Benchmark items inside documents: size-partitioned MinHash containment search, with Spark expressions only.
+"""Benchmark items inside documents: size-partitioned containment search by item signatures, with Spark expressions only.
 
-A short item inside a long document has a tiny Jaccard similarity, so whole
-signatures cannot find it. The search is on containment instead: an item is
-represented by the smallest of its shingle hashes, and a document is a
+A short item inside a long document has a tiny Jaccard similarity, so MinHash signatures of
+whole documents cannot find it (the README has figures). The search is on containment instead: an item is
+represented by some of its shingle hashes, and a document is a
 candidate if it holds one of them. Items are partitioned by size: an item with
-q shingles gives floor(q * (100 - percent) / 100) + 1 minima, one more than
+q shingles gives floor(q * (100 - percent) / 100) + 1 hashes, one more than
 a document may lack, so a document that contains ``percent`` % of an item holds
-at least one of its minima: nothing is lost (of items of n words or more; for shorter
-ones see ``contained_items``). A size class (powers of two) has its own
-ceiling, the largest minimum of its items, and its smallest size. Of a document's shingles those
-below the ceiling of some class that the document is large enough for are looked up,
-each once for all classes; a document too small to hold ``percent`` % of an item is no candidate for it.
+at least one of them, whichever they are: nothing is lost (of items of n words or more; for shorter
+ones see ``contained_items``). They are those that the fewest items share, so that a shared template
+does not make every document that holds it a candidate for every item. A document
+too small to hold ``percent`` % of an item is no candidate for it.
 Candidates are verified by the exact containment of the item's whole set.
 """
 
@@ -55,27 +54,33 @@ def item_sets(items: DataFrame, n: int, percent: int) -> DataFrame:
                        (F.floor(q * (100 - percent) / 100) + 1).cast("int").alias("k"))
 
 
-def size_classes(sets: DataFrame) -> list[tuple[int, int]]:
-    """(smallest q, ceiling) of each class of items of n words at least, by size: powers of two, so a few dozen at most."""
-    found = sets.where("long").groupBy(F.floor(F.log2("q")).alias("class")).agg(
-        F.min("q").alias("least"), F.max(F.expr("element_at(set, k)")).alias("ceiling")).collect()
-    return sorted((r["least"], r["ceiling"]) for r in found)
+def signatures(sets: DataFrame) -> DataFrame:
+    """``item_id, set_print, q, k, h``: the ``k`` shingles of each item that the fewest items share (ties: smallest hash).
+
+    Any ``k`` shingles keep the guarantee; these keep shingles of a template that many items share out of the lookup,
+    wherever an item has enough others.
+    """
+    each = sets.select("item_id", F.xxhash64("set").alias("set_print"), "q", "k", F.explode("set").alias("h"))
+    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("n_items"))
+    chosen = each.join(shared, "h").groupBy("item_id", "set_print", "q", "k").agg(F.sort_array(F.collect_list(F.struct("n_items", "h"))).alias("of"))
+    return chosen.select("item_id", "set_print", "q", "k", F.explode(F.slice("of", F.lit(1), F.col("k"))).alias("s")) \
+        .select("item_id", "set_print", "q", "k", "s.h")
 
 
-def probes(docs: DataFrame, classes: list[tuple[int, int]], n: int, percent: int) -> DataFrame:
-    """``doc_id, fp, n, h``: the shingles of each document to look up.
+def probes(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, fp, n, h``: the shingles of each document, to look up (h null for a document without any).
 
-    A document of ``n`` shingles is asked for the classes whose smallest items it can hold ``percent`` % of; an ``h`` is one
-    row for all of them, as a row for each class would be more rows and find the same items.
+    Outer, as a plain explode lets the optimiser push a test of the array's size below the projections that make it.
     """
-    size = F.size("shingles")
-    ceiling, top = F.lit(None).cast("bigint"), None
-    for least, own in classes:  # by size, so the classes that fit are the first ones
-        if top is None or own > top:
-            ceiling, top = F.when(size * 100 >= least * percent, F.lit(own)).otherwise(ceiling), own
-    found = hashed(docs, n, F.col("doc_id"), text_print(F.col("text")).alias("fp")).withColumn("_ceiling", ceiling)
-    return found.select("doc_id", "fp", size.alias("n"), F.explode(F.filter(
-        "shingles", lambda h: ~F.col("long") | F.coalesce(h <= F.col("_ceiling"), F.lit(False)))).alias("h"))
+    found = hashed(docs, n, F.col("doc_id"), text_print(F.col("text")).alias("fp"))
+    return found.select("doc_id", "fp", F.size("shingles").alias("n"), F.explode_outer("shingles").alias("h"))
+
+
+def candidate_pairs(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id, fp, item_id, set_print``: documents that hold a signature hash of an item and are large enough for it."""
+    chosen = written(signatures(sets), "item-signatures")
+    return probes(docs, n).join(chosen, "h").where(F.col("n") * 100 >= F.col("q") * percent) \
+        .select("doc_id", "fp", "item_id", "set_print").distinct()
 
 
 def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -86,16 +91,16 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, percent: int
     of fewer words is held only by documents that consist of the same words.
     Items without words (null, empty) are held by none. Items with one set are
     one class: its smallest item_id stands for ``n_same`` of them. Null ids
-    are ids like others. Repeated documents (equal doc_id and text) give one row.
+    are ids like others. Repeated documents (equal doc_id and text) give one row. Texts of any length are searched whole;
+    the tests go up to 1,200,000 words.
     """
     sets = written(item_sets(items, n, percent), "item-sets")
-    minima = written(sets.select("item_id", "q", "k", F.explode(F.expr("slice(set, 1, k)")).alias("h")), "item-minima")
     fp = text_print(F.col("text")).alias("fp")
-    candidates = probes(docs, size_classes(sets), n, percent).join(minima, "h").where(F.col("n") * 100 >= F.col("q") * percent) \
-        .select("doc_id", "fp", "item_id").distinct()
-    listed = candidates.withColumnRenamed("item_id", "_item").join(sets, F.col("_item").eqNullSafe(F.col("item_id")))
-    by_doc = listed.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(
-        F.collect_list(F.struct("item_id", "n_same", "set")).alias("_items"))
+    listed = candidate_pairs(docs, sets, n, percent).withColumnRenamed("item_id", "_item").join(
+        sets, F.col("_item").eqNullSafe(F.col("item_id")) & (F.col("set_print") == F.xxhash64("set")))
+    # written, so that the planner sees how few documents are left to be verified
+    by_doc = written(listed.groupBy(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).agg(
+        F.collect_list(F.struct("item_id", "n_same", "set")).alias("_items")), "candidates")
     own = docs.select("doc_id", "text", fp)
     found = own.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
     checked = hashed(found, n, F.col("doc_id"), F.col("fp"), F.col("_items")).select(

@@ -52,7 +52,8 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def fold(points: np.ndarray) -> np.ndarray:
-    """Lower case for the Latin, Greek and Cyrillic blocks that map by an offset; runs of what is no letter become 0."""
+    """Lower case for the Latin, Greek and Cyrillic blocks that map by an offset. Every code point from U+00AA
+    counts as a letter, so marks beyond ASCII are parts of n-grams like letters; the rest becomes 0."""
     p = points.copy()
     upper = ((p >= 65) & (p <= 90)) | ((p >= 0xC0) & (p <= 0xDE) & (p != 0xD7)) | ((p >= 0x391) & (p <= 0x3A9)) | ((p >= 0x410) & (p <= 0x42F))
     p[upper] += 32
@@ -154,12 +155,12 @@ def best_temperature(scores: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, learnable: Column, fit_rows: int = 4000, held_back: int = 5) -> Model:
-    """Fit on ``docs`` (doc_id, text, lang): IDF on all learnable rows, weights on ``fit_rows`` of them at most.
+    """Fit on ``docs`` (doc_id, text, lang): IDF on all learnable rows with a lang, weights on ``fit_rows`` of them at most.
 
     The sample is the rows with the smallest hash of doc_id; every ``held_back``-th of it sets the temperature. Rows with null
     lang or without letters are not used for the weights. No usable row: a model that answers ``und``; one language: always that.
     """
-    own = docs.where(learnable)
+    own = docs.where(learnable & F.col("lang").isNotNull())
     df, total = document_frequencies(own)
     ids = own.where("lang is not null and doc_id is not null and text is not null").select("doc_id").orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(fit_rows)  # bounded: may be broadcast
