@@ -9,8 +9,9 @@ by bound and scores them through the forward index until the bound falls below t
 score. The k-th score starts from what a first pass, over the shard that is likeliest to
 hold the best rows, has found, so that most shards score few blocks.
 
-Work is dealt as (shard, chunk) pairs of bounded size: each shard goes to every chunk
-of the stated queries, none to one task whole.
+Before anything is shuffled to be scored, each query's floor is held against the summed term maxima
+of whole shards; only pairs of a query and a shard that reaches it are dealt, as (shard, chunk) groups of bounded size. Queries of
+neighbouring shards make a chunk.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ BLOCK = 64  # vectors in a block
 SHARD = 4096  # vectors in a shard, about
 CHUNK = 1024  # queries in a chunk, about
 SIGNS = 16  # terms of the sign pattern
+#: shards and queries whose bounds a task compares
+GROUP, ASKED = 1 << 15, 1 << 16
 
 
 def whole_vectors(vectors: DataFrame, key: Column, vector: Column, scale: float) -> DataFrame:
@@ -172,6 +175,55 @@ def search_pairs(blocks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         run, "query_id bigint, id bigint, score bigint")
 
 
+def shard_boxes(blocks: DataFrame) -> DataFrame:
+    """``shard, high, low``: the term maxima and minima of each shard (as arrays, a missing term is 0)."""
+
+    def run(own: pa.Table) -> pa.Table:
+        dims = own.column("dims").to_pylist()
+        sides = []
+        for name, most in (("high", np.max), ("low", np.min)):
+            rows = [np.pad(np.frombuffer(r, dtype=np.int64), (0, max(dims) - d)) for r, d in zip(own.column(name).to_pylist(), dims, strict=True)]
+            sides.append(most(np.vstack(rows), axis=0))
+        return pa.table({"shard": own.column("shard").slice(0, 1), "high": pa.array([sides[0]], pa.list_(pa.int64())), "low": pa.array([sides[1]], pa.list_(pa.int64()))})
+
+    return blocks.select("shard", "dims", "high", "low").groupBy("shard").applyInArrow(run, "shard int, high array<bigint>, low array<bigint>")
+
+
+def padded(rows: list) -> np.ndarray:
+    out = np.zeros((len(rows), max((len(r) for r in rows), default=0)), dtype=np.int64)
+    for i, r in enumerate(rows):
+        out[i, : len(r)] = r
+    return out
+
+
+def reachable(blocks: DataFrame, asked: DataFrame, shards: int, n_queries: int) -> DataFrame:
+    """``id, shard``: the shards whose summed term maxima reach a query's floor, for every row of ``asked`` (id, v, least).
+
+    Only these pairs are shuffled with vectors and blocks. Here a query goes to one row for each ``GROUP`` shards, and a shard's
+    box to one for each ``ASKED`` queries.
+    """
+    groups, parts = max(1, -(-shards // GROUP)), max(1, -(-n_queries // ASKED))
+
+    def run(own: pa.Table, wanted: pa.Table) -> pa.Table:
+        ids, at = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        if own.num_rows and wanted.num_rows:
+            shard = own.column("shard").to_numpy()
+            high, low = padded(own.column("high").to_pylist()), padded(own.column("low").to_pylist())
+            q, least, q_id = padded(wanted.column("v").to_pylist()), wanted.column("least").to_numpy(), wanted.column("id").to_numpy()
+            for a in range(0, len(q), 256):
+                near = bounds(q[a : a + 256], high, low) >= least[a : a + 256, None].astype(np.float64)  # equal: a smaller id may win
+                i, j = np.nonzero(near)
+                ids.append(q_id[a + i])
+                at.append(shard[j])
+        return pa.table({"id": pa.array(np.concatenate(ids), pa.int64()), "shard": pa.array(np.concatenate(at), pa.int32())})
+
+    boxes = shard_boxes(blocks).withColumn("g", F.floor(F.col("shard") / GROUP).cast("int")) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    spread = asked.select("id", "v", "least").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")) \
+        .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return boxes.groupBy("g", "part").cogroup(spread.groupBy("g", "part")).applyInArrow(run, "id bigint, shard int").distinct()
+
+
 def best_rows(found: DataFrame, k: int) -> DataFrame:
     once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
@@ -199,9 +251,11 @@ def top_k(vectors: DataFrame, key: str, vector: str, is_query: Column, k: int, s
                                                         lowest.alias("least")), k)
     floors = written(best_rows(near, k).groupBy(F.col("query_id").alias("id")).agg(
         F.when(F.count(F.lit(1)) == k, F.min("score")).otherwise(lowest).alias("least")), "floors")
-    asked = queries.join(floors, "id", "left").select("id", "v", F.coalesce("least", lowest).alias("least"),
-                                                      F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk"))
-    # then all pairs of a shard of blocks and a chunk of the stated queries
-    dealt = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
-    spread = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    # queries of neighbouring shards are alike: they make a chunk, as they look in the same shards
+    place = home.groupBy("id").agg(F.floor(F.min("home") * chunks / shards).cast("bigint").alias("chunk"))
+    asked = written(queries.join(floors, "id", "left").join(place, "id").select("id", "v", F.coalesce("least", lowest).alias("least"), "chunk"), "queries")
+    # then the pairs of a shard and a query whose bound reaches the query's floor
+    pairs = written(reachable(blocks, asked, shards, asked.count()), "pairs")
+    spread = asked.join(pairs, "id")
+    dealt = blocks.join(written(spread.select("shard", "chunk").distinct(), "dealt"), "shard")
     return best_rows(search_pairs(dealt, spread, k), k).select("query_id", "rank", "id", "score")

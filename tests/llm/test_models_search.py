@@ -290,3 +290,27 @@ def test_language_id_without_rows(spark):
     assert [(r["lang_pred"], r["score"]) for r in language_id.predict(some, model).collect()] == [("und", 0.0)]
     one = language_id.train(some, F.lit(True))
     assert [r["lang_pred"] for r in language_id.predict(some, one).collect()] == ["en"]
+
+
+def test_top_k_of_clusters_meets_few_shards(spark, monkeypatch):
+    """Clustered vectors: fewer than a tenth of the pairs of a query and a shard are dealt, and the result is that of brute force."""
+    monkeypatch.setattr(topk_search, "SHARD", 50)
+    monkeypatch.setattr(topk_search, "BLOCK", 10)
+    monkeypatch.setattr(topk_search, "CHUNK", 16)
+    monkeypatch.setattr(topk_search, "GROUP", 7)
+    monkeypatch.setattr(topk_search, "ASKED", 30)
+    rng = np.random.default_rng(4)
+    centres = rng.choice([-4.0, 4.0], size=(40, 16))
+    rows = [(i, [float(np.float32(x)) for x in (centres[i % 40] + rng.normal(0, 0.05, 16))]) for i in range(2000)]
+    dealt = []
+    real = topk_search.reachable
+
+    def counted(blocks, asked, shards, n):
+        out = real(blocks, asked, shards, n)
+        dealt.append((out.count(), shards * n))
+        return out
+
+    monkeypatch.setattr(topk_search, "reachable", counted)
+    check_top(spark, rows, 5, modulus=10)
+    (pairs, every), = dealt
+    assert every >= 200 * 30 and pairs < every / 10
