@@ -640,3 +640,25 @@ def exclude_keys_table(spark, d):
     """Records whose id is listed in a table of bad records are removed."""
     bad = table(spark, d, "lineitem").filter(c("l_discount") == 0)
     return J.exclude_keys(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", bad, "l_orderkey")
+
+
+@register("distinct_wide_rows", """
+SELECT * FROM lineitem
+UNION
+SELECT * FROM lineitem WHERE l_quantity > 48
+""")
+def distinct_wide_rows(spark, d):
+    """Bind and de-duplicate rows of many columns: prints are shuffled, and whole rows only where a print occurs again."""
+    rows = table(spark, d, "lineitem")
+    return FR.union_distinct(rows, rows.where(c("l_quantity") > 48))
+
+
+@register("except_wide_rows", """
+SELECT * FROM lineitem
+EXCEPT
+SELECT * FROM lineitem WHERE l_quantity > 45
+""")
+def except_wide_rows(spark, d):
+    """Row-set difference of rows of many columns, by prints first."""
+    rows = table(spark, d, "lineitem")
+    return FR.except_rows(rows, rows.where(c("l_quantity") > 45))

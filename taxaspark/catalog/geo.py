@@ -169,3 +169,23 @@ def stream_quality_gate(spark, d):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.schema("event_id long, user_id long").parquet(f"{out}/data")
+
+
+@register("stream_first_per_key", """
+SELECT o_custkey, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1
+""")
+def stream_first_per_key(spark, d):
+    """The first record of each key kept on a stream of three micro-batches that stops after each and starts again;
+    the same rows as the batch operator."""
+    from ..streaming.dedup import first_per_key_stream, survivors
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-first-{uuid.uuid4().hex}"
+    for i in range(3):
+        o.where(F.pmod("o_orderkey", F.lit(3)) == i).write.parquet(f"{out}/in/part={i}")
+        stream = spark.readStream.schema(o.schema).option("recursiveFileLookup", True).parquet(f"{out}/in")
+        q = first_per_key_stream(stream, ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], f"{out}/kept", f"{out}/checkpoint", buckets=4)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return survivors(spark, f"{out}/kept", o.schema)

@@ -53,6 +53,18 @@ def median_interval(spark, d):
     return mi.select("p_partkey", *[round_half_up(x, 6).alias(x) for x in ("epred", "lower", "upper")])
 
 
+@register("hot_group_quantiles", f"""
+SELECT g, {sql_round('quantile_cont(v, 0.5)', 6)} AS median, {sql_round('quantile_cont(v, 0.025)', 6)} AS lower,
+       {sql_round('quantile_cont(v, 0.975)', 6)} AS upper
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END AS g, l_extendedprice AS v FROM lineitem) GROUP BY g""")
+def hot_group_quantiles(spark, d):
+    """Exact quantiles by rank where one group has a third of all rows."""
+    rows = table(spark, d, "lineitem").select(
+        F.when(c("l_orderkey") % 3 == 0, F.lit(0).cast("bigint")).otherwise(c("l_suppkey")).alias("g"), c("l_extendedprice").alias("v"))
+    mi = S.median_interval(rows, ["g"], "v", median="median")
+    return mi.select("g", *[round_half_up(x, 6).alias(x) for x in ("median", "lower", "upper")])
+
+
 @register("posterior_interval", f"""{MI_SQL}
 SELECT p_partkey, {sql_round('epred', 6)} AS epred, {sql_round('lower', 6)} AS lower, {sql_round('upper', 6)} AS upper
 FROM mi""")

@@ -11,6 +11,7 @@ from ..functions.nulls import qcol
 from pyspark.sql.types import DataType, NumericType, StructField, StructType
 
 from ..functions.numeric import round_half_up
+from ..session import staged
 
 
 class SchemaError(ValueError):
@@ -102,14 +103,58 @@ def union_strict(*frames: DataFrame) -> DataFrame:
     return out
 
 
+#: rows of more columns than this are compared by their prints first
+NARROW = 8
+
+
+def row_print(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of the whole row, nulls told from values; equal rows have equal prints (so -0.0 is 0.0)."""
+    cols = [(qcol(f.name) + F.lit(0.0)).cast(f.dataType) if f.dataType.typeName() in ("double", "float") else qcol(f.name)
+            for f in df.schema.fields]
+    marks = [qcol(c).isNull() for c in df.columns]
+    return [F.xxhash64(*cols, *marks).alias("__print_a__"), F.xxhash64(F.lit(1), *marks, *cols).alias("__print_b__")]
+
+
+PRINT = ["__print_a__", "__print_b__"]
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``distinct()``; of wide rows only those are shuffled whole whose 128-bit print occurs again.
+
+    The prints are counted (16 bytes a row are shuffled, after a map-side count). A row whose print is its own passes where it
+    lies; the others, which the prints only suspect, are compared as rows. The repeated prints are staged, so the planner
+    broadcasts them where their real size allows and shuffles the join otherwise. ``df`` is read twice and has to give the same rows each time.
+    """
+    if len(df.columns) <= NARROW:
+        return df.distinct()
+    keyed = df.select("*", *row_print(df))
+    again = staged(keyed.groupBy(*PRINT).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*PRINT), "prints")
+    alone = keyed.join(again, PRINT, "left_anti").drop(*PRINT)
+    return alone.unionByName(keyed.join(again, PRINT, "left_semi").drop(*PRINT).distinct())
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """``distinct(rbind(a, b))``."""
-    return union_strict(*frames).distinct()
+    return distinct_rows(union_strict(*frames))
 
 
 def except_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``setdiff(a, b)``: distinct rows of ``a`` that are not rows of ``b``."""
-    return a.subtract(b.select(*a.columns))
+    """``setdiff(a, b)``: distinct rows of ``a`` that are not rows of ``b``.
+
+    Wide rows as in ``distinct_rows``: a row of ``a`` whose print ``a`` holds once and ``b`` never passes; the others
+    meet those of ``b`` with the same prints, as rows.
+    """
+    b = b.select(*a.columns)
+    if len(a.columns) <= NARROW:
+        return a.subtract(b)
+    b = b.select(*[qcol(f.name).cast(f.dataType).alias(f.name) for f in a.schema.fields])
+    mine, other = a.select("*", *row_print(a)), b.select("*", *row_print(b))
+    sides = mine.select(*PRINT, F.lit(0).alias("other")).unionByName(other.select(*PRINT, F.lit(1).alias("other")))
+    told = sides.groupBy(*PRINT).agg(F.count(F.lit(1)).alias("n"), F.min("other").alias("low"))
+    doubt = staged(told.where("n > 1 AND low = 0").select(*PRINT), "prints")
+    alone = mine.join(doubt, PRINT, "left_anti").drop(*PRINT)
+    met = mine.join(doubt, PRINT, "left_semi").drop(*PRINT).subtract(other.join(doubt, PRINT, "left_semi").drop(*PRINT))
+    return alone.unionByName(met)
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import inv_logit
+from ..session import default_parallelism, staged
 from .frames import rename, round_numeric
+from .joins import join_on
 from .ranking import running_sum_desc, sort_rows
 
 DRAWS_IN_CHUNK = 1000
@@ -58,20 +60,55 @@ def posterior_expected(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Co
     return pairs.select(*rows.columns, F.col("__d__")[draw_id].alias(draw_id), inv_logit(eta).alias(out))
 
 
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence[float], out: str = "quantiles",
+                    partitions: int | None = None) -> DataFrame:
+    """Exact quantiles per group by rank (linear interpolation between closest ranks), for groups of any size.
+
+    Equal values of a group become one row with a count. The rows are dealt into ranges of (group, value), so a group that holds a
+    third of all rows lies in a third of the ranges; totals for each (range, group) say in which range a wanted rank is,
+    and only these parts of the ranges are read again to find it. No task, buffer or array holds a whole group.
+    NULL values do not count; a group of only NULLs has a NULL result. NaN is above all numbers.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    names = [f"__k{i}__" for i in range(len(keys))]
+    tally = staged(df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(value).cast("double").alias("__v__"))
+                   .groupBy(*names, "__v__").agg(F.count("__v__").alias("__n__")), "tally")
+    ranged = staged(tally.repartitionByRange(partitions or default_parallelism(spark), *names, "__v__")
+                    .withColumn("__part__", F.spark_partition_id()), "ranges")
+    own = Window.partitionBy(*names)
+    upto = own.orderBy("__part__").rowsBetween(Window.unboundedPreceding, -1)
+    parts = staged(ranged.groupBy(*names, "__part__").agg(F.sum("__n__").alias("__n__"))
+                   .select(*names, "__part__", "__n__", F.coalesce(F.sum("__n__").over(upto), F.lit(0)).alias("__base__"),
+                           F.sum("__n__").over(own).alias("__total__")), "parts")          # a row for each range and group
+    position = [(F.col("__total__") - 1).cast("double") * F.lit(float(p)) for p in ps]
+    ranks = F.array(*[F.struct(F.lit(2 * i + j).alias("which"), (near(x).cast("bigint") - F.col("__base__")).alias("rank"))
+                      for i, x in enumerate(position) for j, near in enumerate((F.floor, F.ceil))])
+    asked = parts.select(*names, "__part__", F.filter(ranks, lambda r: (r["rank"] >= 0) & (r["rank"] < F.col("__n__"))).alias("__ranks__")) \
+        .where(F.size("__ranks__") > 0)
+    met = join_on(ranged, asked, [*names, "__part__"], "inner", null_safe=True)
+    before = Window.partitionBy(*names, "__part__").orderBy("__v__").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = met.withColumn("__upto__", F.sum("__n__").over(before)).select(
+        *names, "__v__", F.explode(F.filter("__ranks__", lambda r: (r["rank"] < F.col("__upto__")) & (r["rank"] >= F.col("__upto__") - F.col("__n__")))).alias("__r__"))
+    picked = found.groupBy(*names).agg(*[F.max(F.when(F.col("__r__.which") == i, F.col("__v__"))).alias(f"__q{i}__") for i in range(2 * len(ps))])
+    groups = parts.groupBy(*names).agg(F.first("__total__").alias("__total__"))
+    whole = join_on(groups, picked, names, "left", null_safe=True)
+
+    def between(i: int, x: Column) -> Column:
+        low, high = F.col(f"__q{2 * i}__"), F.col(f"__q{2 * i + 1}__")
+        return F.when(low == high, low).otherwise((F.ceil(x).cast("double") - x) * low + (x - F.floor(x).cast("double")) * high)
+
+    return whole.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)],
+                        F.when(F.col("__total__") > 0, F.array(*[between(i, x) for i, x in enumerate(position)])).alias(out))
+
+
 def median_interval(df: DataFrame, keys: Sequence[str], value: str = "epred", width: float = 0.95,
                     median: str | None = None, lower: str = "lower", upper: str = "upper") -> DataFrame:
-    """``median_qi``: median and central ``width`` interval per key (exact, linear interpolation).
-
-    The exact percentile keeps each group's values in its aggregation
-    buffer, so groups must be bounded, as they are here (one group = one row's
-    draws). For intervals of a row over draws ``posterior_interval`` avoids
-    the group-by altogether.
+    """``median_qi``: median and central ``width`` interval per key (exact, linear interpolation), for groups of any size
+    (``group_quantiles``). For intervals of a row over draws ``posterior_interval`` avoids the group-by altogether.
     """
     lo, hi = (1 - width) / 2, 1 - (1 - width) / 2
-    q = F.percentile(F.col(value), F.array(F.lit(lo), F.lit(0.5), F.lit(hi)))
-    return (df.groupBy(*keys).agg(q.alias("__q__"))
-            .select(*keys, F.col("__q__")[1].alias(median or value),
-                    F.col("__q__")[0].alias(lower), F.col("__q__")[2].alias(upper)))
+    found = group_quantiles(df, keys, value, [lo, 0.5, hi], "__q__")
+    return found.select(*keys, F.col("__q__")[1].alias(median or value), F.col("__q__")[0].alias(lower), F.col("__q__")[2].alias(upper))
 
 
 def draws_array(draws: DataFrame, coefs: Sequence[str], draw_id: str = "draw_id") -> DataFrame:

@@ -6,8 +6,9 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "taxaspark") -> SparkSession:
@@ -52,6 +53,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_staged: dict[str, list[str]] = {}
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back: the lineage ends there, every later use
+    sees the same rows, and the planner sees the true size (so its broadcast check is one of real bytes).
+
+    What a session has staged is removed by ``clear_staged``; until then it stays.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Remove the tables that this application has staged (call it when nothing reads them any more); how many there were."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    return len(paths)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))

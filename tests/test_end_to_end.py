@@ -2,7 +2,9 @@
 
 import tempfile
 
-from taxaspark.plans import screen
+import pytest
+
+from taxaspark.plans import pipeline, predictors, screen
 from taxaspark.plans.pipeline import Inputs, run_pipeline
 from taxaspark.sources import schemas as SC
 
@@ -11,7 +13,7 @@ OCC = ("id long, taxonID long, scientificName string, scientificNameAuthorship s
        "locality string, year int, decimalLatitude double, decimalLongitude double, coordinateUncertaintyInMeters double")
 
 
-def test_readme_sequence(spark):
+def test_readme_sequence(spark, monkeypatch):
     s = spark
     portal_cl = s.createDataFrame([("Aa b", "L.", 10), ("Cc d", "Fr.", 11)], SC.PORTAL_CHECKLIST)
     micro = s.createDataFrame([("Zz",)], SC.MICROFUNGI)
@@ -65,5 +67,33 @@ def test_readme_sequence(spark):
     p = {r.acceptedNameAuthor: r for r in pred.collect()}
     assert p["Aa b L."].yearPublished == 1800 and p["Aa b L."].Threatened == 0
     assert p["Cc d Fr."].Threatened is None
+    first = list(stage.ran)
+    assert first[0] == "checklist" and first[-1] == "predictors" and len(first) == 15
+
+    # the same inputs again (new frames): nothing is written
+    anew = lambda f: [anew(x) for x in f] if isinstance(f, list) else f and s.createDataFrame(f.collect(), f.schema)
+    again = Inputs(*[anew(getattr(inputs, x)) for x in Inputs.__dataclass_fields__])
+    assert pipeline.run_predictors(s, again, shared, manual=predictors.manual_years(s))[1].ran == []
+    # a changed constant: that stage and what follows from it
+    assert pipeline.run_predictors(s, inputs, shared, manual=predictors.manual_years(s), radius_m=2000.0)[1].ran == ["flagged", "cleaned", "predictors"]
+    assert pipeline.run_predictors(s, inputs, shared, manual=predictors.manual_years(s), rogue_ids=[])[1].ran == ["flagged", "cleaned", "predictors"]
+    # a changed input
+    inputs.aggregator_files = [agg.where("gbifID <> 901")]
+    assert pipeline.run_predictors(s, inputs, shared, manual=predictors.manual_years(s))[1].ran == ["aggregator", "flagged", "cleaned", "predictors"]
+    # a run that breaks while a stage is written goes on there, and rows without a print do not count
+    inputs.aggregator_files = [agg]
+    real = pipeline.write_stage
+
+    def breaks(df, path):
+        real(df, path)
+        if path.endswith("/flagged"):
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(pipeline, "write_stage", breaks)
+    with pytest.raises(RuntimeError):
+        pipeline.run_predictors(s, inputs, shared, manual=predictors.manual_years(s))
+    monkeypatch.setattr(pipeline, "write_stage", real)
+    assert pipeline.run_predictors(s, inputs, shared, manual=predictors.manual_years(s))[1].ran == ["flagged", "cleaned", "predictors"]
+    assert pipeline.run_predictors(s, inputs, shared, manual=predictors.manual_years(s), resume=False)[1].ran == first
     lines = [r[0] for r in screen.summary_lines(result).collect()]
     assert len(lines) == 2 and result.fit.n == sum(1 for r in p.values() if r.Threatened is not None)

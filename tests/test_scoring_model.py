@@ -62,6 +62,25 @@ def test_interval_fixture(spark):
     assert r.lower <= r.e <= r.upper
 
 
+def test_group_quantiles_by_rank_against_percentile(spark):
+    """One group with a third of the rows, one value with a third of that, single rows, ties, NULL, NaN and NULL keys."""
+    big = spark.range(60_000).select(F.lit("hot").alias("k"), F.lit(1).alias("g"),
+                                     F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.pmod(F.xxhash64("id"), F.lit(10_007)) / 7).alias("v"))
+    rest = spark.range(120_000).select(F.concat(F.lit("k"), (F.col("id") % 900).cast("string")).alias("k"), (F.col("id") % 2).cast("int").alias("g"),
+                                       (F.pmod(F.xxhash64("id"), F.lit(1000)) / 3 - 100).alias("v"))
+    odd = spark.createDataFrame([(None, 1, 2.0), (None, 1, 4.0), (None, None, 1.0), ("null", 1, None), ("null", 1, None), ("one", 1, 3.5),
+                                 ("nan", 1, float("nan")), ("nan", 1, 1.0), ("nan", 1, 2.0), ("some", 1, None), ("some", 1, 8.0)], "k string, g int, v double")
+    df = big.union(rest).union(odd)
+    ps = [0.0, 0.025, 0.37, 0.5, 0.975, 1.0]
+    want = {(r["k"], r["g"]): r["q"] for r in df.groupBy("k", "g").agg(F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()}
+    for parts in (7, 40):
+        got = {(r["k"], r["g"]): r["quantiles"] for r in S.group_quantiles(df, ["k", "g"], "v", ps, partitions=parts).collect()}
+        assert got.keys() == want.keys()
+        for key, q in want.items():
+            assert (q is None and got[key] is None) or got[key] == pytest.approx(q, abs=1e-9, nan_ok=True), key
+    assert S.group_quantiles(df.limit(0), ["k"], "v", ps).collect() == []
+
+
 def test_posterior_interval_equals_long_form(spark):
     rnd = random.Random(5)
     rows_df = spark.createDataFrame([(i, rnd.uniform(-2, 2), rnd.uniform(0, 1)) for i in range(50)],

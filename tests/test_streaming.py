@@ -46,3 +46,51 @@ def test_stream_centroid_flag_equals_batch(spark):
     want = dict(G.flag_near_points(batch, "decimalLatitude", "decimalLongitude", cents, radius_m=20000.0)
                 .select("uid", "clean_tests").collect())
     assert got == want and list(want.values()).count(False) > 50
+
+
+def test_first_per_key_over_restarts_equals_batch(spark):
+    """Five files, two runs; the second run's first batch fails once after it has written some buckets."""
+    import random
+
+    import pytest
+
+    from taxaspark.operators.dedup import first_per_key
+    from taxaspark.streaming import dedup
+    rnd = random.Random(8)
+    data = [(rnd.choice(["hot", *(f"k{i}" for i in range(40)), None]), i, float(rnd.randrange(100))) for i in range(600)]
+    schema = "k string, uid long, v double"
+    src, out, ck = (tempfile.mkdtemp(prefix=f"taxaspark-{x}-") for x in ("src", "out", "ck"))
+    order = ["v", "uid"]
+
+    def feed(rows_, name):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(f"{src}/{name}")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(src)
+        q = dedup.first_per_key_stream(stream, ["k"], order, out, ck, buckets=3)
+        q.awaitTermination(180)
+        return q
+
+    feed(data[:200], "a")
+    feed(data[200:300], "b")
+    run()
+    kind = spark.createDataFrame([], schema).schema
+    assert rows(dedup.survivors(spark, out, kind)) == rows(first_per_key(spark.createDataFrame(data[:300], schema), ["k"], order))
+    feed(data[300:450], "c")
+    feed(data[450:], "d")
+    real, calls = dedup._read, []
+
+    def fails(*a):
+        calls.append(a)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*a)
+
+    dedup._read = fails
+    with pytest.raises(Exception, match="lost"):
+        run()
+    dedup._read = real
+    run()
+    assert rows(dedup.survivors(spark, out, kind)) == rows(first_per_key(spark.createDataFrame(data, schema), ["k"], order))
+    assert max(len(v) for v in dedup._versions(spark, out).values()) <= 2
+    assert dedup.survivors(spark, out + "/none", kind).count() == 0
