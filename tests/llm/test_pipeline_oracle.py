@@ -32,7 +32,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_all_queries_are_registered():
     names = queries()
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 def test_pipeline_against_brute_force(spark):
