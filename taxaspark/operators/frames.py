@@ -144,10 +144,9 @@ def except_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     Wide rows as in ``distinct_rows``: a row of ``a`` whose print ``a`` holds once and ``b`` never passes; the others
     meet those of ``b`` with the same prints, as rows.
     """
-    b = b.select(*a.columns)
-    if len(a.columns) <= NARROW:
-        return a.subtract(b)
-    b = b.select(*[qcol(f.name).cast(f.dataType).alias(f.name) for f in a.schema.fields])
+    b = b.select(*[qcol(c) for c in a.columns])
+    if len(a.columns) <= NARROW or [f.dataType for f in a.schema.fields] != [f.dataType for f in b.schema.fields]:
+        return a.subtract(b)                 # prints of unlike types would not agree
     mine, other = a.select("*", *row_print(a)), b.select("*", *row_print(b))
     sides = mine.select(*PRINT, F.lit(0).alias("other")).unionByName(other.select(*PRINT, F.lit(1).alias("other")))
     told = sides.groupBy(*PRINT).agg(F.count(F.lit(1)).alias("n"), F.min("other").alias("low"))

@@ -140,6 +140,8 @@ def test_wide_rows_are_compared_by_prints(spark):
     b = _wide(spark, 100, 0).withColumn("c5", F.lit("other")).where("k > 50").unionByName(_wide(spark, 30, 30))
     left = FR.except_rows(a, b)
     assert sorted(r["k"] for r in left.select("k").collect()) == list(range(30, 3000))
+    unlike = a.withColumn("k", F.col("k") + 0.5)     # another type: 0.5 is no 0
+    assert FR.except_rows(a, unlike).count() == 3000
     assert FR.except_rows(a, a).count() == 0 and FR.union_distinct(a.limit(0)).count() == 0
 
 
