@@ -392,6 +392,10 @@ def portal_records(spark, d):
     return O.portal_records([_portal_file(spark, d, CA_PRIOS, "ca-"), _portal_file(spark, d, US_PRIOS, "us-")])
 
 
+#: rows that one task sorts and writes of a download (at least three parts a file)
+RANGE_ROWS = 250_000
+
+
 def _downloads(spark, d):
     """The two portal files as delimited text with unlike headers; each record has a second copy of its id further down."""
     from ..sources.io import read_delimited
@@ -402,7 +406,8 @@ def _downloads(spark, d):
         copies = f.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
         later = [F.when(c("copy") == 0, c(n)).otherwise(F.lit("later copy")).alias(n) if n == "locality" else c(n) for n in f.columns]
         names = f.columns if i else f.columns[::-1]
-        copies.repartitionByRange(3, "copy", "id").sortWithinPartitions("copy", "id").select("copy", *later).select(*names) \
+        ranges = max(3, -(-2 * f.count() // RANGE_ROWS))
+        copies.repartitionByRange(ranges, "copy", "id").sortWithinPartitions("copy", "id").select("copy", *later).select(*names) \
             .write.option("header", True).option("escape", '"').csv(f"{path}/{i}")
         out.append(read_delimited(spark, f"{path}/{i}", f.schema, na_value="", ordered=True))
     return out

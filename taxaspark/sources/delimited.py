@@ -5,7 +5,7 @@ Three things that a plain scan of many files does not give:
 * **Names.** ``catalogue`` finds every file's header in one scan. Files with one header are read
   together with the columns in that header's order, types are taken by name, and the groups are
   united by name. Nothing is bound by position.
-* **Order.** ``ORDER`` is (place of the path in the list, file, start of the split, position in the partition):
+* **Order.** ``ORDER`` is (place of the path in the list, file (the part of its path that tells it from the others), start of the split, position in the partition):
   the order of the records in the files, whatever the splits are, and the same in every retry.
 * **Line breaks inside quotes, in files that many tasks read.** A split cannot know whether it begins inside a quoted field.
   So each split says where it would end up for both beginnings (``split_ends``), a prefix over the splits of a file (one
@@ -19,6 +19,7 @@ doubled inside, which is how Spark's CSV reader takes them.
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -151,8 +152,10 @@ def catalogue(spark: SparkSession, sources: Sequence[Source], sep: str) -> list[
     found = []
     for source in sources:
         lines = _lines(spark, source).where(~_blank(F.col("value")))
+        # ``collect_set`` (of two values at most) makes it an aggregate of objects by hash: with ``max`` beside ``min_by`` Spark sorts all lines
         heads = lines.groupBy("file").agg(
-            F.min_by("value", F.struct("block", "row")).alias("head"), F.max(left_open(F.col("value"), sep)).alias("breaks")).collect()
+            F.min_by("value", F.struct("block", "row")).alias("head"),
+            F.array_contains(F.collect_set(left_open(F.col("value"), sep)), True).alias("breaks")).collect()
         found += [(source, r["file"], r["head"], r["breaks"]) for r in sorted(heads, key=lambda r: r["file"])]
     texts = {file: head for _, file, head, _ in found}
     wide = [file for file, head in texts.items() if ends_inside(head, sep, False)]
@@ -360,6 +363,19 @@ def _group(spark: SparkSession, files: Sequence[File], kind: StructType, sep: st
     return rows.select(*fields, own.alias("_m")).select(*fields, *place)
 
 
+def _own_part(paths: Sequence[str]) -> tuple[int, int]:
+    """Where the paths differ, as (start, length): their order by this part is their order, and rows that carry it stay narrow.
+
+    What they begin with is left out; what they end with too, if the rest is equally long in all.
+    """
+    start = len(os.path.commonprefix(paths))
+    rest = [p[start:] for p in paths]
+    length = max(map(len, rest), default=0)
+    if length == min(map(len, rest), default=0):
+        length -= len(os.path.commonprefix([r[::-1] for r in rest]))
+    return start, length
+
+
 def read_files(spark: SparkSession, sources: Sequence[Source], sep: str, na_value: str, schema: StructType | None,
                extra: str, missing: str, origin_col: str | None = None, ordered: bool = False) -> DataFrame:
     """All files of ``sources`` bound by name.
@@ -390,6 +406,7 @@ def read_files(spark: SparkSession, sources: Sequence[Source], sep: str, na_valu
     kinds = {n: declared[n.lower()].dataType if n.lower() in declared else StringType() for n in order}
     extras = ([origin_col] if origin_col else []) + ([ORDER] if ordered else [])
     out = None
+    start, length = _own_part(sorted({f.path for f in files}))
     for (place, header, _), own in groups.items():
         spelled = {n.lower(): n for n in order}
         kind = StructType([StructField(spelled.get(h.lower(), h), kinds.get(spelled.get(h.lower(), ""), StringType())) for h in header])
@@ -399,7 +416,7 @@ def read_files(spark: SparkSession, sources: Sequence[Source], sep: str, na_valu
         if origin_col:
             cols.append(F.col("_file").alias(origin_col))
         if ordered:
-            cols.append(F.struct(F.lit(place).alias("place"), F.col("_file").alias("file"), F.col("_block").alias("block"),
+            cols.append(F.struct(F.lit(place).alias("place"), F.substring("_file", start + 1, length).alias("file"), F.col("_block").alias("block"),
                                  F.col("_row").alias("row")).alias(ORDER))
         df = df.select(*cols)
         out = df if out is None else out.unionByName(df)

@@ -175,3 +175,44 @@ def test_a_field_longer_than_many_splits_and_stray_quotes(spark):
     with _small_splits(spark, 600):
         got = IO.read_tsv(spark, f"{d}/t.tsv", "id int, text string, size string", ordered=True).orderBy(IO.ORDER).collect()
     assert [tuple(r)[:3] for r in got] == [(1, long, '5" pipe'), (2, 'x "y" z', 'a "b"'), (3, long + "end", None), (4, "a", "b")]
+
+
+def test_order_carries_only_what_tells_the_files_apart(spark, tmp_path):
+    from taxaspark.sources.delimited import _own_part
+    for i in (0, 1, 2):
+        (tmp_path / f"part-{i}-a-long-name-that-all-files-share.csv").write_text("id,x\n" + "".join(f"{10 * i + j},a\n" for j in range(10)))
+    got = IO.read_delimited(spark, str(tmp_path), "id int, x string", ordered=True)
+    assert [r["id"] for r in got.repartition(5).orderBy(IO.ORDER).collect()] == list(range(30))
+    assert {r["file"] for r in got.select(f"{IO.ORDER}.file").collect()} == {"0", "1", "2"}
+    for paths in (["/a/p-1.csv", "/a/p-10.csv", "/a/p-2.csv"], ["/a/1/x", "/a/2/x"], ["/only"], ["/a", "/a/b", "/a.b"], []):
+        start, length = _own_part(paths)
+        short = [p[start:start + length] for p in paths]
+        assert len(set(short)) == len(paths) and sorted(range(len(paths)), key=paths.__getitem__) == sorted(range(len(paths)), key=short.__getitem__)
+
+
+def test_headers_are_found_without_a_sort_of_all_lines(spark, tmp_path, monkeypatch):
+    from taxaspark.sources import delimited as D
+    (tmp_path / "a.csv").write_text('\n\nid,x\n1,"b\nc"\n')
+    (tmp_path / "b.csv").write_text("id,x\n2,d\n")
+    kind, plans = type(spark.range(1)), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self))
+    found = D.catalogue(spark, [D.Source(str(tmp_path), 0)], ",")
+    assert [(f.header, f.breaks) for f in found] == [(("id", "x"), True), (("id", "x"), False)]
+    assert "ObjectHashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+
+
+def test_downloads_are_sorted_in_ranges_of_bounded_size(spark, tmp_path, monkeypatch):
+    import datetime
+
+    from taxaspark.catalog import composites as C
+    prios = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    spark.createDataFrame(
+        [(k, k % 40, "OFP"[k % 3], 10.0 * k, datetime.datetime(1995, 1 + k % 12, 1), prios[k % 5]) for k in range(5000)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(C, "RANGE_ROWS", 500)
+    ca, us = C._downloads(spark, str(tmp_path))
+    assert (len(ca.inputFiles()), len(us.inputFiles())) == (12, 16)
+    got = C.portal_records_in_file_order(spark, str(tmp_path))
+    assert rows(got) == rows(C.portal_records(spark, str(tmp_path)).select(*got.columns)) and got.count() == 5000
