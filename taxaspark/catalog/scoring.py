@@ -69,7 +69,7 @@ def hot_group_quantiles(spark, d):
 SELECT p_partkey, {sql_round('epred', 6)} AS epred, {sql_round('lower', 6)} AS lower, {sql_round('upper', 6)} AS upper
 FROM mi""")
 def posterior_interval(spark, d):
-    """The same from one array of draws per row: sorted linear predictors, inverse logit at the quantiles only."""
+    """The same by blocks of linear predictors, of which the neighbours of the quantiles are selected; inverse logit of these only."""
     mi = S.posterior_interval(scored_parts(spark, d), draws(spark), part_terms())
     return mi.select("p_partkey", *[round_half_up(x, 6).alias(x) for x in ("epred", "lower", "upper")])
 

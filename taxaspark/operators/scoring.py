@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..functions.nulls import all_of
 from ..functions.numeric import inv_logit
 from ..session import default_parallelism, staged
 from .frames import rename, round_numeric
@@ -111,53 +116,64 @@ def median_interval(df: DataFrame, keys: Sequence[str], value: str = "epred", wi
     return found.select(*keys, F.col("__q__")[1].alias(median or value), F.col("__q__")[0].alias(lower), F.col("__q__")[2].alias(upper))
 
 
-def draws_array(draws: DataFrame, coefs: Sequence[str], draw_id: str = "draw_id") -> DataFrame:
-    """One row holding every draw as an array of structs (size = number of draws)."""
-    return draws.agg(F.array_sort(F.collect_list(F.struct(F.col(draw_id), *[F.col(x) for x in coefs])))
-                     .alias("__draws__"))
-
-
-def sorted_quantile(arr: Column, p: float, of: Callable[[Column], Column] = lambda x: x) -> Column:
-    """Quantile ``p`` of the increasing function ``of`` over a sorted array, linear interpolation
-    between closest ranks (the formula of Spark's exact ``percentile``)."""
-    n = F.size(arr)
-    pos = (n - 1).cast("double") * F.lit(p)
-    lo = F.floor(pos)
-    hi = F.ceil(pos)
-    a_lo = of(F.element_at(arr, (lo + 1).cast("int")))
-    a_hi = of(F.element_at(arr, (hi + 1).cast("int")))
-    return F.when(n == 0, F.lit(None).cast("double")).when(hi == lo, a_lo).otherwise(
-        (hi.cast("double") - pos) * a_lo + (pos - lo.cast("double")) * a_hi)
-
-
 def posterior_interval(rows: DataFrame, draws: DataFrame, terms: Mapping[str, Column],
                        intercept: str = "b_intercept", width: float = 0.95, median: str = "epred",
                        lower: str = "lower", upper: str = "upper", draw_id: str = "draw_id") -> DataFrame:
     """Median and central interval of the expected probability over all draws, per row.
 
     Same numbers as ``posterior_expected`` followed by ``median_interval``,
-    without materialising rows x draws or shuffling: the draws travel as the
-    array of one row, each row maps it to linear predictors, sorts them and
-    reads the quantiles. The inverse logit is monotone, so it is applied to
-    the few neighbours that a quantile needs, not to every draw.
+    without materialising rows x draws or shuffling: tasks hold the draws as one array of numbers,
+    and map a block of rows at a time to linear predictors (``_predictors_at``), of which only the
+    neighbours of the three quantiles are selected. The inverse logit is monotone, so Spark
+    applies it to these few, not to every draw.
     The array is one value, of the number of draws that the caller chose.
     """
     coefs = [intercept, *terms.keys()]
-    arr = F.broadcast(draws_array(draws, coefs, draw_id))     # one row of n_draws structs
-    rows = spread(rows)
-
-    def predictor(d: Column) -> Column:
-        eta = d[intercept]
-        for coef, term in terms.items():
-            eta = eta + d[coef] * term
-        return eta
-
-    lo_p, hi_p = (1 - width) / 2, 1 - (1 - width) / 2
-    etas = F.sort_array(F.filter(F.transform(F.col("__draws__"), predictor), lambda x: x.isNotNull()))
-    out = rows.crossJoin(arr).select(*rows.columns, etas.alias("__eta__"))
-    return out.select(*rows.columns, sorted_quantile(F.col("__eta__"), 0.5, inv_logit).alias(median),
-                      sorted_quantile(F.col("__eta__"), lo_p, inv_logit).alias(lower),
-                      sorted_quantile(F.col("__eta__"), hi_p, inv_logit).alias(upper))
+    # a draw that lacks a coefficient has no predictor for any row
+    held = draws.select(*[F.col(x).cast("double").alias(x) for x in coefs]).where(all_of([F.col(x).isNotNull() for x in coefs]))
+    betas = np.array([tuple(r) for r in held.collect()], dtype=float).reshape(-1, len(coefs)).T
+    ranks = [(betas.shape[1] - 1) * p for p in (0.5, (1 - width) / 2, 1 - (1 - width) / 2)]
+    if betas.shape[1] == 0:
+        return rows.select(*rows.columns, *[F.lit(None).cast("double").alias(x) for x in (median, lower, upper)])
+    names = [f"__eta{i}__" for i in range(2 * len(ranks))]
+    given = spread(rows).select(*rows.columns, *[t.cast("double").alias(f"__x{i}__") for i, t in enumerate(terms.values())])
+    kind = StructType([*rows.schema.fields, *[StructField(x, DoubleType()) for x in names]])
+    found = given.mapInArrow(_predictors_at(betas, [near(x) for x in ranks for near in (math.floor, math.ceil)], names), kind)
+
+    def quantile(i: int) -> Column:
+        """The formula of Spark's exact ``percentile``: linear interpolation between closest ranks."""
+        x, low, high = ranks[i], inv_logit(F.col(names[2 * i])), inv_logit(F.col(names[2 * i + 1]))
+        return low if math.floor(x) == math.ceil(x) else F.lit(math.ceil(x) - x) * low + F.lit(x - math.floor(x)) * high
+
+    return found.select(*rows.columns, *[quantile(i).alias(x) for i, x in enumerate((median, lower, upper))])
+
+
+def _predictors_at(betas: np.ndarray, ranks: Sequence[int], names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds to rows, whose last columns are the terms, the linear predictors at ``ranks`` of all draws (``betas``: a row for each
+    coefficient, intercept first); a row with a missing term has none. NaN is above all numbers."""
+    terms, block = len(betas) - 1, max(1, (1 << 18) // betas.shape[1])
+    places = sorted(set(ranks))
+    wanted = [places.index(r) for r in ranks]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.num_columns - terms
+            xs = [c.to_numpy(zero_copy_only=False) for c in batch.columns[own:]]
+            missing = np.zeros(batch.num_rows, dtype=bool)
+            for c in batch.columns[own:]:
+                missing |= c.is_null().to_numpy(zero_copy_only=False)
+            at = np.empty((batch.num_rows, len(places)))
+            with np.errstate(all="ignore"):
+                for start in range(0, batch.num_rows, block):
+                    eta = np.tile(betas[0], (min(block, batch.num_rows - start), 1))
+                    for beta, x in zip(betas[1:], xs, strict=True):         # term by term, as the sum is written
+                        eta += beta * x[start:start + block, None]
+                    eta.partition(places, axis=1)
+                    at[start:start + block] = eta[:, places]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:own], *[pa.array(at[:, i], pa.float64(), mask=missing) for i in wanted]],
+                                             [*batch.schema.names[:own], *names])
+
+    return run
 
 
 def fnr_curve(df: DataFrame, observed: str, score: str, partitions: int | None = None) -> DataFrame:

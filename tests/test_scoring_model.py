@@ -97,6 +97,29 @@ def test_posterior_interval_equals_long_form(spark):
         assert r.lower <= r.epred <= r.upper
 
 
+def test_posterior_interval_selects_in_blocks(spark):
+    """Every task selects the neighbours of the quantiles from a block of numbers: no array of draws goes with a row, none is sorted by
+    row; missing terms and draws count as in the long form."""
+    nan, inf = float("nan"), float("inf")
+    rows_df = spark.createDataFrame([(1, 0.5, 1.0), (2, None, 1.0), (3, nan, 0.0), (4, inf, 0.0), (5, -3.0, 2.0), (5, -3.0, 2.0)],
+                                    "id int, x double, z double")
+    draws = spark.createDataFrame([(i, i / 7, 1.0 - i / 5, -i / 9) for i in range(1, 23)] + [(23, None, 1.0, 1.0), (24, 0.0, nan, 0.0)],
+                                  "draw_id int, b_intercept double, b_x double, b_z double")
+    terms = {"b_x": F.col("x"), "b_z": F.col("z")}
+    found = S.posterior_interval(rows_df, draws, terms)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "sort_array" not in plan and "Join" not in plan
+    got = {r["id"]: (r["epred"], r["lower"], r["upper"]) for r in found.collect()}
+    ps = [0.5, (1 - 0.95) / 2, 1 - (1 - 0.95) / 2]
+    long = S.group_quantiles(S.posterior_expected(rows_df.distinct(), draws, terms, n_draws=24), ["id"], "epred", ps)
+    want = {r["id"]: tuple(r["quantiles"]) if r["quantiles"] else (None, None, None) for r in long.collect()}
+    assert found.count() == 6 and got.keys() == want.keys() and want[2] == (None, None, None)
+    for k in got:
+        assert got[k] == pytest.approx(want[k], abs=1e-12, nan_ok=True) if k != 2 else got[k] == want[k]
+    none = S.posterior_interval(rows_df, draws.where("draw_id = 23"), terms).collect()
+    assert len(none) == 6 and {r["epred"] for r in none} == {None}
+
+
 def test_confident_list_strict(spark):
     pred = spark.createDataFrame([("a", 0.1, 0.2), ("b", 0.2, 0.3)], "name string, epred double, upper double")
     thr = spark.createDataFrame([(0.3,)], "threshold double")
