@@ -12,6 +12,7 @@ from ..operators.dedup import first_per_key
 from ..operators.frames import union_strict
 from ..operators.joins import join_on
 from ..operators.ranking import sort_rows
+from ..session import staged
 
 PLACE_KEYS = ("countryCode", "stateProvince", "county", "locality")
 FLAGS = ("cc_zero", "cc_equ", "clean_tests", "cc_err")
@@ -50,6 +51,7 @@ def fill_by_locality(occs: DataFrame, order_by: Sequence[str | Column], keys: Se
     elif distinct_untouched:
         repeated = (untouched.groupBy(record_id).agg(F.count(F.lit(1)).alias("__n__"))
                     .filter(F.col("__n__") > 1).select(record_id))
+        repeated = staged(repeated, "repeated")          # of known size: if it is small, the wide rows are not shuffled
         once = join_on(untouched, repeated, record_id, "left_anti")
         many = join_on(untouched, repeated, record_id, "left_semi").distinct()
         untouched = union_strict(once, many)

@@ -19,6 +19,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from ..functions.nulls import is_member, not_matches, paste
 from ..functions.text import override, space_initials
+from ..operators.aggregates import group_count_having
 from ..operators.dedup import keep_unique
 from ..operators.frames import conform, rename, union_missing, union_strict
 from ..operators.joins import anti_join, join_on, join_suffixed
@@ -72,11 +73,15 @@ def resolve_accepted(names: DataFrame, candidates: DataFrame, usage: DataFrame,
     attached by *scientific name*; one row per scientific name survives
     (first by searchName, then key).
 
+    A name that is searched more than once has more than one match whatever its candidates are, so it is left out before
+    the search: names and candidates that share a frequent name would otherwise meet in all pairs, only to be dropped.
+
     One pass over the matches: each gives its search name to the scientific
     name that it matched, and its usage row to the one that this row has; an
     aggregate per scientific name takes the first of both.
     """
-    batch = match_names(names, candidates, name_col)
+    once = group_count_having(names.select(F.col(name_col).cast("string").alias(name_col)), [name_col], lambda n: n == 1)
+    batch = match_names(once.select(name_col), candidates, name_col)
     unique = keep_unique(batch, ["searchName"], narrow=True).filter(F.col("confidence") == F.lit(confidence))
     fields = [c for c in usage.columns if c != "scientificName"]
     rows = usage.select(F.col("key").alias("__key__"), F.col("scientificName").alias("__name__"),

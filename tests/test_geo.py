@@ -127,3 +127,17 @@ def test_locality_fill_sorted_output(spark):
             for k in (5, 3, 9, 1, 4)]
     out = fill_by_locality(spark.createDataFrame(data, LOC_SCHEMA), ["uid"], sort_output=True)
     assert [r["uid"] for r in out.collect()] == [1, 3, 4, 5, 9]
+
+
+def test_filling_shuffles_no_row_to_find_repeated_ids(spark, tmp_path):
+    """The repeated ids are staged, so the planner knows that they are few: rows that stay as they are meet them where they lie."""
+    kind = ("uid string, countryCode string, stateProvince string, county string, locality string, decimalLatitude double, "
+            "decimalLongitude double, georeferenced boolean, cc_zero boolean, cc_equ boolean, clean_tests boolean, cc_err boolean")
+    row = ("CA", "s", None, "place", 1.5, 2.5, True, True, True, True, True)
+    data = [(f"u{i}", *row) for i in range(20)] + [("u3", *row), ("u4", *row[:4], 9.0, *row[5:]), ("t", *row[:4], None, None, False, None, None, None, None)]
+    spark.createDataFrame(data, kind).write.parquet(f"{tmp_path}/occs")
+    out = fill_by_locality(spark.read.parquet(f"{tmp_path}/occs"), ["uid"], record_id="uid")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(uid" not in plan and "SortMergeJoin" not in plan
+    assert sorted(r["uid"] for r in out.collect()) == sorted([f"u{i}" for i in range(20)] + ["u4", "t"])
+    assert [(r["decimalLatitude"], r["coordsAdded"]) for r in out.where("uid = 't'").collect()] == [(1.5, True)]

@@ -138,3 +138,19 @@ def test_standins_read_whole_tables_and_hit_every_case(spark):
     # a default row for each name without usable candidates, and only for those
     unusable = cases["no_candidate"] + cases["none"] + cases["higher"]
     assert matched.filter("usageKey IS NULL").count() == unusable
+
+
+def test_repeated_names_do_not_meet_their_candidates_in_pairs(spark, monkeypatch):
+    """Names searched 300 times, with 300 candidates tied at the top: 90,000 pairs, all of which would be dropped."""
+    cand = spark.createDataFrame(
+        [("hot", k, f"T{k}", "R", 100, "EXACT") for k in range(300)] + [(None, k, f"T{k}", "R", 100, "EXACT") for k in range(300)]
+        + [("one", 1, "T1", "R", 100, "EXACT"), ("tied", 2, "T2", "R", 100, "EXACT"), ("tied", 3, "T3", "R", 100, "EXACT")],
+        "searchName string, usageKey long, scientificName string, rank string, confidence int, matchType string")
+    usage = spark.createDataFrame([(k, f"T{k}", f"s{k}", f"a{k}", "ACCEPTED", k) for k in range(300)],
+                                  "key long, scientificName string, species string, accepted string, taxonomicStatus string, acceptedKey long")
+    batches, match = [], N.match_names
+    monkeypatch.setattr(N, "match_names", lambda *a, **k: batches.append(match(*a, **k)) or batches[-1])
+    names_ = _names(spark, *["hot"] * 300, *[None] * 300, "one", "tied", "lost")
+    out = N.resolve_accepted(names_, cand, usage)
+    assert rows(out, "key", "searchName") == [(1, "one")]
+    assert batches[0].count() == 4                       # one, tied (2), lost
